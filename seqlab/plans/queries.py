@@ -1,8 +1,9 @@
 """Registered queries: one per operator of the inventory, each a function
 ``(spark, sf_dir) -> DataFrame`` that reads the given tables in full.
 
-Floating outputs are rounded to 6 decimals (sums of large numbers to 4) so
-that results compare equal with the SQL oracle across engines.
+Floating outputs that pass through engine-specific summation or libm calls
+are rounded (6 decimals, 9 for trigonometry) so that they compare equal
+with the SQL oracle.
 """
 
 from __future__ import annotations
@@ -10,8 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqlab.functions import columns as C
+from seqlab.operators import align, evaluation as K, projection as B, ranking, scoring, seq2seq, splits
+from seqlab.operators import sequences as E
 from seqlab.plans import standins as S
-from seqlab.plans.trajectories import hourly_trajectories
+from seqlab.plans.trajectories import GEO_BOX, hourly_trajectories
+from seqlab.sources import readers as A
 
 QUERIES: dict = {}
 
@@ -23,7 +28,418 @@ def register(name: str):
     return deco
 
 
-# ------------------------------------------------------------------ E5 ---
+def _filtered_positions(spark, sf_dir) -> DataFrame:
+    return B.drop_outside(S.vessel_positions(spark, sf_dir), GEO_BOX)
+
+
+# ================================================================ E ======
 @register("hourly_trajectories")
 def q_hourly_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5 flagship (reference geo mode)."""
     return hourly_trajectories(S.vessel_positions(spark, sf_dir))
+
+
+@register("hourly_window_reduce")
+def q_hourly_window_reduce(spark, sf_dir):
+    """E3 with the geodesic E4 variant: per (vessel, hour) count, first time, mean position."""
+    return E.hourly_geo_windows(_filtered_positions(spark, sf_dir), "mmsi", "ts", "lat", "lon",
+                                geo_mode="geodesic")
+
+
+@register("geo_average")
+def q_geo_average(spark, sf_dir):
+    """E4 both modes per vessel."""
+    pos = _filtered_positions(spark, sf_dir)
+    la_r, lo_r = E.geo_average(C.minmax("lat", -90, 90), C.minmax("lon", -180, 180))
+    la_g, lo_g = E.geo_average("lat", "lon")
+    return pos.groupBy("mmsi").agg(F.count(F.lit(1)).alias("n"), la_r.alias("lat_ref"),
+                                   lo_r.alias("lon_ref"), la_g.alias("lat_geo"), lo_g.alias("lon_geo"))
+
+
+@register("sequence_stats")
+def q_sequence_stats(spark, sf_dir):
+    """E2 on epoch milliseconds."""
+    pos = S.vessel_positions(spark, sf_dir).select(
+        "mmsi", F.unix_millis(F.col("ts").cast("timestamp")).alias("t"))
+    return E.sequence_stats(pos, "mmsi", "t")
+
+
+@register("to_sequences")
+def q_to_sequences(spark, sf_dir):
+    """Time-ordered step numbers per vessel (event_id breaks ties)."""
+    pos = _filtered_positions(spark, sf_dir).select("event_id", "mmsi", "ts")
+    return E.to_sequences(pos, "mmsi", "ts", tiebreak="event_id").select(
+        "mmsi", "event_id", "step", "seq_len")
+
+
+@register("min_length_filter")
+def q_min_length_filter(spark, sf_dir):
+    """B5 on hourly windows: keep vessels with more than 7 windows."""
+    hourly = E.hourly_geo_windows(_filtered_positions(spark, sf_dir), "mmsi", "ts", "lat", "lon")
+    return B.min_length(hourly, "mmsi", more_than=7).select("mmsi", "window_start", "n_points")
+
+
+# ================================================================ B ======
+@register("keep_columns")
+def q_keep_columns(spark, sf_dir):
+    return B.keep_columns(S.vessel_positions(spark, sf_dir), "ts", "mmsi", "lat", "lon")
+
+
+@register("column_range_features")
+def q_column_range_features(spark, sf_dir):
+    """B2: lineitem columns 4..7 (inclusive) next to the order key."""
+    li = S.table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", *B.column_range(li, 4, 7).columns)
+
+
+@register("geo_outlier_filter")
+def q_geo_outlier_filter(spark, sf_dir):
+    return _filtered_positions(spark, sf_dir).select("event_id", "mmsi", "lat", "lon")
+
+
+@register("index_range_split")
+def q_index_range_split(spark, sf_dir):
+    """First 80% of the conversation id range is train, the rest validation."""
+    conv = S.table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    hi = F.floor(conv.select(F.max("conv_id")).scalar() * 0.8)
+    return splits.index_split(conv, "conv_id", hi)
+
+
+# ================================================================ C ======
+@register("minmax_normalize")
+def q_minmax_normalize(spark, sf_dir):
+    pos = _filtered_positions(spark, sf_dir)
+    return pos.select("event_id", C.minmax("lat", -90, 90).alias("lat_n"),
+                      C.minmax("lon", -180, 180).alias("lon_n"))
+
+
+@register("number_to_string")
+def q_number_to_string(spark, sf_dir):
+    pos = _filtered_positions(spark, sf_dir)
+    return pos.select("event_id", C.to_text(C.minmax("lat", -90, 90)).alias("lat_text"),
+                      C.to_text(C.minmax("lon", -180, 180)).alias("lon_text"))
+
+
+@register("parse_timestamp")
+def q_parse_timestamp(spark, sf_dir):
+    """Render event times as day/month/year text, parse back to epoch ms."""
+    ev = S.table(spark, sf_dir, "events")
+    txt = F.date_format(F.col("ts"), "dd/MM/yyyy HH:mm:ss")
+    return ev.select("event_id", txt.alias("ts_text"), C.parse_time_millis(txt).alias("ts_ms"))
+
+
+@register("concat_columns")
+def q_concat_columns(spark, sf_dir):
+    pos = _filtered_positions(spark, sf_dir)
+    return pos.select("event_id", C.concat_text(",", C.to_text(C.minmax("lat", -90, 90)),
+                                                C.to_text(C.minmax("lon", -180, 180))).alias("latlon"))
+
+
+@register("split_to_doubles")
+def q_split_to_doubles(spark, sf_dir):
+    pos = _filtered_positions(spark, sf_dir)
+    txt = C.concat_text(",", C.to_text("lat"), C.to_text("lon"))
+    arr = C.split_doubles(txt, ",", arity=2)
+    return pos.select("event_id", arr.getItem(0).alias("a"), arr.getItem(1).alias("b"))
+
+
+@register("geo_to_xyz")
+def q_geo_to_xyz(spark, sf_dir):
+    pos = _filtered_positions(spark, sf_dir)
+    x, y, z = C.geo_xyz("lat", "lon")
+    la, lo = C.xyz_geo(x, y, z)
+    return pos.select("event_id", F.round(x, 9).alias("x"), F.round(y, 9).alias("y"),
+                      F.round(z, 9).alias("z"), F.round(la, 6).alias("lat_back"),
+                      F.round(lo, 6).alias("lon_back"))
+
+
+@register("one_hot")
+def q_one_hot(spark, sf_dir):
+    lab = S.table(spark, sf_dir, "labels")
+    return lab.select("doc_id", F.posexplode(C.one_hot("quality", 2)).alias("cls", "v")) \
+        .select("doc_id", F.col("cls").cast("int").alias("cls"), "v")
+
+
+@register("argmax")
+def q_argmax(spark, sf_dir):
+    cs = S.class_scores(spark, sf_dir)
+    return cs.select("id", "y", C.argmax("scores").alias("yhat"))
+
+
+@register("step_slice")
+def q_step_slice(spark, sf_dir):
+    steps = S.conversation_steps(spark, sf_dir)
+    return B.step_slice(steps, "step", 2, 5).select("seq_id", "step", "value")
+
+
+@register("reshape_grid")
+def q_reshape_grid(spark, sf_dir):
+    """64-vector -> 8 x 8 grid, exploded to (row, col, v); and back."""
+    emb = S.table(spark, sf_dir, "embeddings")
+    g = emb.select("vec_id", C.to_grid("embedding", 8, 8).alias("g"),
+                   (C.from_grid(C.to_grid("embedding", 8, 8)) == F.col("embedding")).alias("round_trip"))
+    rows = g.select("vec_id", "round_trip", F.posexplode("g").alias("r", "row"))
+    return rows.select("vec_id", "round_trip", F.col("r").cast("int").alias("r"),
+                       F.posexplode("row").alias("c", "v")).select(
+        "vec_id", "round_trip", "r", F.col("c").cast("int").alias("c"), F.col("v").cast("double").alias("v"))
+
+
+@register("last_valid_step")
+def q_last_valid_step(spark, sf_dir):
+    dense = align.align_end(S.conversation_steps(spark, sf_dir), "seq_id", "step", "batch_id", dense=True)
+    return B.last_valid_step(dense, "seq_id", "pos", "mask")
+
+
+# ================================================================ D ======
+def _reader(spark, sf_dir, cols, name_map):
+    ev = S.table(spark, sf_dir, "events")
+    from seqlab.operators.ordering import ordered_index
+    sel = ev.select("event_id", *[expr.alias(n) for n, expr in zip(name_map, cols)])
+    return ordered_index(sel, [], ["event_id"], name="row_no").drop("event_id")
+
+
+@register("positional_zip")
+def q_positional_zip(spark, sf_dir):
+    """Five readers (column groups of events, each numbered on its own)
+    zipped by row number."""
+    ev = F.col
+    r1 = _reader(spark, sf_dir, [(ev("event_type") == "purchase").cast("int"), ev("value"),
+                                 ev("user_id").cast("double"), F.hour("ts").cast("double")],
+                 ["label", "f1", "f2", "f3"])
+    r2 = _reader(spark, sf_dir, [ev("value") * 2.0, F.minute("ts").cast("double"),
+                                 F.second("ts").cast("double")], ["f4", "f5", "f6"])
+    r3 = _reader(spark, sf_dir, [F.length("props").cast("double"), F.dayofmonth("ts").cast("double"),
+                                 (ev("event_id") % 7).cast("double")], ["f7", "f8", "f9"])
+    r4 = _reader(spark, sf_dir, [F.sqrt("value"), F.log1p("value"), ev("value") / 10.0],
+                 ["f10", "f11", "f12"])
+    r5 = _reader(spark, sf_dir, [(ev("user_id") % 3).cast("double"), (ev("user_id") % 5).cast("double"),
+                                 (ev("user_id") % 11).cast("double")], ["f13", "f14", "f15"])
+    z = align.positional_zip([r1, r2, r3, r4, r5])
+    return z.select("row_no", "label", *[F.round(f"f{i}", 9).alias(f"f{i}") for i in range(1, 16)])
+
+
+def _conv_labels(spark, sf_dir):
+    steps = S.conversation_steps(spark, sf_dir)
+    return steps.groupBy("seq_id").agg((F.max("step") >= 4).cast("int").alias("label"))
+
+
+@register("join_features_labels")
+def q_join_features_labels(spark, sf_dir):
+    return align.join_samples(S.conversation_steps(spark, sf_dir), _conv_labels(spark, sf_dir),
+                              on="seq_id").select("seq_id", "step", "value", "label")
+
+
+@register("align_end")
+def q_align_end(spark, sf_dir):
+    a = align.align_end(S.conversation_steps(spark, sf_dir), "seq_id", "step", "batch_id")
+    return a.select("seq_id", "batch_id", "step", "pos", "value", "mask")
+
+
+@register("align_end_dense")
+def q_align_end_dense(spark, sf_dir):
+    return align.align_end(S.conversation_steps(spark, sf_dir), "seq_id", "step", "batch_id",
+                           dense=True, value_cols=["value"])
+
+
+# ================================================================ F, J2 ==
+def _recon(spark, sf_dir):
+    """J2 input: each embedding against its label centroid (the reconstruction)."""
+    emb = S.table(spark, sf_dir, "embeddings")
+    cells = emb.select("label", F.posexplode("embedding").alias("i", "v"))
+    cent = cells.groupBy("label", "i").agg(F.avg(F.col("v").cast("double")).alias("m"))
+    cent = cent.groupBy("label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("xhat"))
+    j = emb.join(cent, "label")
+    return scoring.reconstruction_score(j, "embedding", "xhat").select(
+        F.col("vec_id").alias("id"), "label", F.round("score", 6).alias("score"))
+
+
+@register("reconstruction_score")
+def q_reconstruction_score(spark, sf_dir):
+    return _recon(spark, sf_dir)
+
+
+@register("rank_by_label")
+def q_rank_by_label(spark, sf_dir):
+    return ranking.rank_within(_recon(spark, sf_dir), "label", "score", "id")
+
+
+@register("best_worst_by_label")
+def q_best_worst_by_label(spark, sf_dir):
+    return ranking.best_worst(_recon(spark, sf_dir), "label", "score", "id", n=5)
+
+
+# ================================================================ G ======
+@register("hash_split")
+def q_hash_split(spark, sf_dir):
+    traj = hourly_trajectories(S.vessel_positions(spark, sf_dir))
+    per = traj.groupBy("mmsi").agg(F.count(F.lit(1)).alias("seq_len"))
+    return splits.hash_split(per, "mmsi", 80)
+
+
+@register("batch_split")
+def q_batch_split(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events").select("event_id", "value")
+    b = splits.mini_batches(ev, ["event_id"], 300)
+    return splits.batch_split(b, "batch_id", ["event_id"], 0.8)
+
+
+@register("mini_batches")
+def q_mini_batches(spark, sf_dir):
+    emb = S.table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    return splits.mini_batches(emb, ["vec_id"], 32)
+
+
+# ================================================================ H ======
+def _traj_channels(spark, sf_dir):
+    traj = hourly_trajectories(S.vessel_positions(spark, sf_dir))
+    return traj.select("mmsi", "step", F.explode(F.array(
+        F.struct(F.lit(0).alias("channel"), F.col("lat").alias("value")),
+        F.struct(F.lit(1).alias("channel"), F.col("lon").alias("value")))).alias("c")) \
+        .select("mmsi", "step", "c.channel", "c.value")
+
+
+@register("seq2seq_tokens")
+def q_seq2seq_tokens(spark, sf_dir):
+    return seq2seq.seq2seq(_traj_channels(spark, sf_dir), "mmsi", "step", "channel", "value",
+                           n_channels=2)
+
+
+@register("seq2seq_masks")
+def q_seq2seq_masks(spark, sf_dir):
+    dense = align.align_end(S.conversation_steps(spark, sf_dir), "seq_id", "step", "batch_id",
+                            dense=True, value_cols=["value"])
+    return seq2seq.extend_mask(dense, "seq_id", "pos", "mask")
+
+
+# ================================================================ J ======
+EMB_WEIGHTS = [((i % 7) - 3) / 10.0 for i in range(64)]
+
+
+@register("batch_predict")
+def q_batch_predict(spark, sf_dir):
+    vec = A.scan_vectors(spark, f"{sf_dir}/embeddings.parquet", "vec_id", "embedding", "label")
+    s = scoring.linear_scores(vec, "features", EMB_WEIGHTS, bias=0.1)
+    return s.select("id", F.round("score", 6).alias("score"),
+                    (F.col("score") >= 0.5).cast("int").alias("yhat"))
+
+
+def daily_grid(spark, sf_dir) -> DataFrame:
+    """Grid series stand-in: per user and day (0..29) the total value / 100 of
+    each of the 5 event types (cells); missing days are 0."""
+    ev = S.table(spark, sf_dir, "events")
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01")).cast("long")
+    types = ["click", "error", "purchase", "signup", "view"]
+    sums = ev.groupBy("user_id", day.alias("day")).agg(
+        *[F.sum(F.when(F.col("event_type") == t, F.col("value") / 100.0).otherwise(0.0)).alias(f"c{i}")
+          for i, t in enumerate(types)])
+    users = ev.select("user_id").distinct()
+    grid = users.select("user_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(29).cast("long"))).alias("day"))
+    full = grid.join(sums, ["user_id", "day"], "left")
+    return full.select("user_id", "day", *[F.coalesce(F.col(f"c{i}"), F.lit(0.0)).alias(f"c{i}")
+                                            for i in range(5)])
+
+
+AR_A, AR_B = 0.6, 10.0
+
+
+@register("rollout_forecast")
+def q_rollout_forecast(spark, sf_dir):
+    """Warm-up on days 0..19, forecast 10 days, AR(1) per cell with fixed weights."""
+    import numpy as np
+    g = daily_grid(spark, sf_dir)
+    warm = g.where(F.col("day") < 20)
+    step = scoring.linear_step(np.eye(5) * AR_A, np.full(5, AR_B))
+    out = scoring.rollout(warm, "user_id", "day", [f"c{i}" for i in range(5)], step,
+                          warmup=20, horizon=10, offset=1)
+    return out.select("user_id", "k", "cell", F.round("prediction", 6).alias("prediction"))
+
+
+# ================================================================ K ======
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    cs = S.class_scores(spark, sf_dir).select("y", C.argmax("scores").alias("yhat"))
+    return K.confusion(cs, "y", "yhat")
+
+
+@register("classification_metrics")
+def q_classification_metrics(spark, sf_dir):
+    cs = S.class_scores(spark, sf_dir).select("y", C.argmax("scores").alias("yhat"))
+    return K.classification_metrics(cs, "y", "yhat")
+
+
+@register("auc_exact")
+def q_auc_exact(spark, sf_dir):
+    return K.auc_exact(S.multitarget_scores(spark, sf_dir), by=["target"])
+
+
+@register("roc_thresholded")
+def q_roc_thresholded(spark, sf_dir):
+    return K.roc_thresholded(S.binary_scores(spark, sf_dir))
+
+
+@register("auc_thresholded")
+def q_auc_thresholded(spark, sf_dir):
+    return K.auc_thresholded(S.multitarget_scores(spark, sf_dir), by=["target"])
+
+
+@register("auc_one_vs_all")
+def q_auc_one_vs_all(spark, sf_dir):
+    return K.auc_one_vs_all(S.class_scores(spark, sf_dir), "y", "scores")
+
+
+def _event_scores(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    return ev.select("event_id", (F.col("event_type") == "purchase").cast("int").alias("y"),
+                     F.least(F.lit(1.0), F.col("value") / 300.0).alias("score"))
+
+
+@register("running_auc")
+def q_running_auc(spark, sf_dir):
+    """K6: cumulative thresholded AUC after each batch of 32 events."""
+    b = splits.mini_batches(_event_scores(spark, sf_dir), ["event_id"], 32)
+    return K.running_auc(b, "batch_id", "y", "score")
+
+
+def _conv_targets(spark, sf_dir):
+    """Per-step binary targets on end-aligned, padded conversations."""
+    conv = S.table(spark, sf_dir, "conversations")
+    steps = conv.select(F.col("conv_id").alias("seq_id"), F.col("turn").alias("step"),
+                        (F.col("role") == "assistant").cast("int").alias("y1"),
+                        (F.length("text") > 500).cast("int").alias("y2"),
+                        F.least(F.lit(1.0), F.length("text") / 2000.0).alias("score"),
+                        F.floor(F.col("conv_id") / 32).cast("long").alias("batch_id"))
+    dense = align.align_end(steps, "seq_id", "step", "batch_id", dense=True,
+                            value_cols=["y1", "y2", "score"])
+    return dense.select("seq_id", "pos", "mask", F.explode(F.array(
+        F.struct(F.lit("y1").alias("target"), F.col("y1").alias("y")),
+        F.struct(F.lit("y2").alias("target"), F.col("y2").alias("y")))).alias("t"), "score") \
+        .select("seq_id", "pos", "mask", "t.target", "t.y", "score")
+
+
+@register("timeseries_auc")
+def q_timeseries_auc(spark, sf_dir):
+    """K7: both targets evaluated, padded steps dropped."""
+    return K.timeseries_auc(_conv_targets(spark, sf_dir), by=["target"])
+
+
+@register("timeseries_auc_padded")
+def q_timeseries_auc_padded(spark, sf_dir):
+    """K7 with the reference's unmasked evaluation (padding counts as negatives)."""
+    return K.timeseries_auc(_conv_targets(spark, sf_dir), include_padding=True, by=["target"])
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    return K.regression_metrics(S.regression_pairs(spark, sf_dir))
+
+
+@register("forecast_metrics")
+def q_forecast_metrics(spark, sf_dir):
+    """J3 + K8: rollout predictions against the real days 20..29, per cell."""
+    fc = q_rollout_forecast(spark, sf_dir)
+    g = daily_grid(spark, sf_dir).where(F.col("day") >= 20)
+    truth = g.select("user_id", (F.col("day") - 20).alias("k"), F.posexplode(F.array(
+        *[F.col(f"c{i}") for i in range(5)])).alias("cell", "truth"))
+    j = fc.join(truth, ["user_id", "k", "cell"])
+    return K.regression_metrics(j, "cell", "truth", "prediction")
