@@ -451,3 +451,54 @@ ORACLE["forecast_metrics"] = _regression(f"""
                CAST(unnest(range(5)) AS INTEGER) AS cell
         FROM ({DAILY}) WHERE day >= 20) t
     ON f.user_id = t.user_id AND f.k = t.k AND f.cell = t.cell""", "cell")
+
+# ---------------------------------------------------------- sources -----
+POSITIONS_SEC = POSITIONS.replace(" ts,\n", " date_trunc('second', ts) AS ts,\n")
+assert POSITIONS_SEC != POSITIONS
+
+ORACLE["scan_csv_inferred"] = f"""
+  SELECT mmsi, epoch_us(date_trunc('second', ts)) // 1000 AS ts_ms, lat, lon FROM ({POSITIONS}) p"""
+
+ORACLE["scan_csv_schema"] = f"""
+  SELECT p.mmsi, epoch_us(date_trunc('second', p.ts)) // 1000 AS ts_ms, p.lat, p.lon,
+         CAST(CASE WHEN e.event_id % 10 <> 0 THEN (e.event_id * 7) % 360 END AS INTEGER) AS heading,
+         CAST(NULL AS DOUBLE) AS draught, CAST(e.user_id % 30 + 5 AS INTEGER) AS width
+  FROM ({POSITIONS}) p JOIN events e ON p.event_id = e.event_id"""
+
+ORACLE["trajectories_from_csv"] = f"""
+  SELECT *, CASE WHEN CAST(('0x' || substr(md5(mmsi), 1, 8)) AS BIGINT) % 100 < 80
+                 THEN 'train' ELSE 'test' END AS split
+  FROM ({TRAJ.replace(POSITIONS, POSITIONS_SEC)})"""
+
+ORACLE["scan_numbered_sequences"] = """
+  SELECT conv_id AS sample_id, turn AS step, CAST(length(text) AS DOUBLE) AS value,
+         CAST(role = 'assistant' AS DOUBLE) AS assistant
+  FROM conversations"""
+
+ORACLE["scan_rows_numbered"] = """
+  SELECT CAST(row_number() OVER (ORDER BY event_id) - 1 AS BIGINT) AS row_no,
+         CAST(event_id AS DOUBLE) AS c0, value AS c1, CAST(user_id AS DOUBLE) AS c2
+  FROM events"""
+
+ORACLE["scan_vectors"] = """
+  SELECT vec_id AS id, label, CAST(len(embedding) AS INTEGER) AS dim,
+         round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS l2
+  FROM embeddings"""
+
+ORACLE["save_and_reload_sequences"] = f"""
+  SELECT *, CASE WHEN CAST(('0x' || substr(md5(mmsi), 1, 8)) AS BIGINT) % 100 < 80
+                 THEN 'train' ELSE 'test' END AS split
+  FROM ({TRAJ})"""
+
+# ----------------------------------------------------------- models -----
+ORACLE["forecaster_gram"] = f"""
+  WITH d AS ({DAILY}),
+  p AS (SELECT a.c0, a.c1, a.c2, a.c3, a.c4, 1.0::DOUBLE AS c5,
+               b.c0 AS y0, b.c1 AS y1, b.c2 AS y2, b.c3 AS y3, b.c4 AS y4
+        FROM d a JOIN d b ON a.user_id = b.user_id AND a.day = b.day - 1),
+  l AS (SELECT unnest([c0, c1, c2, c3, c4, c5]) AS xv, CAST(unnest(range(6)) AS INTEGER) AS i,
+               [c0, c1, c2, c3, c4, c5] AS xs, [y0, y1, y2, y3, y4] AS ys, row_number() OVER () AS r FROM p),
+  xx AS (SELECT 'xx' AS kind, i, CAST(unnest(range(6)) AS INTEGER) AS j, xv * unnest(xs) AS v FROM l),
+  xy AS (SELECT 'xy' AS kind, i, CAST(unnest(range(5)) AS INTEGER) AS j, xv * unnest(ys) AS v FROM l)
+  SELECT kind, i, j, round(avg(v), 6) AS value FROM (SELECT * FROM xx UNION ALL SELECT * FROM xy)
+  GROUP BY kind, i, j"""

@@ -6,10 +6,9 @@ time step, or row i of five files is one sample). Spark gives no order, so:
 * numbered per-sample files are read whole (``wholetext``): one file is one
   row, lines are exploded with their position, and the file is the unit of
   parallelism;
-* a single file's line number is rebuilt from (partition, position in
-  partition) plus per-partition offsets. A file's splits are read in offset
-  order, and the offsets table has one row per partition, so broadcasting
-  it is bounded.
+* a line number over large files is rebuilt from (file, split, position
+  in split) plus per-split offsets; a split is read by one task in offset
+  order, and the offsets table has one row per split.
 """
 
 from __future__ import annotations
@@ -70,7 +69,7 @@ def scan_numbered_sequences(spark: SparkSession, path: str, lo: int, hi: int, co
     """A3: one file per sample (id taken from the file path by ``id_pattern``),
     ids ``lo..hi`` inclusive, first ``skip`` lines dropped, each remaining line
     is a step (0-based) with ``columns`` as doubles."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     raw = raw.select(F.regexp_extract(F.col("_metadata.file_path"), id_pattern, 1).alias("__id"),
                      "value")
     raw = raw.where(F.col("__id") != "").select(F.col("__id").cast("long").alias(id_col), "value")
@@ -89,29 +88,48 @@ def _re(sep: str) -> str:
 
 
 # ------------------------------------------------------------------ A4 ----
-def number_lines(lines: DataFrame, name: str = "row_no") -> DataFrame:
-    """Dense 0-based line numbers of a single-file text scan, without a global
-    window: position within the partition + offset of the partition."""
-    tagged = lines.select("*", F.spark_partition_id().alias("__p"),
+def number_lines(lines: DataFrame, name: str = "row_no", skip: int = 0) -> DataFrame:
+    """Dense 0-based record numbers of a text scan in (file path, offset) order,
+    after dropping the first ``skip`` lines of every file; no global window
+    over the rows.
+
+    Each input split (file, block start) is read by one task in order, so a
+    line's position inside its split is its id minus the split's smallest
+    id. The per-split counts (one row per split: data size / split size,
+    never per row) give each split's offset inside its file and each file's
+    offset in the whole scan; they are joined back on the split key.
+    """
+    tagged = lines.select("*", F.col("_metadata.file_path").alias("__f"),
+                          F.col("_metadata.file_block_start").alias("__b"),
                           F.monotonically_increasing_id().alias("__m"))
-    tagged = tagged.withColumn("__local", F.col("__m") - F.shiftleft(F.col("__p").cast("long"), 33))
-    counts = tagged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__p", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    out = tagged.join(F.broadcast(offsets), "__p")  # one row per partition
-    return out.withColumn(name, (F.col("__local") + F.col("__off")).cast("long")) \
-        .drop("__p", "__m", "__local", "__off")
+    chunks = tagged.groupBy("__f", "__b").agg(F.count(F.lit(1)).alias("__n"),
+                                              F.min("__m").alias("__m0"))
+    in_file = Window.partitionBy("__f").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    whole_file = Window.partitionBy("__f")
+    chunks = chunks.select("__f", "__b", "__m0",
+                           F.coalesce(F.sum("__n").over(in_file), F.lit(0)).alias("__foff"),
+                           F.greatest(F.sum("__n").over(whole_file) - int(skip), F.lit(0)).alias("__keep"))
+    files = chunks.select("__f", "__keep").distinct()
+    across = Window.partitionBy().orderBy("__f").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("__f", F.coalesce(F.sum("__keep").over(across), F.lit(0)).alias("__goff"))
+    chunks = chunks.join(files, "__f").drop("__keep")
+    out = tagged.join(chunks, ["__f", "__b"])
+    line_in_file = F.col("__m") - F.col("__m0") + F.col("__foff")
+    out = out.where(line_in_file >= int(skip))
+    return out.withColumn(name, (F.col("__goff") + line_in_file - int(skip)).cast("long")) \
+        .drop("__f", "__b", "__m", "__m0", "__foff", "__goff")
 
 
 def scan_rows_numbered(spark: SparkSession, path: str, columns: list[str], skip: int = 1,
                        sep: str = ",") -> DataFrame:
-    """A4: a single CSV file, first ``skip`` lines dropped, cells as doubles,
-    with a dense 0-based ``row_no`` over the remaining lines."""
-    lines = number_lines(spark.read.text(path), "__line")
-    lines = lines.where(F.col("__line") >= int(skip))
+    """A4: CSV records with a dense 0-based ``row_no`` in file order. The first
+    ``skip`` lines of every file are dropped (a header per part file); files
+    are taken in path order, so a folder of sorted part files reads as one
+    ordered file."""
+    lines = number_lines(spark.read.text(path), "row_no", skip=skip)
     cells = F.split(F.col("value"), _re(sep))
-    return lines.select((F.col("__line") - int(skip)).alias("row_no"),
-                        *[cells.getItem(i).try_cast("double").alias(c) for i, c in enumerate(columns)])
+    return lines.select("row_no", *[cells.getItem(i).try_cast("double").alias(c)
+                                    for i, c in enumerate(columns)])
 
 
 # ------------------------------------------------------------------ A5 ----
