@@ -17,6 +17,12 @@ three distributed steps instead:
 The range partitioner's bounds are fixed for the exchange and both
 branches read the same (reused) exchange, so the range ids agree; a lost
 map output is recomputed with the same partitioner.
+
+The split costs a sampling job and a pass through Python, which only pays
+off when a group is too large for one task. ``ordered_prefix`` therefore
+first measures the largest group (a partial+final count, one small job)
+and uses a plain window when it is at most ``seqlab.ordered.maxGroupRows``
+rows (default 5,000,000), the split otherwise.
 """
 
 from __future__ import annotations
@@ -29,6 +35,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 _PID = "__range_id"
+MAX_GROUP_CONF = "seqlab.ordered.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 5_000_000
 
 
 def _num_ranges(df: DataFrame, num: int | None) -> int:
@@ -82,16 +90,44 @@ def _key_eq(a, b) -> bool:
     return True
 
 
+def largest_group(df: DataFrame, by: list[str]) -> int:
+    """Row count of the largest ``by`` group (map-side partial counts)."""
+    counts = df.groupBy(*by).count() if by else df.select(F.lit(1).alias("count")).groupBy().count()
+    row = counts.agg(F.max("count")).head()
+    return int(row[0] or 0)
+
+
 def ordered_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str],
-                   num_ranges: int | None = None) -> DataFrame:
+                   num_ranges: int | None = None, split: bool | None = None) -> DataFrame:
     """Add, for every row, the *exclusive* prefix sum of each column in ``sums``
     within its ``by`` group in ``order`` (ascending; ties must be broken by the
     order columns for a deterministic result).
 
     ``sums`` maps output name -> input column name; pass ``"__one"`` as the
     input to count rows. Outputs are doubles (exact for counts below 2**53).
+    ``split``: True forces the range split, False the plain window, None
+    decides by the largest group's size.
     """
     by = list(by)
+    if split is None:
+        limit = int(df.sparkSession.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+        split = largest_group(df, by) > limit
+    if not split:
+        return _window_prefix(df, by, order, sums)
+    return _split_prefix(df, by, order, sums, num_ranges)
+
+
+def _window_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str]) -> DataFrame:
+    work = df.withColumn("__one", F.lit(1.0)) if "__one" in sums.values() else df
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    w = Window.partitionBy(*by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    out = work.select("*", *[F.coalesce(F.sum(F.col(c).cast("double")).over(w), F.lit(0.0)).alias(o)
+                             for o, c in sums.items()])
+    return out.drop("__one") if "__one" in sums.values() else out
+
+
+def _split_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str],
+                  num_ranges: int | None) -> DataFrame:
     n = _num_ranges(df, num_ranges)
     work = df
     if "__one" in sums.values():
@@ -123,7 +159,7 @@ def ordered_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, st
 
 
 def ordered_index(df: DataFrame, by: list[str], order: list, name: str = "idx",
-                  num_ranges: int | None = None) -> DataFrame:
+                  num_ranges: int | None = None, split: bool | None = None) -> DataFrame:
     """0-based position of each row within its ``by`` group (``by=[]``: global)."""
-    res = ordered_prefix(df, by, order, {name: "__one"}, num_ranges)
+    res = ordered_prefix(df, by, order, {name: "__one"}, num_ranges, split)
     return res.withColumn(name, F.col(name).cast("long"))

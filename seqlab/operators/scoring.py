@@ -32,16 +32,48 @@ def reconstruction_score(df: DataFrame, x: str, xhat: str, name: str = "score")
 
 
 def linear_step(weights: np.ndarray, bias: np.ndarray):
-    """Default rollout step: y_next = W @ y + b (state is the last output)."""
+    """Default rollout step: y_next = W @ y + b (state is the last output).
+    Works on one sample (shape [d]) or on a block of samples ([n, d])."""
     W = np.asarray(weights, dtype="float64")
     b = np.asarray(bias, dtype="float64")
 
     def step(state, x):
-        y = W @ np.asarray(x, dtype="float64") + b
+        y = np.asarray(x, dtype="float64") @ W.T + b
         return y, y
     return step
 
 
+def _rollout_block(pdf: pd.DataFrame, id_col: str, cells: list[str], step_fn, horizon: int,
+                   offset: int) -> pd.DataFrame:
+    """Roll out every sample of ``pdf`` (sorted by id, step); samples with the
+    same warm-up length advance together, one vectorised call per step."""
+    ids, starts, lens = np.unique(pdf[id_col].to_numpy(), return_index=True, return_counts=True)
+    X = pdf[cells].to_numpy(dtype="float64")
+    d = len(cells)
+    outs = []
+    for L in np.unique(lens):
+        sel = lens == L
+        idx = starts[sel][:, None] + np.arange(L)[None, :]          # [n, L]
+        block = X[idx]                                              # [n, L, d]
+        state, y = None, None
+        for t in range(int(L)):
+            state, y = step_fn(state, block[:, t, :])
+        preds = []
+        for _ in range(int(horizon) + int(offset)):
+            preds.append(y)
+            state, y = step_fn(state, y)
+        P = np.stack(preds[int(offset):], axis=1)                   # [n, horizon, d]
+        n = P.shape[0]
+        outs.append(pd.DataFrame({
+            id_col: np.repeat(ids[sel], int(horizon) * d),
+            "k": np.tile(np.repeat(np.arange(int(horizon), dtype="int64"), d), n),
+            "cell": np.tile(np.arange(d, dtype="int32"), n * int(horizon)),
+            "prediction": P.reshape(-1),
+        }))
+    return pd.concat(outs, ignore_index=True) if outs else pd.DataFrame(
+        {id_col: [], "k": [], "cell": [], "prediction": []})
+
+
 def rollout(df: DataFrame, id_col: str, step: str, cells: list[str],
             step_fn: Callable, warmup: int, horizon: int, offset: int = 1) -> DataFrame:
     """Warm-up then autoregressive rollout, sequential within a sample and
@@ -49,11 +81,16 @@ def rollout(df: DataFrame, id_col: str, step: str, cells: list[str],
 
     Only the last ``warmup`` steps of each sample are fed (the reference feeds
     a fixed warm-up window); they are selected with a rank filter that Spark
-    limits per group before the shuffle, so every pandas group is bounded by
-    ``warmup`` rows. ``step_fn(state, x) -> (state, y)``; state starts as None
-    per sample. The output for the last warm-up step predicts the next step;
-    with ``offset=1`` (reference) forecast k is the (k+2)-th prediction,
-    with ``offset=0`` the (k+1)-th.
+    limits per group before the shuffle. Rows are then hash-partitioned by
+    id and sorted, and each partition is streamed through ``mapInPandas``:
+    complete samples of an Arrow batch are rolled out together (vectorised
+    over samples), the last, possibly incomplete sample is carried to the
+    next batch, so memory is bounded by the batch, never by the partition.
+
+    ``step_fn(state, X) -> (state, Y)`` gets a block of samples ([n, d]);
+    state starts as None. The output for the last warm-up step predicts the
+    next step; with ``offset=1`` (reference) forecast k is the (k+2)-th
+    prediction, with ``offset=0`` the (k+1)-th.
     Output: (id, k, cell, prediction).
     """
     w = Window.partitionBy(id_col).orderBy(F.col(step).desc())
@@ -63,19 +100,20 @@ def rollout(df: DataFrame, id_col: str, step: str, cells: list[str],
                                T.StructField("cell", T.IntegerType()),
                                T.StructField("prediction", T.DoubleType())])
 
-    def per_sample(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(step)
-        X = pdf[cells].to_numpy(dtype="float64")
-        state, y = None, None
-        for x in X:
-            state, y = step_fn(state, x)
-        preds = []
-        for _ in range(int(horizon) + int(offset)):
-            preds.append(y)
-            state, y = step_fn(state, y)
-        preds = preds[int(offset):]
-        rows = [(pdf[id_col].iloc[0], k, c, float(p[c])) for k, p in enumerate(preds)
-                for c in range(len(cells))]
-        return pd.DataFrame(rows, columns=[id_col, "k", "cell", "prediction"])
-
-    return last.select(id_col, step, *cells).groupBy(id_col).applyInPandas(per_sample, out_schema)
+    def run(batches):
+        pending = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if pending is not None:
+                pdf = pd.concat([pending, pdf], ignore_index=True)
+            last_id = pdf[id_col].iloc[-1]
+            tail = (pdf[id_col] == last_id).to_numpy()
+            done, pending = pdf[~tail], pdf[tail]
+            if len(done):
+                yield _rollout_block(done, id_col, cells, step_fn, horizon, offset)
+        if pending is not None and len(pending):
+            yield _rollout_block(pending, id_col, cells, step_fn, horizon, offset)
+
+    clustered = last.select(id_col, step, *cells).repartition(id_col).sortWithinPartitions(id_col, step)
+    return clustered.mapInPandas(run, out_schema)

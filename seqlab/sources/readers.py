@@ -39,9 +39,44 @@ VESSEL_SCHEMA = T.StructType([
 ])
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The cluster's shared folder: ``spark.checkpoint.dir`` when the session
+    names one, else the context's checkpoint folder (set for local tests)."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)).rstrip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/seqlab-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared folder."""
+    return f"{shared_base(spark)}/seqlab-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def staged(spark: SparkSession, name: str, sources: list[str], write) -> str:
+    """Write a derived file layout once and reuse it: the folder name is keyed
+    by the layout name and the sources' paths, sizes and modification times;
+    a finished write leaves ``_SUCCESS``, so a half-written folder is redone.
+    ``write(path)`` must overwrite ``path``."""
+    import hashlib
+
+    h = hashlib.sha1(name.encode())
+    for src in sources:
+        fs, p = _fs(spark, src)
+        st = fs.getFileStatus(p)
+        h.update(f"{src}|{st.getLen()}|{st.getModificationTime()}".encode())
+    path = f"{shared_base(spark)}/seqlab-stage/{name}-{h.hexdigest()[:16]}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        write(path)
+    return path
 
 
 # ------------------------------------------------------------ A1, A2 ------
