@@ -213,7 +213,9 @@ def regression_metrics(df: DataFrame, col: str = "col", truth: str = "truth",
         F.avg(F.abs(err)).alias("__mae"),
         F.sum(err * err).alias("__sse"),
         (F.var_pop(t) * F.count(t)).alias("__sst"),
-        F.corr(t, p).alias("__corr"))
+        # corr() raises on a zero variance under ANSI mode; Pearson from
+        # covariance and standard deviations with a NULL-on-zero division
+        F.try_divide(F.covar_pop(t, p), F.stddev_pop(t) * F.stddev_pop(p)).alias("__corr"))
     rse = F.when(F.col("__sst") > 0, F.col("__sse") / F.col("__sst"))
     return agg.select(
         F.col(col), F.col("n").cast("long").alias("n"),

@@ -130,7 +130,8 @@ def _regression(src: str, col: str) -> str:
          round(sqrt(avg((truth - prediction) * (truth - prediction))), 6) AS rmse,
          round(CASE WHEN var_pop(truth) * count(truth) > 0 THEN
                sum((truth - prediction) * (truth - prediction)) / (var_pop(truth) * count(truth)) END, 6) AS rse,
-         round(CASE WHEN var_pop(truth) * count(truth) > 0 THEN corr(truth, prediction) END, 6) AS correlation,
+         round(CASE WHEN var_pop(truth) * count(truth) > 0 AND stddev_pop(truth) * stddev_pop(prediction) <> 0
+               THEN covar_pop(truth, prediction) / (stddev_pop(truth) * stddev_pop(prediction)) END, 6) AS correlation,
          round(1 - CASE WHEN var_pop(truth) * count(truth) > 0 THEN
                sum((truth - prediction) * (truth - prediction)) / (var_pop(truth) * count(truth)) END, 6) AS r2
   FROM ({src}) GROUP BY {col}"""
