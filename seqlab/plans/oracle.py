@@ -503,3 +503,6 @@ ORACLE["forecaster_gram"] = f"""
   xy AS (SELECT 'xy' AS kind, i, CAST(unnest(range(5)) AS INTEGER) AS j, xv * unnest(ys) AS v FROM l)
   SELECT kind, i, j, round(avg(v), 6) AS value FROM (SELECT * FROM xx UNION ALL SELECT * FROM xy)
   GROUP BY kind, i, j"""
+
+ORACLE["user_reducer_geo_average"] = f"""
+  SELECT mmsi, n, lat_ref AS lat, lon_ref AS lon FROM ({ORACLE["geo_average"]})"""

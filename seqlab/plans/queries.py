@@ -443,3 +443,14 @@ def q_forecast_metrics(spark, sf_dir):
         *[F.col(f"c{i}") for i in range(5)])).alias("cell", "truth"))
     j = fc.join(truth, ["user_id", "k", "cell"])
     return K.regression_metrics(j, "cell", "truth", "prediction")
+
+
+# ================================================================ L ======
+@register("user_reducer_geo_average")
+def q_user_reducer_geo_average(spark, sf_dir):
+    """L1: the geo average written as a user accept/combine/get reducer,
+    run as map-side partial states + per-key combine (reference geo mode)."""
+    from seqlab.functions.reducers import geo_average_reducer, reduce_by_key
+    pos = _filtered_positions(spark, sf_dir).select(
+        "mmsi", C.minmax("lat", -90, 90).alias("lat"), C.minmax("lon", -180, 180).alias("lon"))
+    return reduce_by_key(pos, ["mmsi"], ["lat", "lon"], geo_average_reducer())
