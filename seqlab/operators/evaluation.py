@@ -184,7 +184,16 @@ def running_auc(df: DataFrame, batch: str = "batch_id", y: str = "y", score: str
     pref = ordered_prefix(filled, ["__bin"], [batch], {"__cpos": "__pos", "__cneg": "__neg"})
     cum = pref.select(batch, "__bin", (F.col("__cpos") + F.col("__pos")).alias("__pos"),
                       (F.col("__cneg") + F.col("__neg")).alias("__neg"))
-    roc = _roc_from_hist(cum, [batch], steps)
+    # the grid is complete (bins -1..steps for every batch), so the per-batch
+    # ROC needs no second grid: every window below runs on one partitioning
+    down = Window.partitionBy(batch).orderBy(F.col("__bin").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(batch)
+    p, n = F.sum("__pos").over(whole), F.sum("__neg").over(whole)
+    roc = cum.select(batch, "__bin",
+                     F.when(p > 0, F.sum("__pos").over(down) / p).alias("tpr"),
+                     F.when(n > 0, F.sum("__neg").over(down) / n).alias("fpr"))
+    roc = roc.where(F.col("__bin") >= 0).withColumn("threshold", F.col("__bin") / float(steps))
     return _trapezoid(roc, [batch]).select(F.col(batch).cast("long").alias(batch), "auc")
 
 
