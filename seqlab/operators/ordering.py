@@ -27,6 +27,8 @@ rows (default 5,000,000), the split otherwise.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -90,6 +92,22 @@ def _key_eq(a, b) -> bool:
     return True
 
 
+@contextmanager
+def group_limit(spark, rows: int):
+    """Temporarily set the largest group that still uses a plain window
+    (``0`` forces the range split). The choice is made when a DataFrame is
+    built, so the built plan keeps it after the block ends."""
+    old = spark.conf.get(MAX_GROUP_CONF, None)
+    spark.conf.set(MAX_GROUP_CONF, str(int(rows)))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(MAX_GROUP_CONF)
+        else:
+            spark.conf.set(MAX_GROUP_CONF, old)
+
+
 def largest_group(df: DataFrame, by: list[str]) -> int:
     """Row count of the largest ``by`` group (map-side partial counts)."""
     counts = df.groupBy(*by).count() if by else df.select(F.lit(1).alias("count")).groupBy().count()

@@ -506,3 +506,6 @@ ORACLE["forecaster_gram"] = f"""
 
 ORACLE["user_reducer_geo_average"] = f"""
   SELECT mmsi, n, lat_ref AS lat, lon_ref AS lon FROM ({ORACLE["geo_average"]})"""
+
+for _n in ("to_sequences", "rank_by_label", "mini_batches", "auc_exact", "running_auc"):
+    ORACLE[f"{_n}_split"] = ORACLE[_n]

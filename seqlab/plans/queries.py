@@ -454,3 +454,23 @@ def q_user_reducer_geo_average(spark, sf_dir):
     pos = _filtered_positions(spark, sf_dir).select(
         "mmsi", C.minmax("lat", -90, 90).alias("lat"), C.minmax("lon", -180, 180).alias("lon"))
     return reduce_by_key(pos, ["mmsi"], ["lat", "lon"], geo_average_reducer())
+
+
+# ====================================================== skew-safe paths ==
+# The same queries with the largest-group limit at 0, so that the range
+# split (the path taken when one key is too large for a task) is checked
+# against the same SQL.
+def _split_variant(name: str, base):
+    def q(spark, sf_dir):
+        from seqlab.operators.ordering import group_limit
+        with group_limit(spark, 0):
+            return base(spark, sf_dir)
+    q.__name__ = f"q_{name}"
+    q.__doc__ = f"{base.__name__} with every ordered numbering on the range-split path."
+    return register(name)(q)
+
+
+for _n, _b in [("to_sequences_split", q_to_sequences), ("rank_by_label_split", q_rank_by_label),
+               ("mini_batches_split", q_mini_batches), ("auc_exact_split", q_auc_exact),
+               ("running_auc_split", q_running_auc)]:
+    _split_variant(_n, _b)
