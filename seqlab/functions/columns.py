@@ -30,12 +30,17 @@ def to_text(col, decimals: int | None = 6) -> Column:
 
 
 # ---------------------------------------------------------------- C3 -----
+def _epoch_ntz() -> Column:
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+
+
 def parse_time(col, pattern: str = "dd/MM/yyyy HH:mm:ss") -> Column:
-    """Text -> timestamp in the session time zone; unparseable text -> NULL.
+    """Text (wall-clock time in UTC) -> timestamp instant; unparseable text -> NULL.
 
-    ``yyyy`` (year of era) is used; week-year ``YYYY`` is rejected by Spark.
-    """
-    return F.try_to_timestamp(_c(col), F.lit(pattern))
+    The text is read with an explicit ``+0000`` offset, so the result does not
+    depend on the session time zone. ``yyyy`` (year of era) is used; the
+    week-year ``YYYY`` is rejected by Spark."""
+    return F.try_to_timestamp(F.concat(_c(col), F.lit(" +0000")), F.lit(pattern + " XX"))
 
 
 def parse_time_millis(col, pattern: str = "dd/MM/yyyy HH:mm:ss") -> Column:
@@ -43,6 +48,37 @@ def parse_time_millis(col, pattern: str = "dd/MM/yyyy HH:mm:ss") -> Column:
     return F.unix_millis(parse_time(col, pattern))
 
 
+def parse_time_ntz(col, pattern: str = "dd/MM/yyyy HH:mm:ss") -> Column:
+    """Text -> wall-clock timestamp without zone (UTC wall clock)."""
+    return from_epoch_millis(parse_time_millis(col, pattern))
+
+
+def epoch_micros(col) -> Column:
+    """Zone-less timestamp (UTC wall clock) -> epoch microseconds, from its
+    fields (days since 1970-01-01, hour, minute, seconds with fraction), so
+    no session time zone (and no daylight-saving gap) is involved."""
+    c = _c(col)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+    secs = F.hour(c).cast("long") * 3600 + F.minute(c).cast("long") * 60
+    frac = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    return (days * 86400 + secs) * 1_000_000 + frac
+
+
+def epoch_millis(col) -> Column:
+    """Zone-less timestamp (UTC wall clock) -> epoch milliseconds (floor)."""
+    return F.floor(epoch_micros(col) / 1000).cast("long")
+
+
+def from_epoch_micros(col) -> Column:
+    """Epoch microseconds -> zone-less timestamp (UTC wall clock)."""
+    return F.timestamp_add("MICROSECOND", _c(col), _epoch_ntz())
+
+
+def from_epoch_millis(col) -> Column:
+    """Epoch milliseconds -> zone-less timestamp (UTC wall clock)."""
+    return F.timestamp_add("MILLISECOND", _c(col), _epoch_ntz())
+
+
 # ---------------------------------------------------------------- C4 -----
 def concat_text(sep: str, *cols) -> Column:
     return F.concat_ws(sep, *[_c(c) for c in cols])

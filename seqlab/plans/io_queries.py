@@ -18,7 +18,7 @@ from seqlab.plans import standins as S
 from seqlab.plans.queries import register
 from seqlab.plans.trajectories import hourly_trajectories
 from seqlab.sources import readers as A
-from seqlab.functions.columns import parse_time, parse_time_millis
+from seqlab.functions.columns import parse_time_millis, parse_time_ntz
 
 TS_TEXT = "dd/MM/yyyy HH:mm:ss"
 
@@ -126,7 +126,7 @@ def q_trajectories_from_csv(spark, sf_dir):
     sequences longer than 7 -> deterministic 80/20 split."""
     raw = A.scan_csv(spark, vessel_csv(spark, sf_dir), schema=A.VESSEL_SCHEMA, skip_prefix="# Timestamp")
     pos = raw.select(F.col("MMSI").alias("mmsi"),
-                     parse_time("Timestamp", TS_TEXT).cast("timestamp_ntz").alias("ts"),
+                     parse_time_ntz("Timestamp", TS_TEXT).alias("ts"),
                      F.col("Lat").alias("lat"), F.col("Lon").alias("lon"))
     return splits.hash_split(hourly_trajectories(pos), "mmsi", 80)
 

@@ -60,7 +60,7 @@ def q_geo_average(spark, sf_dir):
 def q_sequence_stats(spark, sf_dir):
     """E2 on epoch milliseconds."""
     pos = S.vessel_positions(spark, sf_dir).select(
-        "mmsi", F.unix_millis(F.col("ts").cast("timestamp")).alias("t"))
+        "mmsi", C.epoch_millis("ts").alias("t"))
     return E.sequence_stats(pos, "mmsi", "t")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seqlab.functions.columns import epoch_micros, from_epoch_micros
 from seqlab.operators.projection import drop_outside
 from seqlab.operators.sequences import hourly_geo_windows
 from seqlab.plans.trajectories import GEO_BOX
@@ -37,13 +38,14 @@ def hourly_windows_stream(positions: DataFrame, id_col: str = "mmsi", ts_col: st
     """Streaming E3+E4: the batch operator under a watermark on the time column.
 
     Watermarks need a zone-aware timestamp, so wall-clock (NTZ) times are
-    read as UTC instants and the window columns are returned as NTZ again,
+    turned into UTC instants through epoch microseconds (no session time
+    zone involved) and the window columns are returned as NTZ again,
     matching the batch operator's schema."""
-    pos = positions.select(id_col, F.col(ts_col).cast("timestamp").alias(ts_col), lat, lon)
+    pos = positions.select(id_col, F.timestamp_micros(epoch_micros(ts_col)).alias(ts_col), lat, lon)
     pos = drop_outside(pos, GEO_BOX).withWatermark(ts_col, watermark)
     out = hourly_geo_windows(pos, id_col, ts_col, lat, lon, geo_mode=geo_mode, every=every)
-    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \
-        .withColumn("first_ts", F.col("first_ts").cast("timestamp_ntz"))
+    return out.withColumn("window_start", from_epoch_micros(F.unix_micros("window_start"))) \
+        .withColumn("first_ts", from_epoch_micros(F.unix_micros("first_ts")))
 
 
 def start(windows: DataFrame, sink_path: str, checkpoint: str, output_mode: str = "append",

@@ -28,3 +28,15 @@ def test_every_oracle_has_a_query():
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, name, E.queries()[name], ORACLE[name], SF, con)
     assert res["status"] == "OK", res
+
+
+@pytest.mark.parametrize("name", ["parse_timestamp", "sequence_stats", "scan_csv_schema",
+                                  "scan_csv_inferred", "trajectories_from_csv", "hourly_trajectories"])
+def test_time_queries_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        res = compare(spark, name, E.queries()[name], ORACLE[name], SF, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert res["status"] == "OK", res
