@@ -18,11 +18,14 @@ The range partitioner's bounds are fixed for the exchange and both
 branches read the same (reused) exchange, so the range ids agree; a lost
 map output is recomputed with the same partitioner.
 
-The split costs a sampling job and a pass through Python, which only pays
-off when a group is too large for one task. ``ordered_prefix`` therefore
-first measures the largest group (a partial+final count, one small job)
-and uses a plain window when it is at most ``seqlab.ordered.maxGroupRows``
-rows (default 5,000,000), the split otherwise.
+The split costs a sampling pass and a pass through Python, which only pays
+off when a group may be too large for one task. The choice needs no job:
+when the optimizer's size estimate of the input is at most
+``seqlab.ordered.windowMaxBytes`` (default 256 MB), even a single group
+holding every row fits one task and a plain window is used; above it the
+input is assumed to hold hot keys and is split. (Counting the largest group
+first would re-run the whole upstream plan, a full extra pass at scale; the
+split path instead samples the already-shuffled stage output.)
 """
 
 from __future__ import annotations
@@ -37,8 +40,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 _PID = "__range_id"
-MAX_GROUP_CONF = "seqlab.ordered.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 5_000_000
+WINDOW_MAX_BYTES_CONF = "seqlab.ordered.windowMaxBytes"
+DEFAULT_WINDOW_MAX_BYTES = 256 * 1024 * 1024
 
 
 def _num_ranges(df: DataFrame, num: int | None) -> int:
@@ -93,26 +96,33 @@ def _key_eq(a, b) -> bool:
 
 
 @contextmanager
-def group_limit(spark, rows: int):
-    """Temporarily set the largest group that still uses a plain window
-    (``0`` forces the range split). The choice is made when a DataFrame is
+def window_limit(spark, max_bytes: int):
+    """Temporarily set the input size up to which a plain window is used
+    (``-1`` forces the range split). The choice is made when a DataFrame is
     built, so the built plan keeps it after the block ends."""
-    old = spark.conf.get(MAX_GROUP_CONF, None)
-    spark.conf.set(MAX_GROUP_CONF, str(int(rows)))
+    old = spark.conf.get(WINDOW_MAX_BYTES_CONF, None)
+    spark.conf.set(WINDOW_MAX_BYTES_CONF, str(int(max_bytes)))
     try:
         yield
     finally:
         if old is None:
-            spark.conf.unset(MAX_GROUP_CONF)
+            spark.conf.unset(WINDOW_MAX_BYTES_CONF)
         else:
-            spark.conf.set(MAX_GROUP_CONF, old)
+            spark.conf.set(WINDOW_MAX_BYTES_CONF, old)
 
 
-def largest_group(df: DataFrame, by: list[str]) -> int:
-    """Row count of the largest ``by`` group (map-side partial counts)."""
-    counts = df.groupBy(*by).count() if by else df.select(F.lit(1).alias("count")).groupBy().count()
-    row = counts.agg(F.max("count")).head()
-    return int(row[0] or 0)
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (no job runs); None if unknown."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - an unknown size means "assume large"
+        return None
+
+
+def use_window(df: DataFrame) -> bool:
+    limit = int(df.sparkSession.conf.get(WINDOW_MAX_BYTES_CONF, str(DEFAULT_WINDOW_MAX_BYTES)))
+    size = estimated_bytes(df)
+    return size is not None and 0 <= size <= limit
 
 
 def ordered_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str],
@@ -124,12 +134,11 @@ def ordered_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, st
     ``sums`` maps output name -> input column name; pass ``"__one"`` as the
     input to count rows. Outputs are doubles (exact for counts below 2**53).
     ``split``: True forces the range split, False the plain window, None
-    decides by the largest group's size.
+    decides by the estimated input size (see the module notes).
     """
     by = list(by)
     if split is None:
-        limit = int(df.sparkSession.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-        split = largest_group(df, by) > limit
+        split = not use_window(df)
     if not split:
         return _window_prefix(df, by, order, sums)
     return _split_prefix(df, by, order, sums, num_ranges)

@@ -1,8 +1,8 @@
 """Sequence building and reduction.
 
-Canonical form is the long table ``(seq_id, step, ...)``. Nested arrays are
-produced only at the boundary (``nest_sequences``), because a nested row
-holds a whole sequence in one record.
+Canonical form is the long table ``(seq_id, step, ...)``: a sequence is
+never gathered into one record (a nested row would hold a whole, possibly
+huge, sequence in one task).
 """
 
 from __future__ import annotations
@@ -30,13 +30,6 @@ def to_sequences(df: DataFrame, id_col: str, ts_col: str, tiebreak: str | None =
     return out
 
 
-def nest_sequences(df: DataFrame, id_col: str, step_col: str, value_cols: list[str],
-                   name: str = "steps") -> DataFrame:
-    """Boundary form: one row per id with ``array<struct<step, values...>>`` in step order."""
-    s = F.struct(F.col(step_col).alias("step"), *[F.col(c) for c in value_cols])
-    return df.groupBy(id_col).agg(F.array_sort(F.collect_list(s)).alias(name))
-
-
 def sequence_stats(df: DataFrame, id_col: str, ts_col: str) -> DataFrame:
     """Positions, first, last and span of time per id (no sequence is built)."""
     t = F.col(ts_col)
