@@ -20,10 +20,10 @@ map output is recomputed with the same partitioner.
 
 The split costs a sampling pass and a pass through Python, which only pays
 off when a group may be too large for one task. The choice needs no job:
-when the optimizer's size estimate of the input is at most
-``seqlab.ordered.windowMaxBytes`` (default 256 MB), even a single group
-holding every row fits one task and a plain window is used; above it the
-input is assumed to hold hot keys and is split. (Counting the largest group
+when the optimizer's size estimate of the input (capped by the bytes its
+scans read) is at most ``seqlab.ordered.windowMaxBytes`` (default 256 MB),
+even a single group holding every row fits one task and a plain window is
+used; above it the input is assumed to hold hot keys and is split. (Counting the largest group
 first would re-run the whole upstream plan, a full extra pass at scale; the
 split path instead samples the already-shuffled stage output.)
 """
@@ -112,9 +112,16 @@ def window_limit(spark, max_bytes: int):
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (no job runs); None if unknown."""
+    """Size estimate of ``df`` from the optimizer, no job: the smaller of the
+    plan's own estimate and the bytes its leaf scans read (without
+    cost-based statistics a join is estimated as the product of its inputs,
+    which says nothing about how much data there is). None if unknown."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        plan = df._jdf.queryExecution().optimizedPlan()
+        total = int(str(plan.stats().sizeInBytes()))
+        leaves = plan.collectLeaves()
+        read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        return min(total, read)
     except Exception:  # noqa: BLE001 - an unknown size means "assume large"
         return None
 
