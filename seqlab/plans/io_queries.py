@@ -99,6 +99,7 @@ def stage_all(spark, sf_dir) -> None:
     vessel_csv_named(spark, sf_dir)
     conversation_files(spark, sf_dir)
     event_rows_csv(spark, sf_dir)
+    zip_reader_csvs(spark, sf_dir)
 
 
 @register("scan_csv_inferred")
@@ -162,3 +163,31 @@ def q_save_and_reload_sequences(spark, sf_dir):
     A.save_sequences(traj.where(F.col("split") == "train"), f"{base}/train", "mmsi", "step")
     A.save_sequences(traj.where(F.col("split") == "test"), f"{base}/test", "mmsi", "step")
     return A.load_sequences(spark, f"{base}/train").unionByName(A.load_sequences(spark, f"{base}/test"))
+
+
+def zip_reader_csvs(spark, sf_dir) -> list[tuple[str, list[str]]]:
+    """Five aligned CSV layouts (one per reader), each sorted by event id into
+    range-partitioned part files with a header line."""
+    from seqlab.plans.queries import zip_readers
+    ev = S.table(spark, sf_dir, "events")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = []
+    for i, cols in enumerate(zip_readers()):
+        rows = ev.select("event_id", *[e.alias(name) for name, e in cols])
+
+        def write(path, rows=rows):
+            rows.repartitionByRange(n, "event_id").sortWithinPartitions("event_id").drop("event_id") \
+                .write.mode("overwrite").option("header", True).csv(path)
+        out.append((A.staged(spark, f"zip-reader-{i}-{n}", _src(sf_dir, "events"), write),
+                    [name for name, _ in cols]))
+    return out
+
+
+@register("positional_zip_csv")
+def q_positional_zip_csv(spark, sf_dir):
+    """A4 + D1 as in the reference: five CSV readers, each numbered by line
+    (header skipped), zipped by row number."""
+    from seqlab.operators.align import positional_zip
+    from seqlab.plans.queries import zip_output
+    readers = [A.scan_rows_numbered(spark, path, names, skip=1) for path, names in zip_reader_csvs(spark, sf_dir)]
+    return zip_output(positional_zip(readers))

@@ -509,3 +509,5 @@ ORACLE["user_reducer_geo_average"] = f"""
 
 for _n in ("to_sequences", "rank_by_label", "mini_batches", "auc_exact", "running_auc"):
     ORACLE[f"{_n}_split"] = ORACLE[_n]
+
+ORACLE["positional_zip_csv"] = ORACLE["positional_zip"]

@@ -191,31 +191,36 @@ def q_last_valid_step(spark, sf_dir):
 
 
 # ================================================================ D ======
-def _reader(spark, sf_dir, cols, name_map):
-    ev = S.table(spark, sf_dir, "events")
-    from seqlab.operators.ordering import ordered_index
-    sel = ev.select("event_id", *[expr.alias(n) for n, expr in zip(name_map, cols)])
-    return ordered_index(sel, [], ["event_id"], name="row_no").drop("event_id")
+def zip_readers():
+    """The five column groups of the positional-zip stand-in (name, expression)."""
+    ev = F.col
+    return [
+        [("label", (ev("event_type") == "purchase").cast("int")), ("f1", ev("value")),
+         ("f2", ev("user_id").cast("double")), ("f3", F.hour("ts").cast("double"))],
+        [("f4", ev("value") * 2.0), ("f5", F.minute("ts").cast("double")),
+         ("f6", F.second("ts").cast("double"))],
+        [("f7", F.length("props").cast("double")), ("f8", F.dayofmonth("ts").cast("double")),
+         ("f9", (ev("event_id") % 7).cast("double"))],
+        [("f10", F.sqrt("value")), ("f11", F.log1p("value")), ("f12", ev("value") / 10.0)],
+        [("f13", (ev("user_id") % 3).cast("double")), ("f14", (ev("user_id") % 5).cast("double")),
+         ("f15", (ev("user_id") % 11).cast("double"))],
+    ]
+
+
+def zip_output(z):
+    return z.select("row_no", F.col("label").cast("int").alias("label"),
+                    *[F.round(f"f{i}", 9).alias(f"f{i}") for i in range(1, 16)])
 
 
 @register("positional_zip")
 def q_positional_zip(spark, sf_dir):
     """Five readers (column groups of events, each numbered on its own)
     zipped by row number."""
-    ev = F.col
-    r1 = _reader(spark, sf_dir, [(ev("event_type") == "purchase").cast("int"), ev("value"),
-                                 ev("user_id").cast("double"), F.hour("ts").cast("double")],
-                 ["label", "f1", "f2", "f3"])
-    r2 = _reader(spark, sf_dir, [ev("value") * 2.0, F.minute("ts").cast("double"),
-                                 F.second("ts").cast("double")], ["f4", "f5", "f6"])
-    r3 = _reader(spark, sf_dir, [F.length("props").cast("double"), F.dayofmonth("ts").cast("double"),
-                                 (ev("event_id") % 7).cast("double")], ["f7", "f8", "f9"])
-    r4 = _reader(spark, sf_dir, [F.sqrt("value"), F.log1p("value"), ev("value") / 10.0],
-                 ["f10", "f11", "f12"])
-    r5 = _reader(spark, sf_dir, [(ev("user_id") % 3).cast("double"), (ev("user_id") % 5).cast("double"),
-                                 (ev("user_id") % 11).cast("double")], ["f13", "f14", "f15"])
-    z = align.positional_zip([r1, r2, r3, r4, r5])
-    return z.select("row_no", "label", *[F.round(f"f{i}", 9).alias(f"f{i}") for i in range(1, 16)])
+    from seqlab.operators.ordering import ordered_index
+    ev = S.table(spark, sf_dir, "events")
+    readers = [ordered_index(ev.select("event_id", *[e.alias(n) for n, e in cols]), [], ["event_id"],
+                             name="row_no").drop("event_id") for cols in zip_readers()]
+    return zip_output(align.positional_zip(readers))
 
 
 def _conv_labels(spark, sf_dir):
