@@ -260,3 +260,30 @@ def test_timeseries_mask(spark):
     df = spark.createDataFrame([(1, 0.9, 1), (0, 0.1, 1), (0, 0.95, 0)], "y int, score double, mask int")
     assert K.timeseries_auc(df).head().auc == 1.0
     assert K.timeseries_auc(df, include_padding=True).head().auc == 0.5
+
+
+def test_positional_zip_drops_excess_rows(spark):
+    a = spark.createDataFrame([(0, 1.0), (1, 2.0), (2, 3.0)], "row_no long, a double")
+    b = spark.createDataFrame([(0, 10.0), (1, 20.0)], "row_no long, b double")
+    got = sorted(tuple(r) for r in align.positional_zip([a, b]).collect())
+    assert got == [(0, 1.0, 10.0), (1, 2.0, 20.0)]
+
+
+def test_thresholded_auc_single_class_is_null(spark):
+    assert K.auc_thresholded(_bin_df(spark, [(0, 0.2), (0, 0.7)])).head().auc is None
+
+
+def test_seq2seq_stop_at_last_nonzero_mask(spark):
+    rows = [("a", t, 0, float(t), m) for t, m in enumerate([1, 1, 1, 0, 0])]
+    df = spark.createDataFrame(rows, "seq_id string, step long, channel int, value double, mask int")
+    out = seq2seq.seq2seq(df, n_channels=1, mask="mask").collect()
+    stop = [(r.pos, r.value) for r in out if r.tensor == "label" and r.channel == 1]
+    assert stop == [(2, 1.0)]
+    last = B.last_valid_step(df, "seq_id", "step", "mask").head().last_step
+    assert last == 2
+
+
+def test_one_step_sequence(spark):
+    df = spark.createDataFrame([("b", 0, 0, 5.0)], "seq_id string, step long, channel int, value double")
+    out = sorted((r.tensor, r.pos, r.channel, r.value) for r in seq2seq.seq2seq(df, n_channels=1).collect())
+    assert out == [("decoder", 0, 1, 1.0), ("decoder", 1, 0, 5.0), ("label", 0, 0, 5.0), ("label", 0, 1, 1.0)]
