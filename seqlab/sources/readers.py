@@ -3,12 +3,10 @@
 Row order inside files matters for the reference's readers (a line is a
 time step, or row i of five files is one sample). Spark gives no order, so:
 
-* numbered per-sample files are read whole (``wholetext``): one file is one
-  row, lines are exploded with their position, and the file is the unit of
-  parallelism;
-* a line number over large files is rebuilt from (file, split, position
-  in split) plus per-split offsets; a split is read by one task in offset
-  order, and the offsets table has one row per split.
+* a line number is rebuilt from (file, split, position in split) plus
+  per-split offsets: a split is read by one task in offset order, and the
+  offsets table has one row per split. Per-sample files (a line is a step)
+  and large single files (a line is a record) are both read split-parallel.
 """
 
 from __future__ import annotations
@@ -103,17 +101,21 @@ def scan_numbered_sequences(spark: SparkSession, path: str, lo: int, hi: int, co
                             id_col: str = "sample_id") -> DataFrame:
     """A3: one file per sample (id taken from the file path by ``id_pattern``),
     ids ``lo..hi`` inclusive, first ``skip`` lines dropped, each remaining line
-    is a step (0-based) with ``columns`` as doubles."""
-    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    raw = raw.select(F.regexp_extract(F.col("_metadata.file_path"), id_pattern, 1).alias("__id"),
-                     "value")
-    raw = raw.where(F.col("__id") != "").select(F.col("__id").cast("long").alias(id_col), "value")
-    raw = raw.where(F.col(id_col).between(int(lo), int(hi)))
-    lines = raw.select(id_col, F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("__ln", "__txt"))
-    lines = lines.where((F.col("__ln") >= int(skip)) & (F.length("__txt") > 0))
-    cells = F.split(F.col("__txt"), _re(sep))
-    return lines.select(
-        id_col, (F.col("__ln") - int(skip)).cast("long").alias("step"),
+    is a step (0-based) with ``columns`` as doubles.
+
+    Lines are read split-parallel and numbered inside their file by
+    ``number_lines``, so a very long sample is read by many tasks and is
+    never held as one record. The id range is applied to the file paths
+    before any line is numbered."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    sid = F.regexp_extract(F.col("_metadata.file_path"), id_pattern, 1)
+    lines = lines.where((sid != "") & sid.cast("long").between(int(lo), int(hi)))
+    numbered = number_lines(lines, "__ln", skip=skip, per_file=True, keep_path=True)
+    numbered = numbered.where(F.length("value") > 0)
+    cells = F.split(F.col("value"), _re(sep))
+    return numbered.select(
+        F.regexp_extract(F.col("__path"), id_pattern, 1).cast("long").alias(id_col),
+        F.col("__ln").cast("long").alias("step"),
         *[cells.getItem(i).try_cast("double").alias(c) for i, c in enumerate(columns)])
 
 
@@ -123,10 +125,11 @@ def _re(sep: str) -> str:
 
 
 # ------------------------------------------------------------------ A4 ----
-def number_lines(lines: DataFrame, name: str = "row_no", skip: int = 0) -> DataFrame:
-    """Dense 0-based record numbers of a text scan in (file path, offset) order,
-    after dropping the first ``skip`` lines of every file; no global window
-    over the rows.
+def number_lines(lines: DataFrame, name: str = "row_no", skip: int = 0, per_file: bool = False,
+                 keep_path: bool = False) -> DataFrame:
+    """Dense 0-based record numbers of a text scan in (file path, offset) order
+    (``per_file``: restarting in every file), after dropping the first
+    ``skip`` lines of every file; no window over the rows.
 
     Each input split (file, block start) is read by one task in order, so a
     line's position inside its split is its id minus the split's smallest
@@ -144,15 +147,20 @@ def number_lines(lines: DataFrame, name: str = "row_no", skip: int = 0) -> DataF
     chunks = chunks.select("__f", "__b", "__m0",
                            F.coalesce(F.sum("__n").over(in_file), F.lit(0)).alias("__foff"),
                            F.greatest(F.sum("__n").over(whole_file) - int(skip), F.lit(0)).alias("__keep"))
-    files = chunks.select("__f", "__keep").distinct()
-    across = Window.partitionBy().orderBy("__f").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select("__f", F.coalesce(F.sum("__keep").over(across), F.lit(0)).alias("__goff"))
-    chunks = chunks.join(files, "__f").drop("__keep")
+    if per_file:
+        chunks = chunks.withColumn("__goff", F.lit(0).cast("long")).drop("__keep")
+    else:
+        files = chunks.select("__f", "__keep").distinct()
+        across = Window.partitionBy().orderBy("__f").rowsBetween(Window.unboundedPreceding, -1)
+        files = files.select("__f", F.coalesce(F.sum("__keep").over(across), F.lit(0)).alias("__goff"))
+        chunks = chunks.join(files, "__f").drop("__keep")
     out = tagged.join(chunks, ["__f", "__b"])
     line_in_file = F.col("__m") - F.col("__m0") + F.col("__foff")
     out = out.where(line_in_file >= int(skip))
-    return out.withColumn(name, (F.col("__goff") + line_in_file - int(skip)).cast("long")) \
-        .drop("__f", "__b", "__m", "__m0", "__foff", "__goff")
+    out = out.withColumn(name, (F.col("__goff") + line_in_file - int(skip)).cast("long"))
+    if keep_path:
+        out = out.withColumnRenamed("__f", "__path")
+    return out.drop("__f", "__b", "__m", "__m0", "__foff", "__goff")
 
 
 def scan_rows_numbered(spark: SparkSession, path: str, columns: list[str], skip: int = 1,
