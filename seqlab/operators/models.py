@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from seqlab.operators.ordering import ordered_prefix
 
 
-def _vec(df: DataFrame, features, out: str = "features_vec") -> DataFrame:
+def as_vector(df: DataFrame, features, out: str = "features_vec") -> DataFrame:
+    """Add an ML vector column from a list of numeric columns or one array column."""
     if isinstance(features, (list, tuple)):
         return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
     return df.withColumn(out, array_to_vector(F.col(features)))
@@ -32,7 +33,7 @@ def fit_vector_classifier(df: DataFrame, features: str, label: str, num_classes:
     """Multi-class classifier on an array column: an MLP (``hidden`` units,
     sigmoid hidden layer, softmax output, L-BFGS) or, with ``hidden=None``,
     multinomial logistic regression with L2 ``reg``."""
-    data = _vec(df, features)
+    data = as_vector(df, features)
     d = data.select(F.size(F.col(features)).alias("d")).head()[0] if not isinstance(features, list) \
         else len(features)
     if hidden:
@@ -47,7 +48,7 @@ def fit_vector_classifier(df: DataFrame, features: str, label: str, num_classes:
 
 def predict_classes(model, df: DataFrame, features) -> DataFrame:
     """J1 for classifiers: adds ``yhat`` (int) and ``p1`` (probability of class 1)."""
-    out = model.transform(_vec(df, features))
+    out = model.transform(as_vector(df, features))
     return out.withColumn("yhat", F.col("prediction").cast("int")) \
         .withColumn("p1", vector_to_array("probability")[1])
 
@@ -56,7 +57,7 @@ def predict_classes(model, df: DataFrame, features) -> DataFrame:
 def fit_fused_classifier(df: DataFrame, feature_cols: list[str], label: str, hidden: int = 50,
                          seed: int = 123, max_iter: int = 20):
     """Several aligned inputs merged into one vector, 2-class MLP."""
-    data = _vec(df, feature_cols)
+    data = as_vector(df, feature_cols)
     est = MultilayerPerceptronClassifier(featuresCol="features_vec", labelCol=label,
                                          layers=[len(feature_cols), int(hidden), 2],
                                          seed=seed, maxIter=max_iter)
@@ -76,7 +77,7 @@ def sequence_features(df: DataFrame, id_col: str, step: str, value_cols: list[st
 
 def fit_sequence_classifier(seq_features: DataFrame, label: str, feature_cols: list[str],
                             reg: float = 1e-4, max_iter: int = 50):
-    data = _vec(seq_features, feature_cols)
+    data = as_vector(seq_features, feature_cols)
     return LogisticRegression(featuresCol="features_vec", labelCol=label, regParam=reg,
                               maxIter=max_iter).fit(data.withColumn(label, F.col(label).cast("double")))
 
@@ -101,7 +102,7 @@ def trailing_features(df: DataFrame, id_col: str, step: str, value: str) -> Data
 def fit_multitask(features: DataFrame, feature_cols: list[str], targets: list[str],
                   reg: float = 1e-4, max_iter: int = 50) -> dict:
     """One logistic regression per target over shared (cached) features."""
-    data = _vec(features, feature_cols).persist()
+    data = as_vector(features, feature_cols).persist()
     try:
         models = {t: LogisticRegression(featuresCol="features_vec", labelCol=t, regParam=reg,
                                         maxIter=max_iter, predictionCol=f"{t}_pred",
@@ -116,7 +117,7 @@ def fit_multitask(features: DataFrame, feature_cols: list[str], targets: list[st
 def fit_reconstruction(df: DataFrame, features: str, k: int = 10):
     """Linear bottleneck: centre, then PCA with ``k`` components (distributed
     covariance; the d x d eigen-problem is solved on the driver)."""
-    data = _vec(df, features)
+    data = as_vector(df, features)
     scaler = StandardScaler(inputCol="features_vec", outputCol="centered", withMean=True,
                             withStd=False).fit(data)
     pca = PCA(k=int(k), inputCol="centered", outputCol="code").fit(scaler.transform(data))
@@ -128,7 +129,7 @@ def reconstruction_errors(models, df: DataFrame, features: str, name: str = "sco
     ``||x_c - P P' x_c||^2 = ||x_c||^2 - ||P' x_c||^2``, so no d-vector needs to
     be rebuilt."""
     scaler, pca = models
-    out = pca.transform(scaler.transform(_vec(df, features)))
+    out = pca.transform(scaler.transform(as_vector(df, features)))
     xc = vector_to_array("centered")
     z = vector_to_array("code")
     sq = lambda a: F.aggregate(F.transform(a, lambda v: v * v), F.lit(0.0), lambda s, v: s + v)

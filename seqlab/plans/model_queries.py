@@ -72,7 +72,7 @@ def q_train_multitask(spark, sf_dir):
     models = M.fit_multitask(feats, cols, ["y1", "y2"])
     scored = feats
     for t, m in models.items():
-        scored = m.transform(M._vec(scored, cols)).drop("features_vec").withColumn(
+        scored = m.transform(M.as_vector(scored, cols)).drop("features_vec").withColumn(
             f"{t}_p", F.element_at(vector_to_array(f"{t}_prob"), 2))
     long = scored.select("seq_id", "step", F.explode(F.array(
         F.struct(F.lit("y1").alias("target"), F.col("y1").alias("y"), F.col("y1_p").alias("score")),

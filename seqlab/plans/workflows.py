@@ -100,7 +100,7 @@ def multitask_sequences(spark: SparkSession, features_dir: str, target_dirs: dic
     valid = feats.where(F.col("sample_id") > mid)
     longs = []
     for t, m in models.items():
-        p = m.transform(M._vec(valid, fcols))
+        p = m.transform(M.as_vector(valid, fcols))
         longs.append(p.select(F.lit(t).alias("target"), F.col(t).cast("int").alias("y"),
                               F.element_at(_v2a(f"{t}_prob"), 2).alias("score")))
     scored = longs[0]
@@ -164,7 +164,7 @@ def classify_vectors(spark: SparkSession, train: DataFrame, test: DataFrame, num
     accuracy / macro precision / recall / F1, one-vs-all AUC. A5 I1 J1 K1 K2 K5 I7."""
     model = M.fit_vector_classifier(train, "features", "label", num_classes, hidden=hidden,
                                     max_iter=max_iter)
-    pred = model.transform(M._vec(test, "features")).select(
+    pred = model.transform(M.as_vector(test, "features")).select(
         "id", F.col("label").alias("y"), F.col("prediction").cast("int").alias("yhat"),
         _v2a("probability").alias("scores"))
     return {"confusion": K.confusion(pred), "metrics": K.classification_metrics(pred),
