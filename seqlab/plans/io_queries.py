@@ -116,7 +116,9 @@ def q_scan_csv_schema(spark, sf_dir):
     df = A.scan_csv(spark, vessel_csv(spark, sf_dir), schema=A.VESSEL_SCHEMA, skip_prefix="# Timestamp")
     return df.select(F.col("MMSI").alias("mmsi"), parse_time_millis("Timestamp", TS_TEXT).alias("ts_ms"),
                      F.col("Lat").alias("lat"), F.col("Lon").alias("lon"),
-                     F.col("Heading").alias("heading"), F.col("Draught").alias("draught"),
+                     # heading has empty cells: emitted as double so that NULL
+                     # compares the same way in every engine's frame
+                     F.col("Heading").cast("double").alias("heading"), F.col("Draught").alias("draught"),
                      F.col("Width").alias("width"))
 
 

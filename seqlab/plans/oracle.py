@@ -462,7 +462,7 @@ ORACLE["scan_csv_inferred"] = f"""
 
 ORACLE["scan_csv_schema"] = f"""
   SELECT p.mmsi, epoch_us(date_trunc('second', p.ts)) // 1000 AS ts_ms, p.lat, p.lon,
-         CAST(CASE WHEN e.event_id % 10 <> 0 THEN (e.event_id * 7) % 360 END AS INTEGER) AS heading,
+         CAST(CASE WHEN e.event_id % 10 <> 0 THEN (e.event_id * 7) % 360 END AS DOUBLE) AS heading,
          CAST(NULL AS DOUBLE) AS draught, CAST(e.user_id % 30 + 5 AS INTEGER) AS width
   FROM ({POSITIONS}) p JOIN events e ON p.event_id = e.event_id"""
 
