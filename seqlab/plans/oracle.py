@@ -272,9 +272,9 @@ ORACLE["split_to_doubles"] = f"""
   FROM (SELECT event_id, printf('%.6f', lat) || ',' || printf('%.6f', lon) AS txt FROM ({FILTERED}) f)"""
 
 ORACLE["geo_to_xyz"] = f"""
-  SELECT event_id, round(x, 9) AS x, round(y, 9) AS y, round(z, 9) AS z,
-         round(degrees(atan2(z, sqrt(x * x + y * y))), 6) AS lat_back,
-         round(degrees(atan2(y, x)), 6) AS lon_back
+  SELECT event_id, round(x, 9) + 0.0 AS x, round(y, 9) + 0.0 AS y, round(z, 9) + 0.0 AS z,
+         round(degrees(atan2(z, sqrt(x * x + y * y))), 6) + 0.0 AS lat_back,
+         round(degrees(atan2(y, x)), 6) + 0.0 AS lon_back
   FROM (SELECT event_id, cos(radians(lat)) * cos(radians(lon)) AS x,
                cos(radians(lat)) * sin(radians(lon)) AS y, sin(radians(lat)) AS z FROM ({FILTERED}) f)"""
 

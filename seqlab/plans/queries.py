@@ -148,9 +148,10 @@ def q_geo_to_xyz(spark, sf_dir):
     pos = _filtered_positions(spark, sf_dir)
     x, y, z = C.geo_xyz("lat", "lon")
     la, lo = C.xyz_geo(x, y, z)
-    return pos.select("event_id", F.round(x, 9).alias("x"), F.round(y, 9).alias("y"),
-                      F.round(z, 9).alias("z"), F.round(la, 6).alias("lat_back"),
-                      F.round(lo, 6).alias("lon_back"))
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (engines differ in keeping the sign)
+    return pos.select("event_id", (F.round(x, 9) + 0.0).alias("x"), (F.round(y, 9) + 0.0).alias("y"),
+                      (F.round(z, 9) + 0.0).alias("z"), (F.round(la, 6) + 0.0).alias("lat_back"),
+                      (F.round(lo, 6) + 0.0).alias("lon_back"))
 
 
 @register("one_hot")

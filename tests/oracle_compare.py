@@ -40,7 +40,7 @@ def _norm(v, approx: bool):
             return "nan"
         if approx:
             return float(f"{v:.9g}")
-        return v
+        return repr(v)  # keeps the sign of zero, as a text hash would
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x, approx) for x in v)
     if isinstance(v, dt.datetime):
