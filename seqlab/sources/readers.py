@@ -81,15 +81,22 @@ def staged(spark: SparkSession, name: str, sources: list[str], write) -> str:
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              header: bool = True, skip_prefix: str | None = None) -> DataFrame:
     """A1: header + inferred schema (``schema=None``), or A2: a positional schema
-    over text lines, dropping lines that start with ``skip_prefix``.
+    over header-less lines, dropping the lines that start with ``skip_prefix``.
 
-    A2 reads lines as text, removes the header lines by prefix, and parses the
-    rest with ``from_csv`` (PERMISSIVE: a bad cell is NULL)."""
+    A2 uses the CSV source with the schema applied by position (PERMISSIVE: a
+    bad cell is NULL), so only the columns a query uses are converted. A line
+    starts with the prefix exactly when its first cell does, as long as the
+    prefix holds no separator or quote; otherwise the raw lines are
+    filtered as text before parsing."""
     if schema is None:
         return spark.read.csv(path, header=header, inferSchema=True)
-    lines = spark.read.text(path)
-    if skip_prefix:
-        lines = lines.where(~F.col("value").startswith(skip_prefix))
+    if not skip_prefix:
+        return spark.read.schema(schema).csv(path, header=False, mode="PERMISSIVE")
+    if not any(ch in skip_prefix for ch in ',"'):
+        df = spark.read.schema(schema).csv(path, header=False, mode="PERMISSIVE")
+        first = F.col(schema.fields[0].name)
+        return df.where(first.isNull() | ~first.startswith(skip_prefix))
+    lines = spark.read.text(path).where(~F.col("value").startswith(skip_prefix))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = lines.select(F.from_csv(F.col("value"), ddl, {"mode": "PERMISSIVE"}).alias("r"))
     return parsed.select("r.*")
