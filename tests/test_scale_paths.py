@@ -133,3 +133,58 @@ def test_reconstruction_error_matches_numpy(spark):
     P = vt[:2].T
     err = ((Xc - Xc @ P @ P.T) ** 2).mean(axis=1)
     assert np.allclose([got[i] for i in range(60)], err, atol=1e-8)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 12)), min_size=2, max_size=80))
+def test_auc_exact_equals_pairwise_brute_force(spark, rows):
+    from seqlab.operators import evaluation as K
+    data = [(y, s / 12.0) for y, s in rows]
+    pos = [s for y, s in data if y == 1]
+    neg = [s for y, s in data if y == 0]
+    df = spark.createDataFrame(data, "y int, score double")
+    got = K.auc_exact(df).head().auc
+    if not pos or not neg:
+        assert got is None
+        return
+    wins = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg)
+    assert got == pytest.approx(round(wins / (len(pos) * len(neg)), 6), abs=1e-9)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 100)), min_size=2, max_size=60))
+def test_roc_thresholded_equals_direct_counts(spark, rows):
+    from seqlab.operators import evaluation as K
+    data = [(y, s / 100.0) for y, s in rows]
+    df = spark.createDataFrame(data, "y int, score double")
+    roc = {round(r.threshold * 100): (r.tp, r.fp) for r in K.roc_thresholded(df).collect()}
+    for i in range(101):
+        tp = sum(1 for y, s in data if y == 1 and s >= i / 100.0)
+        fp = sum(1 for y, s in data if y == 0 and s >= i / 100.0)
+        assert roc[i] == (tp, fp)
+
+
+def test_classification_metrics_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [(rnd.randrange(4), rnd.randrange(5)) for _ in range(300)]
+    from seqlab.operators import evaluation as K
+    r = K.classification_metrics(spark.createDataFrame(rows, "y int, yhat int")).head()
+    classes = sorted({y for y, _ in rows} | {p for _, p in rows})
+    precs, recs, f1s = [], [], []
+    for c in classes:
+        tp = sum(1 for y, p in rows if y == c and p == c)
+        pred = sum(1 for _, p in rows if p == c)
+        act = sum(1 for y, _ in rows if y == c)
+        pr = tp / pred if pred else None
+        rc = tp / act if act else None
+        if pr is not None:
+            precs.append(pr)
+        if rc is not None:
+            recs.append(rc)
+        if pr is not None and rc is not None:
+            f1s.append(2 * pr * rc / (pr + rc) if pr + rc else 0.0)
+    assert r.accuracy == pytest.approx(sum(y == p for y, p in rows) / len(rows), abs=1e-6)
+    assert r.precision == pytest.approx(sum(precs) / len(precs), abs=1e-6)
+    assert r.recall == pytest.approx(sum(recs) / len(recs), abs=1e-6)
+    assert r.f1 == pytest.approx(sum(f1s) / len(f1s), abs=1e-6)
