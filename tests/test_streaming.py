@@ -23,3 +23,30 @@ def test_stream_equals_batch(spark, sf_small):
     want = sorted(tuple(r) for r in hourly_geo_windows(
         drop_outside(pos, GEO_BOX), "mmsi", "ts", "lat", "lon").collect())
     assert got == want and len(got) > 0
+
+
+def test_watermark_drops_late_rows_in_append_mode(spark):
+    import datetime as dt
+    src = tempfile.mkdtemp(prefix="seqlab-stream-late-")
+    t0 = dt.datetime(2024, 1, 1)
+    batches = [
+        [("v", t0 + dt.timedelta(hours=h, minutes=5), 10.0, 20.0) for h in range(0, 4)],
+        [("v", t0 + dt.timedelta(hours=8, minutes=5), 10.0, 20.0)],      # watermark -> 06:05
+        [("v", t0 + dt.timedelta(hours=9, minutes=5), 10.0, 20.0)],      # hours 0-3 emitted, evicted
+        [("v", t0 + dt.timedelta(hours=1, minutes=30), 11.0, 21.0),      # late for an evicted window
+         ("v", t0 + dt.timedelta(hours=10, minutes=5), 10.0, 20.0)],
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, ST.POSITION_SCHEMA).coalesce(1).write.parquet(f"{src}/b{i}")
+    stream = ST.hourly_windows_stream(
+        spark.readStream.schema(ST.POSITION_SCHEMA).option("maxFilesPerTrigger", 1)
+        .option("recursiveFileLookup", True).parquet(src))
+    q = stream.writeStream.format("memory").queryName("hourly_late").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    got = {r.window_start.hour: r.n_points for r in spark.sql("SELECT * FROM hourly_late").collect()}
+    # hours 0-3 are emitted once, when the watermark has passed them; the
+    # row for hour 1 arriving after that is dropped (a late row that reaches
+    # a window still in state is merged: the watermark bounds state, it does
+    # not promise to drop every late row); hours 8-10 wait for a later one
+    assert got == {0: 1, 1: 1, 2: 1, 3: 1}
