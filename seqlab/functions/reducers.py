@@ -7,7 +7,8 @@ with a third of the rows would land in one task. A reducer written as
 aggregation:
 
 1. map side (``mapInPandas``): every task folds its rows into one partial
-   state per key (per Arrow batch, then combined across the task's batches);
+   state per key (per Arrow batch, then combined across the task's batches,
+   flushed every ``FLUSH_STATES`` states so memory stays bounded);
 2. reduce side (``applyInPandas`` per key): the partial states of a key -
    at most one per map task, never one per row - are combined and finished.
 """
@@ -23,6 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+FLUSH_STATES = 200_000
+
+
 @dataclass
 class Reducer:
     """``accept(pdf) -> dict`` over one key's rows, ``combine(pdf) -> dict`` over
@@ -40,22 +44,30 @@ def reduce_by_key(df: DataFrame, keys: list[str], cols: list[str], reducer: Redu
     keys = list(keys)
     key_fields = [df.schema[k] for k in keys]
     state_schema = T.StructType(key_fields + [T.StructField(s, T.DoubleType()) for s in reducer.state])
-    out_schema = T.StructType(key_fields + list(T._parse_datatype_string(reducer.output).fields))
+    out_schema = T.StructType(key_fields + list(T.StructType.fromDDL(reducer.output).fields))
+
+    def combine_parts(parts):
+        allp = pd.concat(parts, ignore_index=True)
+        rows = [dict(zip(keys, k if isinstance(k, tuple) else (k,)), **reducer.combine(g))
+                for k, g in allp.groupby(keys, sort=False, dropna=False)]
+        return pd.DataFrame(rows, columns=keys + reducer.state)
 
     def partial(batches):
-        parts = []
+        parts, held = [], 0
         for pdf in batches:
             if pdf.empty:
                 continue
             rows = [dict(zip(keys, k if isinstance(k, tuple) else (k,)), **reducer.accept(g))
                     for k, g in pdf.groupby(keys, sort=False, dropna=False)]
             parts.append(pd.DataFrame(rows))
-        if not parts:
-            return
-        allp = pd.concat(parts, ignore_index=True)
-        rows = [dict(zip(keys, k if isinstance(k, tuple) else (k,)), **reducer.combine(g))
-                for k, g in allp.groupby(keys, sort=False, dropna=False)]
-        yield pd.DataFrame(rows, columns=keys + reducer.state)
+            held += len(rows)
+            if held >= FLUSH_STATES:
+                # bounded memory with many distinct keys: emit what is held;
+                # the per-key combine accepts any number of partial states
+                yield combine_parts(parts)
+                parts, held = [], 0
+        if parts:
+            yield combine_parts(parts)
 
     def final(pdf: pd.DataFrame) -> pd.DataFrame:
         state = reducer.combine(pdf)
