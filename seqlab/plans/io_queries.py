@@ -193,3 +193,11 @@ def q_positional_zip_csv(spark, sf_dir):
     from seqlab.plans.queries import zip_output
     readers = [A.scan_rows_numbered(spark, path, names, skip=1) for path, names in zip_reader_csvs(spark, sf_dir)]
     return zip_output(positional_zip(readers))
+
+
+@register("examine_positions")
+def q_examine_positions(spark, sf_dir):
+    """The reference's exploration path: header CSV with inferred types ->
+    per-vessel positions, first and last time, span (A1 B1 C3 E2)."""
+    from seqlab.plans.workflows import examine_positions
+    return examine_positions(spark, vessel_csv_named(spark, sf_dir))

@@ -511,3 +511,8 @@ for _n in ("to_sequences", "rank_by_label", "mini_batches", "auc_exact", "runnin
     ORACLE[f"{_n}_split"] = ORACLE[_n]
 
 ORACLE["positional_zip_csv"] = ORACLE["positional_zip"]
+
+ORACLE["examine_positions"] = f"""
+  SELECT mmsi, count(t) AS num_positions, min(t) AS min_time, max(t) AS max_time,
+         max(t) - min(t) AS total_time
+  FROM (SELECT mmsi, epoch_us(date_trunc('second', ts)) // 1000 AS t FROM ({POSITIONS}) p) GROUP BY mmsi"""

@@ -188,3 +188,18 @@ def test_classification_metrics_brute_force(spark):
     assert r.precision == pytest.approx(sum(precs) / len(precs), abs=1e-6)
     assert r.recall == pytest.approx(sum(recs) / len(recs), abs=1e-6)
     assert r.f1 == pytest.approx(sum(f1s) / len(f1s), abs=1e-6)
+
+
+def test_gzip_text_sources(spark):
+    import gzip
+    d = tempfile.mkdtemp(prefix="seqlab-gz-")
+    with gzip.open(os.path.join(d, "part-0.csv.gz"), "wt") as f:
+        f.write("h\n" + "\n".join(str(i) for i in range(50)) + "\n")
+    got = sorted((r.row_no, r.c) for r in A.scan_rows_numbered(spark, d, ["c"], skip=1).collect())
+    assert got == [(i, float(i)) for i in range(50)]
+    n = os.path.join(d, "num")
+    os.makedirs(n)
+    with gzip.open(os.path.join(n, "3.csv.gz"), "wt") as f:
+        f.write("a\n1\n2\n")
+    out = A.scan_numbered_sequences(spark, n, 0, 9, ["a"], id_pattern=r"(\d+)\.csv\.gz$").collect()
+    assert sorted((r.sample_id, r.step, r.a) for r in out) == [(3, 0, 1.0), (3, 1, 2.0)]
