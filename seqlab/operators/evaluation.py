@@ -108,27 +108,22 @@ def _histogram(df: DataFrame, y: str, score: str, keys: list[str], steps: int) -
 
 
 def _roc_from_hist(hist: DataFrame, keys: list[str], steps: int) -> DataFrame:
+    """ROC rows from a (keys, bin) histogram: a full grid of bins -1..steps per
+    group (bin -1 holds scores below 0: counted in the totals, never above a
+    threshold), then every window runs on one partitioning by the keys."""
     grid = hist.select(*keys).distinct().select(
-        *keys, F.explode(F.sequence(F.lit(0), F.lit(int(steps)))).alias("__bin"))
+        *keys, F.explode(F.sequence(F.lit(-1), F.lit(int(steps)))).alias("__bin"))
     filled = grid.join(hist, on=keys + ["__bin"], how="left").na.fill(0, ["__pos", "__neg"])
-    # bins below 0 never pass a threshold but count in the totals
-    below = hist.where(F.col("__bin") < 0).groupBy(*keys).agg(
-        F.sum("__pos").alias("__bpos"), F.sum("__neg").alias("__bneg"))
-    cum = Window.partitionBy(*keys).orderBy(F.col("__bin").desc()).rowsBetween(
+    down = Window.partitionBy(*keys).orderBy(F.col("__bin").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    roc = filled.select(*keys, "__bin",
-                        F.sum("__pos").over(cum).alias("tp"),
-                        F.sum("__neg").over(cum).alias("fp"))
-    roc = roc.join(below, on=keys, how="left")
-    tot = Window.partitionBy(*keys)
-    p = F.max("tp").over(tot) + F.coalesce(F.col("__bpos"), F.lit(0))
-    n = F.max("fp").over(tot) + F.coalesce(F.col("__bneg"), F.lit(0))
-    return roc.select(
-        *keys,
-        (F.col("__bin") / F.lit(float(steps))).alias("threshold"),
-        F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"),
-        F.when(p > 0, F.col("tp") / p).alias("tpr"),
-        F.when(n > 0, F.col("fp") / n).alias("fpr"))
+    whole = Window.partitionBy(*keys)
+    p, n = F.sum("__pos").over(whole), F.sum("__neg").over(whole)
+    tp, fp = F.sum("__pos").over(down), F.sum("__neg").over(down)
+    roc = filled.select(*keys, "__bin", tp.alias("tp"), fp.alias("fp"),
+                        F.when(p > 0, tp / p).alias("tpr"), F.when(n > 0, fp / n).alias("fpr"))
+    return roc.where(F.col("__bin") >= 0).select(
+        *keys, (F.col("__bin") / F.lit(float(steps))).alias("threshold"),
+        F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"), "tpr", "fpr")
 
 
 def roc_thresholded(df: DataFrame, y: str = "y", score: str = "score", steps: int = 100,
