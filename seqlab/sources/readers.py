@@ -193,12 +193,22 @@ def scan_vectors(spark: SparkSession, path: str, id_col: str, vector: str, label
 
 # ------------------------------------------------------------------ A6 ----
 def save_sequences(df: DataFrame, path: str, id_col: str, step: str, mode: str = "ignore",
-                   num_files: int | None = None) -> None:
-    """Write prepared sequences unless the path exists (``mode="ignore"``).
-    Rows are clustered by id and sorted by (id, step) inside each file, so a
-    lookup by id prunes row groups through parquet min/max statistics."""
+                   num_files: int | None = None) -> bool:
+    """Write prepared sequences unless they are already there.
+
+    With ``mode="ignore"`` a folder counts as present only when a finished
+    write left ``_SUCCESS`` in it; a folder left by a failed job is written
+    again. Rows are clustered by id and sorted by (id, step) inside each file,
+    so a lookup by id prunes row groups through parquet min/max statistics.
+    Returns True when data was written."""
+    spark = df.sparkSession
+    if mode == "ignore":
+        if path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+            return False
+        mode = "overwrite"
     out = df.repartitionByRange(num_files, id_col) if num_files else df.repartitionByRange(id_col)
     out.sortWithinPartitions(id_col, step).write.mode(mode).parquet(path)
+    return True
 
 
 def load_sequences(spark: SparkSession, path: str) -> DataFrame:

@@ -203,3 +203,16 @@ def test_gzip_text_sources(spark):
         f.write("a\n1\n2\n")
     out = A.scan_numbered_sequences(spark, n, 0, 9, ["a"], id_pattern=r"(\d+)\.csv\.gz$").collect()
     assert sorted((r.sample_id, r.step, r.a) for r in out) == [(3, 0, 1.0), (3, 1, 2.0)]
+
+
+def test_save_sequences_skips_finished_and_redoes_partial(spark):
+    d = tempfile.mkdtemp(prefix="seqlab-save-")
+    df = spark.createDataFrame([("a", 0, 1.0), ("a", 1, 2.0), ("b", 0, 3.0)], "mmsi string, step long, v double")
+    assert A.save_sequences(df, f"{d}/s", "mmsi", "step") is True
+    assert A.save_sequences(df.limit(1), f"{d}/s", "mmsi", "step") is False
+    assert spark.read.parquet(f"{d}/s").count() == 3
+    os.makedirs(f"{d}/p")                  # a folder left by a job that died mid-write
+    with open(f"{d}/p/_temporary_marker", "w") as f:
+        f.write("partial")
+    assert A.save_sequences(df.limit(1), f"{d}/p", "mmsi", "step") is True
+    assert spark.read.parquet(f"{d}/p").count() == 1
