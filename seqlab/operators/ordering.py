@@ -11,12 +11,15 @@ three distributed steps instead:
 2. inside each range (``mapInPandas`` over Arrow batches) a running prefix
    per key, carried across batches, plus per-(range, key) totals;
 3. the totals (at most ``#ranges`` rows per key) are turned into offsets
-   with a small window and joined back on (range, key). AQE broadcasts the
-   offsets when they are small at run time and shuffles them otherwise.
+   with a small window. Only the first key of a range can continue from an
+   earlier range, so at most one offset per range is non-zero: that table
+   is bounded by the number of ranges, broadcast, and joined to the rows
+   without moving them.
 
 The range partitioner's bounds are fixed for the exchange and both
 branches read the same (reused) exchange, so the range ids agree; a lost
-map output is recomputed with the same partitioner.
+map output is recomputed with the same partitioner. With exchange reuse
+turned off, the numbered rows are checkpointed once instead.
 
 The split costs a sampling pass and a pass through Python, which only pays
 off when a group may be too large for one task. The choice needs no job:
@@ -31,6 +34,7 @@ split path instead samples the already-shuffled stage output.)
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -44,6 +48,10 @@ WINDOW_MAX_BYTES_CONF = "seqlab.ordered.windowMaxBytes"
 DEFAULT_WINDOW_MAX_BYTES = 256 * 1024 * 1024
 
 
+def spark_conf_false(spark, key: str) -> bool:
+    return str(spark.conf.get(key, "true")).strip().lower() == "false"
+
+
 def _num_ranges(df: DataFrame, num: int | None) -> int:
     if num:
         return int(num)
@@ -176,6 +184,13 @@ def _split_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str
                           + [T.StructField(_PID, T.IntegerType())])
     local = ranged.mapInPandas(_local_prefix_fn(by, weights, out_names), schema)
 
+    # Both branches below must see the same ranges. Spark seeds each range
+    # partitioner's key sample with its RDD id, so the branches share one
+    # exchange (identical plans are reused). Where exchange reuse is turned
+    # off, the numbered rows are materialised once instead (a reliable
+    # checkpoint in the shared folder).
+    if spark_conf_false(local.sparkSession, "spark.sql.exchange.reuse"):
+        local = local.checkpoint(eager=True)
     totals = local.groupBy(_PID, *by).agg(
         *[F.sum(F.col(w)).cast("double").alias(f"__tot_{o}") for o, w in zip(out_names, weights)])
     win = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
@@ -183,13 +198,19 @@ def _split_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str
         _PID, *[F.col(b).alias(f"__k_{b}") for b in by],
         *[F.coalesce(F.sum(f"__tot_{o}").over(win), F.lit(0.0)).alias(f"__off_{o}")
           for o in out_names])
-    if not by:
-        # one row per range: bounded by the number of ranges
-        offsets = F.broadcast(offsets)
+    # Ranges are sorted by (key, order), so a key that also occurs in an
+    # earlier range is the first key of its range: at most one row per range
+    # has a non-zero offset. That bounded table is broadcast, and the
+    # numbered rows keep their range partitioning (no second shuffle).
+    if by:
+        nonzero = [F.col(f"__off_{o}") != 0 for o in out_names]
+        offsets = offsets.where(reduce(lambda a, b: a | b, nonzero))
+    offsets = F.broadcast(offsets)
     cond = [local[_PID] == offsets[_PID]] + [local[b].eqNullSafe(offsets[f"__k_{b}"]) for b in by]
-    joined = local.join(offsets, on=cond, how="inner")
+    joined = local.join(offsets, on=cond, how="left")
     keep = [local[c] for c in work.columns if c != "__one"]
-    return joined.select(*keep, *[(local[o] + offsets[f"__off_{o}"]).alias(o) for o in out_names])
+    return joined.select(*keep, *[(local[o] + F.coalesce(offsets[f"__off_{o}"], F.lit(0.0))).alias(o)
+                                  for o in out_names])
 
 
 def ordered_index(df: DataFrame, by: list[str], order: list, name: str = "idx",

@@ -216,3 +216,24 @@ def test_save_sequences_skips_finished_and_redoes_partial(spark):
         f.write("partial")
     assert A.save_sequences(df.limit(1), f"{d}/p", "mmsi", "step") is True
     assert spark.read.parquet(f"{d}/p").count() == 1
+
+
+def test_split_prefix_with_negative_weights(spark):
+    rows = [("k" if i % 4 else "j", i, float((-1) ** i * (i % 5))) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    a = ordered_prefix(df, ["k"], ["t"], {"s": "v"}, split=False)
+    b = ordered_prefix(df, ["k"], ["t"], {"s": "v"}, num_ranges=7, split=True)
+    assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
+
+
+def test_split_prefix_without_exchange_reuse(spark):
+    rows = [("hot" if i % 3 else f"k{i % 7}", i, float(i % 5)) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    a = ordered_prefix(df, ["k"], ["t"], {"n": "__one", "s": "v"}, split=False)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        b = ordered_prefix(df, ["k"], ["t"], {"n": "__one", "s": "v"}, num_ranges=6, split=True)
+        got = sorted(b.select(*a.columns).collect())
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert sorted(a.collect()) == got
