@@ -33,9 +33,10 @@ def align_end(df: DataFrame, id_col: str, step: str, batch_id: str, dense: bool
     to ``pos = step + (T - len)`` so that all sequences end together.
 
     Sparse output keeps only real steps (mask 1). Dense output has every
-    position 0..T-1 of every sequence: padding rows carry 0 and mask 0.
-    Sequence lengths come from partial+final aggregates; the dense grid is
-    generated per sequence (explode), then left-joined to the real steps.
+    position 0..T-1 of every sequence: since sequences are end-aligned, the
+    padding is exactly positions 0..T-len-1, generated per sequence (value 0,
+    mask 0) and appended to the shifted real rows; no join with a position
+    grid. Sequence lengths come from partial+final aggregates.
     """
     lens = _lengths(df, id_col, batch_id, step)
     sparse = df.join(lens, on=[id_col, batch_id], how="inner").withColumn(
@@ -43,11 +44,11 @@ def align_end(df: DataFrame, id_col: str, step: str, batch_id: str, dense: bool
     if not dense:
         return sparse.withColumn("mask", F.lit(1))
     value_cols = value_cols or [c for c in df.columns if c not in (id_col, step, batch_id)]
-    grid = lens.select(id_col, batch_id,
-                       F.explode(F.sequence(F.lit(0).cast("long"), F.col("batch_len") - 1)).alias("pos"))
-    real = sparse.select(id_col, "pos", *value_cols, F.lit(1).alias("mask"))
-    out = grid.join(real, on=[id_col, "pos"], how="left")
-    return out.select(id_col, batch_id, "pos",
-                      *[F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)).alias(c)
-                        for c in value_cols],
-                      F.coalesce(F.col("mask"), F.lit(0)).alias("mask"))
+    real = sparse.select(id_col, batch_id, "pos", *value_cols, F.lit(1).alias("mask"))
+    pad = lens.where(F.col("batch_len") > F.col("seq_len")).select(
+        id_col, batch_id,
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("batch_len") - F.col("seq_len") - 1)).alias("pos"))
+    pad = pad.select(id_col, batch_id, "pos",
+                     *[F.lit(0).cast(df.schema[c].dataType).alias(c) for c in value_cols],
+                     F.lit(0).alias("mask"))
+    return real.unionByName(pad)

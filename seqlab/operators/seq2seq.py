@@ -35,25 +35,27 @@ def seq2seq(df: DataFrame, id_col: str = "seq_id", step: str = "step", channel:
     c = F.lit(int(n_channels)) if n_channels is not None else None
     if c is None:
         raise ValueError("n_channels is required")
-    dec = base.select("seq_id", F.lit("decoder").alias("tensor"), (F.col("step") + 1).alias("pos"),
-                      "channel", "value")
-    lab = base.select("seq_id", F.lit("label").alias("tensor"), F.col("step").alias("pos"),
-                      "channel", "value")
+    # every input cell appears twice: in the decoder input one step later, and
+    # in the label at its own step (one pass, one explode)
+    data = base.select("seq_id", F.explode(F.array(
+        F.struct(F.lit("decoder").alias("tensor"), (F.col("step") + 1).alias("pos"),
+                 F.col("channel"), F.col("value")),
+        F.struct(F.lit("label").alias("tensor"), F.col("step").alias("pos"),
+                 F.col("channel"), F.col("value")))).alias("r")).select("seq_id", "r.*")
+    # GO and STOP tokens, one explode over the per-sequence last valid step
     last = last_valid_step(base, "seq_id", "step", "mask" if mask else None, name="last")
+    token = lambda tensor, pos: F.struct(F.lit(tensor).alias("tensor"), pos.cast("long").alias("pos"),
+                                          c.alias("channel"), F.lit(1.0).alias("value"))
+    stop_pos = F.col("last") if stop == "reference" else F.col("last") + 1
     if go == "first":
-        go_rows = last.select("seq_id", F.lit("decoder").alias("tensor"),
-                              F.lit(0).cast("long").alias("pos"), c.alias("channel"),
-                              F.lit(1.0).alias("value"))
+        toks = F.array(token("decoder", F.lit(0)), token("label", stop_pos))
     else:
         # every position 0..T of the padded tensor; T = longest sequence
         tlen = F.lit(int(max_step) + 1) if max_step is not None else F.col("last") + 1
-        go_rows = last.select("seq_id", F.lit("decoder").alias("tensor"),
-                              F.explode(F.sequence(F.lit(0).cast("long"), tlen.cast("long"))).alias("pos"),
-                              c.alias("channel"), F.lit(1.0).alias("value"))
-    stop_pos = F.col("last") if stop == "reference" else F.col("last") + 1
-    stop_rows = last.select("seq_id", F.lit("label").alias("tensor"), stop_pos.cast("long").alias("pos"),
-                            c.alias("channel"), F.lit(1.0).alias("value"))
-    return dec.unionByName(lab).unionByName(go_rows).unionByName(stop_rows)
+        gos = F.transform(F.sequence(F.lit(0).cast("long"), tlen.cast("long")), lambda p: token("decoder", p))
+        toks = F.concat(gos, F.array(token("label", stop_pos)))
+    tokens = last.select("seq_id", F.explode(toks).alias("r")).select("seq_id", "r.*")
+    return data.unionByName(tokens)
 
 
 def extend_mask(df: DataFrame, id_col: str = "seq_id", pos: str = "pos", mask: str = "mask") -> DataFrame:
