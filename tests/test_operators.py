@@ -1,7 +1,6 @@
 """Layer 2: hand fixtures with literal expected rows (edge cases of FIXTURES.md)."""
 
 import datetime as dt
-import math
 
 import pytest
 from pyspark.sql import functions as F

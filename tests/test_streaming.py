@@ -2,7 +2,6 @@
 
 import tempfile
 
-from pyspark.sql import functions as F
 
 from seqlab.operators.sequences import hourly_geo_windows
 from seqlab.operators.projection import drop_outside
