@@ -32,10 +32,13 @@ HOURLY_REF = f"""
   GROUP BY mmsi, time_bucket(INTERVAL 1 HOUR, ts)"""
 
 BINARY_TARGETS = """
-  SELECT l.doc_id AS id, t.target, t.y, least(1.0::DOUBLE, d.n_chars / 20000.0::DOUBLE) AS score
-  FROM labels l JOIN documents d ON l.doc_id = d.doc_id,
-       LATERAL (SELECT 'quality' AS target, CAST(l.quality AS INTEGER) AS y
-                UNION ALL SELECT 'toxic', CAST(l.toxic AS INTEGER)) t"""
+  SELECT l.doc_id AS id, 'quality' AS target, CAST(l.quality AS INTEGER) AS y,
+         least(1.0::DOUBLE, d.n_chars / 20000.0::DOUBLE) AS score
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id
+  UNION ALL
+  SELECT l.doc_id AS id, 'toxic' AS target, CAST(l.toxic AS INTEGER) AS y,
+         least(1.0::DOUBLE, d.n_chars / 20000.0::DOUBLE) AS score
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
 
 BINARY = """
   SELECT l.doc_id AS id, CAST(l.quality AS INTEGER) AS y,
@@ -165,10 +168,10 @@ ROLLOUT = f"""
   WITH d AS ({DAILY}),
   last AS (SELECT user_id, unnest([c0, c1, c2, c3, c4]) AS y0,
                   CAST(unnest(range(5)) AS INTEGER) AS cell FROM d WHERE day = 19),
-  k AS (SELECT CAST(unnest(range(10)) AS BIGINT) AS k)
+  h AS (SELECT user_id, y0, cell, CAST(unnest(range(10)) AS BIGINT) AS k FROM last)
   SELECT user_id, k, cell,
          round(pow(0.6, k + 2) * y0 + 10.0 * (1 - pow(0.6, k + 2)) / (1 - 0.6), 6) AS prediction
-  FROM last, k"""
+  FROM h"""
 
 CONV_TARGETS = f"""
   WITH st AS (
