@@ -160,12 +160,16 @@ def ordered_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, st
 
 
 def _window_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str]) -> DataFrame:
-    work = df.withColumn("__one", F.lit(1.0)) if "__one" in sums.values() else df
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    w = Window.partitionBy(*by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    out = work.select("*", *[F.coalesce(F.sum(F.col(c).cast("double")).over(w), F.lit(0.0)).alias(o)
-                             for o, c in sums.items()])
-    return out.drop("__one") if "__one" in sums.values() else out
+    ordered = Window.partitionBy(*by).orderBy(*order_cols)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    cols = []
+    for out, col in sums.items():
+        if col == "__one":   # a running count is the row number
+            cols.append((F.row_number().over(ordered) - 1).cast("double").alias(out))
+        else:
+            cols.append(F.coalesce(F.sum(F.col(col).cast("double")).over(before), F.lit(0.0)).alias(out))
+    return df.select("*", *cols)
 
 
 def _split_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str],
