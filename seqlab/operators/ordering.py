@@ -2,107 +2,55 @@
 
 A ``row_number() OVER (PARTITION BY k ORDER BY o)`` sends every row of one
 key to one task. When a single key may hold a third of all rows that task
-becomes the whole job. ``ordered_prefix`` computes the same numbers in
-three distributed steps instead:
-
-1. range-partition on ``(by, order)``: Spark samples the keys and cuts the
-   key space into ``n`` ranges, so a hot key is spread over many tasks;
-   rows are sorted within each range;
-2. inside each range (``mapInPandas`` over Arrow batches) a running prefix
-   per key, carried across batches, plus per-(range, key) totals;
-3. the totals (at most ``#ranges`` rows per key) are turned into offsets
-   with a small window. Only the first key of a range can continue from an
-   earlier range, so at most one offset per range is non-zero: that table
-   is bounded by the number of ranges, broadcast, and joined to the rows
-   without moving them.
-
-The range partitioner's bounds are fixed for the exchange and both
-branches read the same (reused) exchange, so the range ids agree; a lost
-map output is recomputed with the same partitioner. With exchange reuse
-turned off, the numbered rows are checkpointed once instead.
-
-The split costs a sampling pass and a pass through Python, which only pays
-off when a group may be too large for one task. The choice needs no job:
-when the optimizer's size estimate of the input (capped by the bytes its
-scans read) is at most ``seqlab.ordered.windowMaxBytes`` (default 256 MB),
-even a single group holding every row fits one task and a plain window is
-used; above it the input is assumed to hold hot keys and is split. (Counting the largest group
-first would re-run the whole upstream plan, a full extra pass at scale; the
-split path instead samples the already-shuffled stage output.)
+becomes the whole job. ``ordered_prefix`` computes the same numbers with
+the key space cut into ``n`` contiguous chunks instead:
+
+1. boundaries: ``n - 1`` evenly spaced (key, order) values of a seeded,
+   bounded sample, sorted by Spark into a one-row scalar subquery (computed
+   once per query, never collected);
+2. every row's chunk is the number of boundaries not above its (key, order)
+   value, found by a binary search written with Spark's higher-order
+   functions, a pure function of the row, so both branches below and any
+   retried task agree;
+3. a window partitioned by (chunk, key) gives the prefix inside the chunk;
+   a hot key is spread over many chunks and tasks;
+4. per-(chunk, key) totals become offsets with a small window. Only the
+   first key of a chunk can continue from an earlier chunk, so at most one
+   offset per chunk is non-zero: that table is bounded by ``n``, broadcast,
+   and joined to the rows without moving them again.
+
+Everything runs on the JVM (no Python). The split costs a sampling pass and
+one more shuffle than a plain window, which only pays off when a group may
+be too large for one task. The choice needs no job: when the optimizer's
+size estimate of the input (capped by the bytes its scans read) is at most
+``seqlab.ordered.windowMaxBytes`` (default 256 MB), even a single group
+holding every row fits one task and a plain window is used; above it the
+input is assumed to hold hot keys and is split.
 """
 
 from __future__ import annotations
 
+import math
 from contextlib import contextmanager
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 _PID = "__range_id"
+SAMPLE_PER_RANGE = 64
+SAMPLE_SEED = 20240101
 WINDOW_MAX_BYTES_CONF = "seqlab.ordered.windowMaxBytes"
 DEFAULT_WINDOW_MAX_BYTES = 256 * 1024 * 1024
 
 
-def spark_conf_false(spark, key: str) -> bool:
-    return str(spark.conf.get(key, "true")).strip().lower() == "false"
-
-
 def _num_ranges(df: DataFrame, num: int | None) -> int:
     if num:
         return int(num)
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _local_prefix_fn(by: list[str], weights: list[str], out_names: list[str]):
-    def run(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        carry_key = None
-        carry = np.zeros(len(weights), dtype="float64")
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            w = np.column_stack([pdf[c].fillna(0).to_numpy(dtype="float64") for c in weights]) \
-                if weights else np.zeros((len(pdf), 0))
-            if by:
-                keys = pdf[by]
-                prev = keys.shift(1)
-                same = (keys.eq(prev) | (keys.isna() & prev.isna())).all(axis=1).to_numpy()
-                first_key = tuple(keys.iloc[0])
-                same[0] = carry_key is not None and _key_eq(first_key, carry_key)
-            else:
-                same = np.ones(len(pdf), dtype=bool)
-                same[0] = carry_key is not None
-            grp = np.cumsum(~same)  # group number within the batch, 0 = continues carry
-            incl = pd.DataFrame(w).groupby(grp).cumsum().to_numpy()
-            if same[0]:
-                incl[grp == 0] += carry
-            excl = incl - w
-            out = pdf.copy()
-            for j, name in enumerate(out_names):
-                out[name] = excl[:, j]
-            out[_PID] = pid
-            carry = incl[-1].copy()
-            carry_key = tuple(pdf[by].iloc[-1]) if by else ()
-            yield out
-    return run
-
-
-def _key_eq(a, b) -> bool:
-    for x, y in zip(a, b):
-        if pd.isna(x) and pd.isna(y):
-            continue
-        if pd.isna(x) or pd.isna(y) or x != y:
-            return False
-    return True
-
-
 @contextmanager
 def window_limit(spark, max_bytes: int):
     """Temporarily set the input size up to which a plain window is used
@@ -134,6 +82,20 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def estimated_rows(df: DataFrame) -> int | None:
+    """Row-count estimate for the boundary sample: the optimizer's row count
+    when known, else the size estimate over a nominal 64-byte row."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        rc = stats.rowCount()
+        if rc.isDefined():
+            return int(str(rc.get()))
+    except Exception:  # noqa: BLE001
+        pass
+    size = estimated_bytes(df)
+    return None if size is None else max(1, size // 64)
+
+
 def use_window(df: DataFrame) -> bool:
     limit = int(df.sparkSession.conf.get(WINDOW_MAX_BYTES_CONF, str(DEFAULT_WINDOW_MAX_BYTES)))
     size = estimated_bytes(df)
@@ -174,45 +136,76 @@ def _window_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, st
 
 def _split_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str],
                   num_ranges: int | None) -> DataFrame:
+    """Range split with boundaries computed by Spark (see the module notes)."""
     n = _num_ranges(df, num_ranges)
-    work = df
-    if "__one" in sums.values():
-        work = work.withColumn("__one", F.lit(1.0))
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    ranged = work.repartitionByRange(n, *[F.col(b) for b in by], *order_cols) \
-        .sortWithinPartitions(*[F.col(b) for b in by], *order_cols)
+    key_fields = [F.col(b).alias(f"__key_{i}") for i, b in enumerate(by)] + \
+        [c.alias(f"__key_{len(by) + j}") for j, c in enumerate(order_cols)]
+    key = F.struct(*key_fields)
+
+    # n - 1 boundaries: evenly spaced keys of a seeded sample of at most
+    # SAMPLE_PER_RANGE * n rows, sorted; a one-row scalar subquery, so it is
+    # computed once per query and never leaves the JVM
+    k = SAMPLE_PER_RANGE * n
+    rows = estimated_rows(df)
+    frac = 1.0 if rows is None or rows <= k else max(k / rows, 1e-9)
+    work = df.withColumn("__one", F.lit(1.0)) if "__one" in sums.values() else df
+    if n <= 1:
+        work = work.withColumn(_PID, F.lit(0))
+    else:
+        # seeded sample, cut to 4k rows by smallest key hash: a deterministic,
+        # uniform subset whatever the arrival order of partitions
+        sample = df.select(key.alias("__k")).sample(fraction=min(1.0, frac), seed=SAMPLE_SEED) \
+            .orderBy(F.xxhash64("__k"), "__k").limit(4 * k)
+        bounds = sample.agg(F.array_sort(F.collect_list("__k")).alias("__s")).select(
+            F.expr(f"filter(transform(sequence(1, {n - 1}), i -> try_element_at(__s, "
+                   f"cast(floor(i * size(__s) / {n}) as int) + 1)), b -> b is not null)").alias("__bounds"))
+
+        # chunk = number of boundaries <= key (binary search on the sorted array)
+        work = work.withColumn("__bounds", bounds.scalar()).withColumn("__key", key)
+        steps = max(1, math.ceil(math.log2(n + 1)) + 1)
+
+        def bisect(acc, _):
+            lo, hi = acc["lo"], acc["hi"]
+            mid = F.floor((lo + hi) / 2).cast("int")
+            right = (lo < hi) & F.coalesce(F.try_element_at(F.col("__bounds"), mid + 1) <= F.col("__key"),
+                                           F.lit(False))
+            left = (lo < hi) & ~right
+            return F.struct(F.when(right, mid + 1).otherwise(lo).alias("lo"),
+                            F.when(left, mid).otherwise(hi).alias("hi"))
+
+        init = F.struct(F.lit(0).alias("lo"), F.size(F.col("__bounds")).alias("hi"))
+        chunk = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, bisect)["lo"]
+        work = work.withColumn(_PID, F.coalesce(chunk, F.lit(0))).drop("__bounds", "__key")
+
+    # prefix inside each (chunk, key): a window whose groups are bounded by a chunk
     out_names = list(sums.keys())
     weights = list(sums.values())
-    schema = T.StructType(list(work.schema.fields)
-                          + [T.StructField(o, T.DoubleType()) for o in out_names]
-                          + [T.StructField(_PID, T.IntegerType())])
-    local = ranged.mapInPandas(_local_prefix_fn(by, weights, out_names), schema)
-
-    # Both branches below must see the same ranges. Spark seeds each range
-    # partitioner's key sample with its RDD id, so the branches share one
-    # exchange (identical plans are reused). Where exchange reuse is turned
-    # off, the numbered rows are materialised once instead (a reliable
-    # checkpoint in the shared folder).
-    if spark_conf_false(local.sparkSession, "spark.sql.exchange.reuse"):
-        local = local.checkpoint(eager=True)
-    totals = local.groupBy(_PID, *by).agg(
-        *[F.sum(F.col(w)).cast("double").alias(f"__tot_{o}") for o, w in zip(out_names, weights)])
+    inner = Window.partitionBy(_PID, *by).orderBy(*order_cols)
+    local = work.select("*", *[
+        ((F.row_number().over(inner) - 1).cast("double") if w == "__one" else
+         F.coalesce(F.sum(F.col(w).cast("double")).over(inner.rowsBetween(Window.unboundedPreceding, -1)),
+                    F.lit(0.0))).alias(o)
+        for o, w in zip(out_names, weights)])
+
+    totals = work.groupBy(_PID, *by).agg(
+        *[F.sum(F.col(w).cast("double")).alias(f"__tot_{o}") for o, w in zip(out_names, weights)])
     win = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         _PID, *[F.col(b).alias(f"__k_{b}") for b in by],
         *[F.coalesce(F.sum(f"__tot_{o}").over(win), F.lit(0.0)).alias(f"__off_{o}")
           for o in out_names])
-    # Ranges are sorted by (key, order), so a key that also occurs in an
-    # earlier range is the first key of its range: at most one row per range
-    # has a non-zero offset. That bounded table is broadcast, and the
-    # numbered rows keep their range partitioning (no second shuffle).
+    # Chunks are contiguous ranges of (key, order), so a key that also occurs
+    # in an earlier chunk is the first key of its chunk: at most one offset
+    # per chunk is non-zero. That table is bounded by the number of chunks
+    # and broadcast; the rows are not moved again.
     if by:
         nonzero = [F.col(f"__off_{o}") != 0 for o in out_names]
         offsets = offsets.where(reduce(lambda a, b: a | b, nonzero))
     offsets = F.broadcast(offsets)
     cond = [local[_PID] == offsets[_PID]] + [local[b].eqNullSafe(offsets[f"__k_{b}"]) for b in by]
     joined = local.join(offsets, on=cond, how="left")
-    keep = [local[c] for c in work.columns if c != "__one"]
+    keep = [local[c] for c in df.columns]
     return joined.select(*keep, *[(local[o] + F.coalesce(offsets[f"__off_{o}"], F.lit(0.0))).alias(o)
                                   for o in out_names])
 

@@ -237,3 +237,12 @@ def test_split_prefix_without_exchange_reuse(spark):
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
     assert sorted(a.collect()) == got
+
+
+def test_split_path_plan_is_jvm_only_with_bounded_broadcast(spark):
+    df = spark.range(2000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
+    out = ordered_index(df, ["k"], ["t"], num_ranges=5, split=True)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "ArrowEvalPython" not in plan
+    assert "BroadcastExchange" in plan
