@@ -15,9 +15,26 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 
+def final_only(plan: str) -> str:
+    """Drop every '== Initial Plan ==' block (the top-level one and those of
+    subqueries), keeping the final adaptive plans. A block is the header and
+    the lines whose text starts at or right of the header's text."""
+    keep, skip_col = [], None
+    for line in plan.splitlines():
+        col = len(line) - len(line.lstrip(" :|+-"))
+        if skip_col is not None:
+            if col >= skip_col:
+                continue
+            skip_col = None
+        if "== Initial Plan ==" in line:
+            skip_col = line.index("==")
+            continue
+        keep.append(line)
+    return "\n".join(keep)
+
+
 def summarize(plan: str) -> dict:
-    # an adaptive plan prints its final plan, then the initial plan
-    plan = plan.split("== Initial Plan ==")[0]
+    plan = final_only(plan)
     return {
         "shuffles": len(re.findall(r"\bExchange hashpartitioning|\bExchange rangepartitioning|"
                                    r"\bExchange SinglePartition|\bExchange RoundRobin", plan)),
