@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-_PID = "__range_id"
+_PID = "__chunk"
 SAMPLE_PER_RANGE = 64
 SAMPLE_SEED = 20240101
 WINDOW_MAX_BYTES_CONF = "seqlab.ordered.windowMaxBytes"
