@@ -46,8 +46,9 @@ def mini_batches(df: DataFrame, order: list[str], size: int, name: str = "batch_
     """Consecutive fixed-size batches in ``order``; the last may be short.
 
     With a dense 0-based id column the batch is ``id div size`` (narrow).
-    Otherwise a global position comes from the skew-safe ordered index
-    (range partitions + offsets; never a single-partition window)."""
+    Otherwise a global position comes from the ordered index: one window
+    for inputs up to the size limit, sampled chunks + offsets above it, so a
+    large input is never numbered by a single task."""
     if dense_id is not None:
         return df.withColumn(name, F.floor(F.col(dense_id) / int(size)).cast("long"))
     out = ordered_index(df, [], order, name="__pos")
