@@ -246,3 +246,37 @@ def test_split_path_plan_is_jvm_only_with_bounded_broadcast(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" not in plan and "ArrowEvalPython" not in plan
     assert "BroadcastExchange" in plan
+
+
+def test_line_numbers_across_splits_of_one_file(spark):
+    d = tempfile.mkdtemp(prefix="seqlab-splits-")
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("h\n" + "\n".join(str(i) for i in range(20000)) + "\n")
+    with open(os.path.join(d, "b.csv"), "w") as f:
+        f.write("h\n" + "\n".join(str(20000 + i) for i in range(5000)) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")   # many splits per file
+    try:
+        assert spark.read.text(d).rdd.getNumPartitions() > 4
+        got = sorted((r.row_no, r.c) for r in A.scan_rows_numbered(spark, d, ["c"], skip=1).collect())
+        steps = A.scan_numbered_sequences(spark, d, 0, 9, ["c"], id_pattern=r"/(\d)\.csv$")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [(i, float(i)) for i in range(25000)]
+    assert steps.count() == 0   # no file name is a single digit
+
+
+def test_long_sample_file_read_by_several_splits(spark):
+    d = tempfile.mkdtemp(prefix="seqlab-longsample-")
+    with open(os.path.join(d, "7.csv"), "w") as f:
+        f.write("v\n" + "\n".join(str(i) for i in range(20000)) + "\n")
+    with open(os.path.join(d, "8.csv"), "w") as f:
+        f.write("v\n1\n2\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert spark.read.text(d).rdd.getNumPartitions() > 4
+        got = sorted((r.sample_id, r.step, r.v) for r in A.scan_numbered_sequences(spark, d, 0, 9, ["v"]).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [(7, i, float(i)) for i in range(20000)] + [(8, 0, 1.0), (8, 1, 2.0)]
