@@ -280,3 +280,15 @@ def test_long_sample_file_read_by_several_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [(7, i, float(i)) for i in range(20000)] + [(8, 0, 1.0), (8, 1, 2.0)]
+
+
+def test_positional_schema_prefix_with_separator(spark):
+    from pyspark.sql import types as T
+    d = tempfile.mkdtemp(prefix="seqlab-csv2-")
+    with open(os.path.join(d, "x.csv"), "w") as f:
+        f.write("# Timestamp,MMSI,Lat\n# Timestamp,x,y\n01/10/2017 00:00:01,219000,55.5\n")
+    schema = T.StructType([T.StructField("Timestamp", T.StringType()), T.StructField("MMSI", T.StringType()),
+                           T.StructField("Lat", T.DoubleType())])
+    got = A.scan_csv(spark, d, schema=schema, skip_prefix="# Timestamp,MMSI").collect()
+    # only the first line starts with the prefix (text filter path)
+    assert sorted((r.MMSI, r.Lat) for r in got) == [("219000", 55.5), ("x", None)]
