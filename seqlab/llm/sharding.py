@@ -19,10 +19,11 @@ functions; no row meets Python.
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -69,6 +70,12 @@ def settle(points: list[tuple[int, int]], demand: dict[int, int], capacity: list
     return pieces
 
 
+def _small_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A few rows (bounded by the ring) as a table, without Python rows in the plan."""
+    parsed = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema.replace(' ', ':').replace(',:', ',')}>>")
+    return spark.range(1).select(F.inline(parsed))
+
+
 def assign_shards(rows: DataFrame, shards: int, key: str, ties: list[str] | None = None,
                   vnodes: int = VNODES, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
     """``rows`` with ``shard int`` and ``slot long`` (gapless from 0 in each shard).
@@ -86,27 +93,28 @@ def assign_shards(rows: DataFrame, shards: int, key: str, ties: list[str] | None
     bits = min(30, max(8, (max(1, total // rows_per_cell) - 1).bit_length()))
     width = 1 << (_RING_BITS - bits)
 
-    # the ring as a lookup of 256 sectors: points of a sector, and how many lie before
+    # the ring as 256 rows: a sector's points, and how many lie before them
     sector = 1 << (_RING_BITS - 8)
     hashes = [p for p, _ in points]
     cuts = [bisect_left(hashes, i * sector) for i in range(257)]
-    lookup = F.array(*[F.struct(F.lit(cuts[i]).alias("before"),
-                                F.array(*[F.lit(p).cast("long") for p in hashes[cuts[i]:cuts[i + 1]]])
-                                .cast("array<bigint>").alias("points")) for i in range(256)])
+    sectors = _small_table(spark, [
+        {"sector": i, "before": cuts[i], "points": hashes[cuts[i]:cuts[i + 1]]} for i in range(256)],
+        "sector int, before int, points array<bigint>")
     names = rows.columns
     h = F.col("__h")
     hashed = F.coalesce(F.when(F.col(key).isNotNull(), F.xxhash64(F.lit("ring"), key)),
                         F.xxhash64(F.lit("ring"), *(ties or [key])))
     placed = rows.withColumn("__h", F.shiftrightunsigned(hashed, 64 - _RING_BITS))
-    at = lookup[F.floor(h / sector).cast("int")]
-    arc = (at["before"] + F.size(F.filter(at["points"], lambda p: p < h))) % len(points)
-    placed = placed.withColumn("__arc", arc.cast("int")).withColumn("__cell", F.floor(h / width).cast("int"))
+    placed = placed.join(F.broadcast(sectors), F.floor(h / sector).cast("int") == F.col("sector"))
+    arc = (F.col("before") + F.size(F.filter("points", lambda p: p < h))) % len(points)
+    placed = placed.select(*names, "__h", arc.cast("int").alias("__arc"), F.floor(h / width).cast("int").alias("__cell"))
 
     counts = placed.groupBy("__arc", "__cell").agg(F.count(F.lit(1)).alias("__n"))
     # at most one number per point of the ring
     demand = {r["__arc"]: r["n"] for r in counts.groupBy("__arc").agg(F.sum("__n").alias("n")).collect()}
-    pieces = spark.createDataFrame(settle(points, demand, capacity),
-                                   "p_arc int, p_lo long, p_hi long, p_shard int, p_slot long")
+    fields = ("p_arc", "p_lo", "p_hi", "p_shard", "p_slot")
+    pieces = _small_table(spark, [dict(zip(fields, x)) for x in settle(points, demand, capacity)],
+                          "p_arc int, p_lo bigint, p_hi bigint, p_shard int, p_slot bigint")
 
     # the last arc wraps around: its high hashes come first, then the low ones
     turn = F.when((F.col("__arc") == 0) & (F.col("__cell") >= (1 << bits) // 2), -1).otherwise(0)
