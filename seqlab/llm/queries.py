@@ -81,3 +81,11 @@ def op10(spark, sf_dir):
         F.col("id").alias("doc_id"), *[_of_kind(base, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.array_sort(F.concat("base", "linked"))).alias("spans"))
+
+
+@register("op1_toxicity_trees")
+def op1(spark, sf_dir):
+    from seqlab.llm.toxicity import THRESHOLD, held_out, score_toxicity
+    scored = score_toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), F.col("toxicity").alias("score"),
+                         (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"))
