@@ -89,3 +89,20 @@ def op1(spark, sf_dir):
     scored = score_toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), F.col("toxicity").alias("score"),
                          (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+@register("op7_decontamination_qgram")
+def op7(spark, sf_dir):
+    """One row per document and benchmark item that leaks into it."""
+    from seqlab.llm.decontamination import mark_contamination
+    marked = mark_contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", F.explode("contamination").alias("c")).select(
+        "doc_id", "c.item_id", "c.pieces", "c.edits")
+
+
+@register("op9_minhash_weighted")
+def op9(spark, sf_dir):
+    """One row per document with the smallest id of its class."""
+    from seqlab.llm.minhash import near_duplicates
+    return near_duplicates(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), "class_id", "kept")
