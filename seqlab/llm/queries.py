@@ -106,3 +106,12 @@ def op9(spark, sf_dir):
     from seqlab.llm.minhash import near_duplicates
     return near_duplicates(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "class_id", "kept")
+
+
+@register("op4_substrings_prefix_free")
+def op4(spark, sf_dir):
+    from seqlab.llm.substrings import remove_repeats
+    done = remove_repeats(documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
