@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 import pyarrow as pa
@@ -61,3 +62,36 @@ def text_slices(batches, column: int = 1, max_bytes: int = SLICE_BYTES):
             size += n
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+ID_CELLS = 4096
+
+
+def id_ranges(rows: DataFrame, size: Column, target: int, name: str = "batch") -> DataFrame:
+    """``rows`` (column ``id``, never null) with a number ``name`` for contiguous
+    id ranges that hold about ``target`` of ``size``, the same in every run.
+
+    The id space is cut into ``ID_CELLS`` cells of equal width. Light neighbours
+    share a range; a heavy cell is divided further in proportion to its size.
+    """
+    span = rows.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+    lo, hi = (span["lo"], span["hi"]) if span["lo"] is not None else (0, 0)
+    width = max(1, -(-(hi - lo + 1) // ID_CELLS))
+    cell = F.floor((F.col("id") - lo) / width).cast("int")
+    sizes = {r["cell"]: r["n"] for r in rows.groupBy(cell.alias("cell")).agg(
+        F.sum(size.cast("long")).alias("n")).collect()}    # at most ID_CELLS rows
+    table, first, filled = [], 0, 0
+    for c in sorted(sizes):
+        split = min(width, max(1, -(-sizes[c] // target)))
+        if filled and (split > 1 or filled + sizes[c] > target):
+            first, filled = first + 1, 0
+        table.append({"__cell": c, "__first": first, "__split": split})
+        if split > 1:
+            first += split
+        else:
+            filled += sizes[c] + 1
+    cells = rows.sparkSession.range(1).select(F.inline(F.from_json(
+        F.lit(json.dumps(table)), "array<struct<__cell:int,__first:long,__split:long>>")))
+    inside = F.floor((F.col("id") - lo - cell.cast("long") * width) * F.col("__split") / width)
+    return rows.join(F.broadcast(cells), cell == F.col("__cell")).select(
+        *rows.columns, (F.col("__first") + inside).cast("long").alias(name))

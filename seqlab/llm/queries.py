@@ -115,3 +115,34 @@ def op4(spark, sf_dir):
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return done.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op5_warc_sharded")
+def op5(spark, sf_dir):
+    from seqlab.llm.warc import archived
+    return archived(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op5_warc_sharded"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+first AS (SELECT html, min(page_id) AS page_id FROM p GROUP BY html),
+d AS (SELECT p.page_id, octet_length(encode(p.html)) AS payload_bytes, unhex(sha1(p.html)) AS raw,
+             f.page_id AS first FROM p JOIN first f ON p.html = f.html),
+bits AS (SELECT page_id, payload_bytes, first, CAST(raw AS BIT)::VARCHAR AS b FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(1 + 16 * CAST(b[5 * i + 1] AS INT) + 8 * CAST(b[5 * i + 2] AS INT) + 4 * CAST(b[5 * i + 3] AS INT)
+                  + 2 * CAST(b[5 * i + 4] AS INT) + CAST(b[5 * i + 5] AS INT) AS BIGINT), 1)), 'string_agg', '')
+           AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM bits
+"""
+
+
+@register("op2_embedding_range_join")
+def op2(spark, sf_dir):
+    from seqlab.llm.embeddings import link_embeddings
+    return link_embeddings(table(spark, sf_dir, "embeddings")).withColumn(
+        "kept", F.col("vec_id") == F.col("component_id"))

@@ -26,21 +26,18 @@ are the same, and no text is shuffled a second time.
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlab.llm.common import saved
+from seqlab.llm.common import id_ranges, saved
 from seqlab.llm.hashing import Roller
 
 LENGTH = 50
 TRIGGER = 20
 BATCH_BYTES = 8 << 20
 MAX_RUN = 64
-_CELLS = 4096
 _SLICE = 2 << 20
 ALL, SOME, STRING = 1, 2, 3   # what a batch is told: phrase repeated, look at strings, string repeated
 OUT = "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
@@ -294,31 +291,6 @@ def _remove(key, table, told):
         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())]))
 
 
-def _batched(rows: DataFrame, batch_bytes: int) -> DataFrame:
-    """``rows`` with ``batch``: contiguous id ranges of about ``batch_bytes``.
-    The id space is cut into cells of equal width (a bounded number); a cell
-    with more text is divided further in proportion to its bytes."""
-    span = rows.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
-    lo, hi = (span["lo"], span["hi"]) if span["lo"] is not None else (0, 0)
-    width = max(1, -(-(hi - lo + 1) // _CELLS))
-    cell = F.floor((F.col("id") - lo) / width).cast("int")
-    sizes = {r["cell"]: r["n"] for r in rows.groupBy(cell.alias("cell")).agg(
-        F.sum(F.octet_length("text")).alias("n")).collect()}    # at most _CELLS rows
-    table, total = [], 0
-    for c in sorted(sizes):
-        split = min(width, max(1, -(-sizes[c] // batch_bytes)))
-        # batches are numbered by the bytes before them: small cells share one
-        table.append((c, total // batch_bytes, split))
-        total += sizes[c] + (batch_bytes if split > 1 else 0)
-    spec = "array<struct<cell:int,first:long,split:long>>"
-
-    cells = rows.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(
-        [{"cell": c, "first": f, "split": s} for c, f, s in table])), spec)))
-    inside = F.floor((F.col("id") - lo - cell.cast("long") * width) * F.col("split") / width)
-    return rows.join(F.broadcast(cells), cell == F.col("cell")).select(
-        (F.col("first") + inside).cast("long").alias("batch"), "id", "text")
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``id, n_bytes, spans, kept`` for every row of ``docs``: the maximal
@@ -332,8 +304,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     last = F.lit((1 << 62) - 1)
     rows = docs.select(F.col(id_col).cast("long").alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    known = _batched(rows.where("id is not null"), batch_bytes)
-    rows = known.union(rows.where("id is null").select(last.alias("batch"), last.alias("id"), "text"))
+    known = id_ranges(rows.where("id is not null"), F.octet_length("text"), batch_bytes)
+    rows = known.select("batch", "id", "text").union(rows.where("id is null").select(last.alias("batch"), last.alias("id"), "text"))
     rows = rows.repartition("batch")
     triggers = rows.groupBy("batch").applyInArrow(_parse_batch, "trigger long, phrase long, tag long")
     told = saved(triggers.repartition("trigger").mapInArrow(
