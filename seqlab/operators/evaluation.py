@@ -1,18 +1,16 @@
 """Evaluation as DataFrame queries (K1-K8).
 
 Every metric is an aggregate: partial aggregation runs before each
-exchange, the only windows run over already-reduced tables (at most 101
-threshold rows per group, or distinct scores through the skew-safe
-ordered prefix), and nothing is collected to the driver.
+exchange, curves are arrays of 101 counters per group, running sums go
+through the skew-safe ordered prefix, and nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from seqlab.operators.ordering import ordered_prefix
+from seqlab.operators.ordering import ordered_prefix, ordered_sums
 
 _G = "__grp"
 
@@ -74,8 +72,7 @@ def auc_exact(df: DataFrame, y: str = "y", score: str = "score", by=()) -> DataF
     negative counts (map-side combine), then the negatives below each score
     come from the skew-safe ordered prefix. NULL when a group has one class.
     """
-    src = df.where(F.col(score).isNotNull() & F.col(y).isNotNull())
-    src, keys = _by(src, by)
+    src, keys = _by(_scored(df, y, score), by)
     per_score = src.groupBy(*keys, F.col(score).alias("__s")).agg(
         F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).cast("double").alias("__pos"),
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).cast("double").alias("__neg"))
@@ -92,65 +89,80 @@ def auc_exact(df: DataFrame, y: str = "y", score: str = "score", by=()) -> DataF
 
 # --------------------------------------------------------------- K4 ------
 def threshold_bin(score, steps: int = 100) -> Column:
-    """Largest k in 0..steps with score >= k/steps (-1 below 0). Corrects
-    floor(score*steps) for values such as 0.29 whose product rounds down."""
+    """Largest k in 0..steps with score >= k/steps (-1 below 0). The product
+    score*steps may round to either side of k, so k is corrected by comparing
+    the score with the thresholds themselves."""
     s = F.col(score) if isinstance(score, str) else score
-    k0 = F.floor(s * steps).cast("int")
-    k = F.when(s >= (k0 + 1) / F.lit(float(steps)), k0 + 1).otherwise(k0)
+    k0 = F.floor(F.least(F.greatest(s, F.lit(0.0)), F.lit(1.0)) * steps).cast("int")
+    k = F.when(s >= (k0 + 1) / F.lit(float(steps)), k0 + 1).when(
+        s < k0 / F.lit(float(steps)), k0 - 1).otherwise(k0)
     return F.when(s < 0, F.lit(-1)).otherwise(F.least(k, F.lit(int(steps))))
 
 
+def _scored(df: DataFrame, y: str, score: str) -> DataFrame:
+    """Rows with a label and a score; NaN scores are dropped like NULL ones."""
+    return df.where(F.col(score).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+
+
 def _histogram(df: DataFrame, y: str, score: str, keys: list[str], steps: int) -> DataFrame:
-    return df.where(F.col(score).isNotNull() & F.col(y).isNotNull()).groupBy(
-        *keys, threshold_bin(score, steps).alias("__bin")).agg(
+    return _scored(df, y, score).groupBy(*keys, threshold_bin(score, steps).alias("__bin")).agg(
         F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).cast("long").alias("__pos"),
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).cast("long").alias("__neg"))
 
 
-def _roc_from_hist(hist: DataFrame, keys: list[str], steps: int) -> DataFrame:
-    """ROC rows from a (keys, bin) histogram: a full grid of bins -1..steps per
-    group (bin -1 holds scores below 0: counted in the totals, never above a
-    threshold), then every window runs on one partitioning by the keys."""
-    grid = hist.select(*keys).distinct().select(
-        *keys, F.explode(F.sequence(F.lit(-1), F.lit(int(steps)))).alias("__bin"))
-    filled = grid.join(hist, on=keys + ["__bin"], how="left").na.fill(0, ["__pos", "__neg"])
-    down = Window.partitionBy(*keys).orderBy(F.col("__bin").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    p, n = F.sum("__pos").over(whole), F.sum("__neg").over(whole)
-    tp, fp = F.sum("__pos").over(down), F.sum("__neg").over(down)
-    roc = filled.select(*keys, "__bin", tp.alias("tp"), fp.alias("fp"),
-                        F.when(p > 0, tp / p).alias("tpr"), F.when(n > 0, fp / n).alias("fpr"))
-    return roc.where(F.col("__bin") >= 0).select(
-        *keys, (F.col("__bin") / F.lit(float(steps))).alias("threshold"),
-        F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"), "tpr", "fpr")
+def _counters(hist: DataFrame, keys: list[str], steps: int) -> DataFrame:
+    """One row per group: ``tp`` and ``fp`` (arrays: rows at score >= k/steps, k =
+    0..steps) and the totals ``p``, ``n`` (which include scores below 0)."""
+    cells = hist.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("__bin", F.struct("__pos", "__neg")))).alias("c"),  # steps + 2
+        F.sum("__pos").alias("p"), F.sum("__neg").alias("n"))
+
+    def from_the_top(field):
+        zero = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("out"))
+
+        def step(acc, k):
+            total = acc["sum"] + F.coalesce(F.try_element_at(F.col("c"), k)[field], F.lit(0).cast("long"))
+            return F.struct(total.alias("sum"), F.array_append(acc["out"], total).alias("out"))
+        return F.reverse(F.aggregate(F.sequence(F.lit(int(steps)), F.lit(0), F.lit(-1)), zero, step,
+                                     lambda acc: acc["out"]))
+
+    return cells.select(*keys, from_the_top("__pos").alias("tp"), from_the_top("__neg").alias("fp"), "p", "n")
+
+
+def _roc_rows(counters: DataFrame, keys: list[str], steps: int) -> DataFrame:
+    rows = counters.select(*keys, "p", "n", F.posexplode(F.arrays_zip("tp", "fp")).alias("k", "c"))
+    return rows.select(*keys, (F.col("k") / F.lit(float(steps))).alias("threshold"), F.col("c.tp").alias("tp"),
+                       F.col("c.fp").alias("fp"), F.when(F.col("p") > 0, F.col("c.tp") / F.col("p")).alias("tpr"),
+                       F.when(F.col("n") > 0, F.col("c.fp") / F.col("n")).alias("fpr"))
 
 
 def roc_thresholded(df: DataFrame, y: str = "y", score: str = "score", steps: int = 100,
                     by=()) -> DataFrame:
     """TPR/FPR at score >= i/steps, i = 0..steps (steps+1 rows per group)."""
     src, keys = _by(df, by)
-    roc = _roc_from_hist(_histogram(src, y, score, keys, steps), keys, steps)
+    roc = _roc_rows(_counters(_histogram(src, y, score, keys, steps), keys, steps), keys, steps)
     return _drop_g(roc.select(*keys, F.round("threshold", 6).alias("threshold"), "tp", "fp",
                               F.round("tpr", 6).alias("tpr"), F.round("fpr", 6).alias("fpr")))
 
 
-def _trapezoid(roc: DataFrame, keys: list[str]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy("threshold")
-    nx_f = F.coalesce(F.lead("fpr").over(w), F.lit(0.0))
-    nx_t = F.coalesce(F.lead("tpr").over(w), F.lit(0.0))
-    seg = roc.select(*keys, ((F.col("fpr") - nx_f) * (F.col("tpr") + nx_t) / 2).alias("__a"),
-                     F.col("tpr").isNull().alias("__undef_p"), F.col("fpr").isNull().alias("__undef_n"))
-    return seg.groupBy(*keys).agg(
-        F.when(~F.max("__undef_p") & ~F.max("__undef_n"), F.round(F.sum("__a"), 6)).alias("auc"))
+def _area(counters: DataFrame, keys: list[str]) -> DataFrame:
+    """Trapezoid area under the thresholded curve, closed at (0, 0)."""
+    closed = lambda c: F.concat(c, F.array(F.lit(0).cast("long")))
+    parts = F.zip_with(
+        F.zip_with(F.col("fp"), F.slice(closed(F.col("fp")), 2, F.size("fp")), lambda a, b: a - b),
+        F.zip_with(F.col("tp"), F.slice(closed(F.col("tp")), 2, F.size("tp")), lambda a, b: a + b),
+        lambda d, s: d.cast("double") * s.cast("double"))
+    total = F.aggregate(parts, F.lit(0.0), lambda acc, v: acc + v)
+    both = (F.col("p") > 0) & (F.col("n") > 0)
+    return counters.select(*keys, F.when(both, F.round(
+        total / (2.0 * F.col("p").cast("double") * F.col("n").cast("double")), 6)).alias("auc"))
 
 
 def auc_thresholded(df: DataFrame, y: str = "y", score: str = "score", steps: int = 100,
                     by=()) -> DataFrame:
     """Trapezoid area under the thresholded ROC, closed at (0, 0)."""
     src, keys = _by(df, by)
-    roc = _roc_from_hist(_histogram(src, y, score, keys, steps), keys, steps)
-    return _drop_g(_trapezoid(roc, keys))
+    return _drop_g(_area(_counters(_histogram(src, y, score, keys, steps), keys, steps), keys))
 
 
 # --------------------------------------------------------------- K5 ------
@@ -167,29 +179,20 @@ def running_auc(df: DataFrame, batch: str = "batch_id", y: str = "y", score: str
                 steps: int = 100) -> DataFrame:
     """Thresholded AUC over all rows of batches <= b, for every batch b.
 
-    Histogram per (batch, bin), a full (batch, bin) grid generated per batch,
-    cumulative counts over batches per bin via the skew-safe ordered prefix
-    (a bin is split over many tasks), then the per-batch ROC over 101 bins.
-    Linear in rows; no prefix self-join.
+    Each batch is reduced to one row of counters (rows at or above each
+    threshold); the counters are summed up along the batches by the ordered
+    prefix, which cuts the batches into chunks and carries one row of totals
+    from chunk to chunk. Linear in rows; no prefix self-join.
     """
-    hist = _histogram(df, y, score, [batch], steps)
-    batches = hist.select(batch).distinct()
-    grid = batches.select(batch, F.explode(F.sequence(F.lit(-1), F.lit(int(steps)))).alias("__bin"))
-    filled = grid.join(hist, on=[batch, "__bin"], how="left").na.fill(0, ["__pos", "__neg"])
-    pref = ordered_prefix(filled, ["__bin"], [batch], {"__cpos": "__pos", "__cneg": "__neg"})
-    cum = pref.select(batch, "__bin", (F.col("__cpos") + F.col("__pos")).alias("__pos"),
-                      (F.col("__cneg") + F.col("__neg")).alias("__neg"))
-    # the grid is complete (bins -1..steps for every batch), so the per-batch
-    # ROC needs no second grid: every window below runs on one partitioning
-    down = Window.partitionBy(batch).orderBy(F.col("__bin").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(batch)
-    p, n = F.sum("__pos").over(whole), F.sum("__neg").over(whole)
-    roc = cum.select(batch, "__bin",
-                     F.when(p > 0, F.sum("__pos").over(down) / p).alias("tpr"),
-                     F.when(n > 0, F.sum("__neg").over(down) / n).alias("fpr"))
-    roc = roc.where(F.col("__bin") >= 0).withColumn("threshold", F.col("__bin") / float(steps))
-    return _trapezoid(roc, [batch]).select(F.col(batch).cast("long").alias(batch), "auc")
+    k = int(steps) + 1
+    own = _counters(_histogram(df, y, score, [batch], steps), [batch], steps)
+    own = own.select(batch, F.concat("tp", "fp", F.array("p", "n")).cast("array<double>").alias("__own"))
+    summed = ordered_sums(own, [], [batch], F.col("__own"), "__before")
+    upto = F.zip_with("__before", "__own", lambda a, b: (a + b).cast("long"))
+    cum = summed.select(batch, upto.alias("__c")).select(
+        batch, F.slice("__c", 1, k).alias("tp"), F.slice("__c", k + 1, k).alias("fp"),
+        F.col("__c")[2 * k].alias("p"), F.col("__c")[2 * k + 1].alias("n"))
+    return _area(cum, [batch]).select(F.col(batch).cast("long").alias(batch), "auc")
 
 
 # --------------------------------------------------------------- K7 ------

@@ -10,13 +10,14 @@ feature count) and the objective history.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlab.operators.ordering import ordered_prefix
+from seqlab.operators.ordering import ordered_sums
 
 
 def as_vector(df: DataFrame, features, out: str = "features_vec") -> DataFrame:
@@ -83,19 +84,22 @@ def fit_sequence_classifier(seq_features: DataFrame, label: str, feature_cols: l
 
 
 # ------------------------------------------------------------------ I4 ----
-def trailing_features(df: DataFrame, id_col: str, step: str, value: str) -> DataFrame:
+def trailing_features(df: DataFrame, id_col: str, step: str, values: list[str]) -> DataFrame:
     """Per-step features over the trailing frame (all steps up to the current
-    one): running mean and running RMS of ``value`` and the step index. The
-    running sums come from the skew-safe ordered prefix, so a very long
-    sequence is split over many tasks."""
-    work = df.withColumn("__v2", F.col(value) * F.col(value))
-    pref = ordered_prefix(work, [id_col], [step],
-                          {"__s1": value, "__s2": "__v2", "__n": "__one"})
-    n = F.col("__n") + 1
-    return pref.select(
-        *[c for c in df.columns],
-        ((F.col("__s1") + F.col(value)) / n).alias("run_mean"),
-        F.sqrt((F.col("__s2") + F.col("__v2")) / n).alias("run_rms"),
+    one): running mean ``<c>_mean`` and running RMS ``<c>_rms`` of every column
+    in ``values``, and the step index ``step_f``. The running sums of all columns
+    come from one ordered prefix, so a very long sequence is split over many
+    tasks."""
+    zero = F.lit(0.0)
+    cell = [F.coalesce(F.nanvl(F.col(c).cast("double"), zero), zero) for c in values]
+    m = len(values)
+    out = ordered_sums(df, [id_col], [step], F.array(F.lit(1.0), *cell, *[c * c for c in cell]), "__before")
+    n = F.col("__before")[0] + 1
+    return out.select(
+        *df.columns,
+        *[((F.col("__before")[1 + i] + cell[i]) / n).alias(f"{c}_mean") for i, c in enumerate(values)],
+        *[F.sqrt((F.col("__before")[1 + m + i] + cell[i] * cell[i]) / n).alias(f"{c}_rms")
+          for i, c in enumerate(values)],
         F.col(step).cast("double").alias("step_f"))
 
 
@@ -146,22 +150,34 @@ def lagged_pairs(df: DataFrame, id_col: str, step: str, cells: list[str]) -> Dat
 
 
 def gram_means(pairs: DataFrame, cells: list[str]) -> DataFrame:
-    """Mean X'X and X'Y entries (X = cells + 1 bias, Y = next-step cells) as one
-    global aggregate with map-side partial sums: (kind, i, j, value) rows."""
-    xs = [F.col(c) for c in cells] + [F.lit(1.0)]
-    ys = [F.col(f"y_{c}") for c in cells]
-    aggs = []
-    for i, xi in enumerate(xs):
-        for j, xj in enumerate(xs):
-            aggs.append(F.avg(xi * xj).alias(f"xx_{i}_{j}"))
-        for j, yj in enumerate(ys):
-            aggs.append(F.avg(xi * yj).alias(f"xy_{i}_{j}"))
-    wide = pairs.agg(*aggs)
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(n.split("_")[0]).alias("kind"), F.lit(int(n.split("_")[1])).alias("i"),
-                 F.lit(int(n.split("_")[2])).alias("j"), F.col(n).alias("value"))
-        for n in wide.columns]))
-    return wide.select(stack.alias("g")).select("g.*")
+    """Mean X'X and X'Y entries (X = cells + 1 bias, Y = next-step cells) as
+    (kind, i, j, value) rows. Each task sums its Arrow blocks with one matrix
+    product per block and emits its sums once; Spark adds the tasks up. Of X'X
+    only the upper triangle is summed."""
+    d = len(cells)
+
+    def partial(batches):
+        xx, xy, n = np.zeros((d + 1, d + 1)), np.zeros((d + 1, d)), 0
+        for pdf in batches:
+            x = np.column_stack([pdf.iloc[:, :d].to_numpy(dtype="float64"), np.ones(len(pdf))])
+            y = pdf.iloc[:, d:].to_numpy(dtype="float64")
+            xx, xy, n = xx + x.T @ x, xy + x.T @ y, n + len(pdf)
+        if n:
+            i, j = np.triu_indices(d + 1)
+            k, m = np.indices((d + 1, d))
+            yield pd.DataFrame({"kind": ["xx"] * len(i) + ["xy"] * k.size, "i": np.concatenate([i, k.ravel()]),
+                                "j": np.concatenate([j, m.ravel()]), "s": np.concatenate([xx[i, j], xy.ravel()]),
+                                "n": n})
+
+    wide = pairs.select(*[F.col(c).cast("double") for c in cells], *[F.col(f"y_{c}").cast("double") for c in cells])
+    parts = wide.where(" AND ".join(f"`{c}` IS NOT NULL" for c in wide.columns)).mapInPandas(
+        partial, "kind string, i int, j int, s double, n long")
+    mean = parts.groupBy("kind", "i", "j").agg((F.sum("s") / F.sum("n")).alias("value"))
+    # the lower triangle of X'X mirrors the upper one
+    both = F.when((F.col("kind") == "xx") & (F.col("i") != F.col("j")),
+                  F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    return mean.select("kind", "value", F.explode(F.coalesce(both, F.array(F.struct("i", "j")))).alias("c")).select(
+        "kind", "c.i", "c.j", "value")
 
 
 def fit_forecaster(pairs: DataFrame, cells: list[str], ridge: float = 1e-3):

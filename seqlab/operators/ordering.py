@@ -2,216 +2,124 @@
 
 A ``row_number() OVER (PARTITION BY k ORDER BY o)`` sends every row of one
 key to one task. When a single key may hold a third of all rows that task
-becomes the whole job. ``ordered_prefix`` computes the same numbers with
-the key space cut into ``n`` contiguous chunks instead:
-
-1. boundaries: ``n - 1`` evenly spaced (key, order) values of a seeded,
-   bounded sample, sorted by Spark into a one-row scalar subquery (computed
-   once per query, never collected);
-2. every row's chunk is the number of boundaries not above its (key, order)
-   value, found by a binary search written with Spark's higher-order
-   functions, a pure function of the row, so both branches below and any
-   retried task agree;
-3. a window partitioned by (chunk, key) gives the prefix inside the chunk;
-   a hot key is spread over many chunks and tasks;
-4. per-(chunk, key) totals become offsets with a small window. Only the
-   first key of a chunk can continue from an earlier chunk, so at most one
-   offset per chunk is non-zero: that table is bounded by ``n``, broadcast,
-   and joined to the rows without moving them again.
-
-Everything runs on the JVM (no Python). The split costs a sampling pass and
-one more shuffle than a plain window, which only pays off when a group may
-be too large for one task. The choice needs no job: when the optimizer's
-size estimate of the input (capped by the bytes its scans read) is at most
-``seqlab.ordered.windowMaxBytes`` (default 256 MB), even a single group
-holding every row fits one task and a plain window is used; above it the
-input is assumed to hold hot keys and is split.
+becomes the whole job. ``ordered_prefix`` computes the same numbers with one
+range partitioning, for inputs of every size:
+
+1. rows are range-partitioned and sorted by (key, order), so a hot key is
+   spread over as many tasks as its rows need; the boundaries live in the
+   partitioner, not in the rows;
+2. each task runs over its sorted rows once, Arrow batch by Arrow batch, and
+   adds the prefix inside (chunk, key); only the running totals of the current
+   key are held;
+3. the chunks are written to the shared folder, which fixes them: both uses
+   below, and any retried task, read the same chunks;
+4. only the first key of a chunk can continue from an earlier chunk. One row
+   per chunk (its first and last key, and the last key's total) gives the
+   offsets; that table has as many rows as there are chunks and is broadcast,
+   so the rows are not moved again.
+
+Keys are compared by a 64-bit hash inside a chunk, where rows are sorted by the
+keys themselves. Sums of fractions may differ in the last bits with the number
+of chunks; counts and sums of integers are exact.
 """
 
 from __future__ import annotations
 
-import math
-from contextlib import contextmanager
-from functools import reduce
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-_PID = "__chunk"
-SAMPLE_PER_RANGE = 64
-SAMPLE_SEED = 20240101
-WINDOW_MAX_BYTES_CONF = "seqlab.ordered.windowMaxBytes"
-DEFAULT_WINDOW_MAX_BYTES = 256 * 1024 * 1024
+from seqlab.session import saved
+
+_GROUP, _CHUNK, _AT, _W, _P = "__group", "__chunk", "__at", "__weights", "__before"
 
 
 def _num_ranges(df: DataFrame, num: int | None) -> int:
-    if num:
-        return int(num)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-@contextmanager
-def window_limit(spark, max_bytes: int):
-    """Temporarily set the input size up to which a plain window is used
-    (``-1`` forces the range split). The choice is made when a DataFrame is
-    built, so the built plan keeps it after the block ends."""
-    old = spark.conf.get(WINDOW_MAX_BYTES_CONF, None)
-    spark.conf.set(WINDOW_MAX_BYTES_CONF, str(int(max_bytes)))
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(WINDOW_MAX_BYTES_CONF)
-        else:
-            spark.conf.set(WINDOW_MAX_BYTES_CONF, old)
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Size estimate of ``df`` from the optimizer, no job: the smaller of the
-    plan's own estimate and the bytes its leaf scans read (without
-    cost-based statistics a join is estimated as the product of its inputs,
-    which says nothing about how much data there is). None if unknown."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        total = int(str(plan.stats().sizeInBytes()))
-        leaves = plan.collectLeaves()
-        read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-        return min(total, read)
-    except Exception:  # noqa: BLE001 - an unknown size means "assume large"
-        return None
-
-
-def estimated_rows(df: DataFrame) -> int | None:
-    """Row-count estimate for the boundary sample: the optimizer's row count
-    when known, else the size estimate over a nominal 64-byte row."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        rc = stats.rowCount()
-        if rc.isDefined():
-            return int(str(rc.get()))
-    except Exception:  # noqa: BLE001
-        pass
-    size = estimated_bytes(df)
-    return None if size is None else max(1, size // 64)
-
-
-def use_window(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get(WINDOW_MAX_BYTES_CONF, str(DEFAULT_WINDOW_MAX_BYTES)))
-    size = estimated_bytes(df)
-    return size is not None and 0 <= size <= limit
+    return int(num) if num else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _local_prefix(n_keep: int):
+    """Exclusive prefix sums inside (chunk, key) over a sorted partition.
+    Columns: the kept ones, group hash, chunk, weights."""
+    def run(batches):
+        group, totals, at = None, 0.0, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            g = batch.column(n_keep).to_numpy(zero_copy_only=False)
+            w = batch.column(n_keep + 2).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            goes_on = group is not None and g[0] == group
+            first = np.flatnonzero(np.concatenate([[not goes_on], g[1:] != g[:-1]]))
+            start = np.zeros(n, np.int64)
+            start[first] = first
+            start = np.maximum.accumulate(start)          # first row of the key in this batch
+            run_to = np.concatenate([np.zeros((1, w.shape[1])), np.cumsum(w, axis=0)])
+            before = run_to[:-1] - run_to[start]
+            if goes_on:
+                before[:first[0] if len(first) else n] += totals
+            group, totals = g[-1], before[-1] + w[-1]
+            offsets = pa.array(np.arange(n + 1, dtype=np.int32) * w.shape[1])
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(i) for i in range(n_keep + 3)], pa.array(np.arange(at, at + n)),
+                 pa.ListArray.from_arrays(offsets, pa.array(before.ravel()))], [*batch.schema.names, _AT, _P])
+            at += n
+    return run
+
+
+def ordered_sums(df: DataFrame, by: list[str], order: list, weights, name: str = "before",
+                 num_ranges: int | None = None) -> DataFrame:
+    """Add ``name array<double>``: the *exclusive* prefix sums of the array
+    column ``weights`` (one length for all rows, no NULLs) within each ``by``
+    group in ``order``. See ``ordered_prefix``."""
+    by, names = list(by), list(df.columns)
+    key = [F.col(b) for b in by] + [F.col(o) if isinstance(o, str) else o for o in order]
+    group = F.xxhash64(*by) if by else F.lit(0).cast("long")
+    ranged = df.repartitionByRange(_num_ranges(df, num_ranges), *key).sortWithinPartitions(*key)
+    ranged = ranged.select(*names, group.alias(_GROUP), F.spark_partition_id().alias(_CHUNK),
+                           weights.cast("array<double>").alias(_W))
+    sums = T.ArrayType(T.DoubleType())
+    schema = T.StructType([*ranged.schema.fields, T.StructField(_AT, T.LongType()), T.StructField(_P, sums)])
+    chunks = saved(ranged.mapInArrow(_local_prefix(len(names)), schema), "ordered")
+
+    # one row per chunk: its first key, its last key and that key's totals
+    ends = F.struct(F.col(_GROUP).alias("g"), F.zip_with(_P, _W, lambda a, b: a + b).alias("t"))
+    edges = chunks.groupBy(_CHUNK).agg(F.min_by(_GROUP, _AT).alias("first"), F.max_by(ends, _AT).alias("last"))
+    edges = edges.select(_CHUNK, "first", F.col("last.g").alias("g"), F.posexplode("last.t").alias("k", "t"))
+    along = Window.partitionBy("k", "g").orderBy(_CHUNK)
+    before = Window.partitionBy("k").orderBy(_CHUNK)   # as many rows as chunks
+    edges = edges.withColumn("t", F.sum("t").over(along))
+    edges = edges.withColumn("o", F.when(F.lag("g").over(before) == F.col("first"), F.lag("t").over(before)))
+    offsets = edges.where(F.col("o").isNotNull()).groupBy(F.col(_CHUNK).alias("__c"), F.col("first").alias("__g")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "o"))), lambda x: x["o"]).alias("__o"))
+    joined = chunks.join(F.broadcast(offsets), (F.col(_CHUNK) == F.col("__c")) & (F.col(_GROUP) == F.col("__g")),
+                         "left")
+    total = F.when(F.col("__o").isNull(), F.col(_P)).otherwise(F.zip_with(_P, "__o", lambda a, b: a + b))
+    return joined.select(*names, total.alias(name))
 
 
 def ordered_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str],
-                   num_ranges: int | None = None, split: bool | None = None) -> DataFrame:
+                   num_ranges: int | None = None) -> DataFrame:
     """Add, for every row, the *exclusive* prefix sum of each column in ``sums``
-    within its ``by`` group in ``order`` (ascending; ties must be broken by the
-    order columns for a deterministic result).
+    within its ``by`` group in ``order`` (ties must be broken by the order
+    columns for a deterministic result). NULL keys are a group of their own;
+    NULL and NaN weights count as 0.
 
     ``sums`` maps output name -> input column name; pass ``"__one"`` as the
     input to count rows. Outputs are doubles (exact for counts below 2**53).
-    ``split``: True forces the range split, False the plain window, None
-    decides by the estimated input size (see the module notes).
     """
-    by = list(by)
-    if split is None:
-        split = not use_window(df)
-    if not split:
-        return _window_prefix(df, by, order, sums)
-    return _split_prefix(df, by, order, sums, num_ranges)
-
-
-def _window_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str]) -> DataFrame:
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    ordered = Window.partitionBy(*by).orderBy(*order_cols)
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    cols = []
-    for out, col in sums.items():
-        if col == "__one":   # a running count is the row number
-            cols.append((F.row_number().over(ordered) - 1).cast("double").alias(out))
-        else:
-            cols.append(F.coalesce(F.sum(F.col(col).cast("double")).over(before), F.lit(0.0)).alias(out))
-    return df.select("*", *cols)
-
-
-def _split_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, str],
-                  num_ranges: int | None) -> DataFrame:
-    """Range split with boundaries computed by Spark (see the module notes)."""
-    n = _num_ranges(df, num_ranges)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    key_fields = [F.col(b).alias(f"__key_{i}") for i, b in enumerate(by)] + \
-        [c.alias(f"__key_{len(by) + j}") for j, c in enumerate(order_cols)]
-    key = F.struct(*key_fields)
-
-    # n - 1 boundaries: evenly spaced keys of a seeded sample of at most
-    # SAMPLE_PER_RANGE * n rows, sorted; a one-row scalar subquery, so it is
-    # computed once per query and never leaves the JVM
-    k = SAMPLE_PER_RANGE * n
-    rows = estimated_rows(df)
-    frac = 1.0 if rows is None or rows <= k else max(k / rows, 1e-9)
-    work = df.withColumn("__one", F.lit(1.0)) if "__one" in sums.values() else df
-    if n <= 1:
-        work = work.withColumn(_PID, F.lit(0))
-    else:
-        # seeded sample, cut to 4k rows by smallest key hash: a deterministic,
-        # uniform subset whatever the arrival order of partitions
-        sample = df.select(key.alias("__k")).sample(fraction=min(1.0, frac), seed=SAMPLE_SEED) \
-            .orderBy(F.xxhash64("__k"), "__k").limit(4 * k)
-        bounds = sample.agg(F.array_sort(F.collect_list("__k")).alias("__s")).select(
-            F.expr(f"filter(transform(sequence(1, {n - 1}), i -> try_element_at(__s, "
-                   f"cast(floor(i * size(__s) / {n}) as int) + 1)), b -> b is not null)").alias("__bounds"))
-
-        # chunk = number of boundaries <= key (binary search on the sorted array)
-        work = work.withColumn("__bounds", bounds.scalar()).withColumn("__key", key)
-        steps = max(1, math.ceil(math.log2(n + 1)) + 1)
-
-        def bisect(acc, _):
-            lo, hi = acc["lo"], acc["hi"]
-            mid = F.floor((lo + hi) / 2).cast("int")
-            right = (lo < hi) & F.coalesce(F.try_element_at(F.col("__bounds"), mid + 1) <= F.col("__key"),
-                                           F.lit(False))
-            left = (lo < hi) & ~right
-            return F.struct(F.when(right, mid + 1).otherwise(lo).alias("lo"),
-                            F.when(left, mid).otherwise(hi).alias("hi"))
-
-        init = F.struct(F.lit(0).alias("lo"), F.size(F.col("__bounds")).alias("hi"))
-        chunk = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, bisect)["lo"]
-        work = work.withColumn(_PID, F.coalesce(chunk, F.lit(0))).drop("__bounds", "__key")
-
-    # prefix inside each (chunk, key): a window whose groups are bounded by a chunk
-    out_names = list(sums.keys())
-    weights = list(sums.values())
-    inner = Window.partitionBy(_PID, *by).orderBy(*order_cols)
-    local = work.select("*", *[
-        ((F.row_number().over(inner) - 1).cast("double") if w == "__one" else
-         F.coalesce(F.sum(F.col(w).cast("double")).over(inner.rowsBetween(Window.unboundedPreceding, -1)),
-                    F.lit(0.0))).alias(o)
-        for o, w in zip(out_names, weights)])
-
-    totals = work.groupBy(_PID, *by).agg(
-        *[F.sum(F.col(w).cast("double")).alias(f"__tot_{o}") for o, w in zip(out_names, weights)])
-    win = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        _PID, *[F.col(b).alias(f"__k_{b}") for b in by],
-        *[F.coalesce(F.sum(f"__tot_{o}").over(win), F.lit(0.0)).alias(f"__off_{o}")
-          for o in out_names])
-    # Chunks are contiguous ranges of (key, order), so a key that also occurs
-    # in an earlier chunk is the first key of its chunk: at most one offset
-    # per chunk is non-zero. That table is bounded by the number of chunks
-    # and broadcast; the rows are not moved again.
-    if by:
-        nonzero = [F.col(f"__off_{o}") != 0 for o in out_names]
-        offsets = offsets.where(reduce(lambda a, b: a | b, nonzero))
-    offsets = F.broadcast(offsets)
-    cond = [local[_PID] == offsets[_PID]] + [local[b].eqNullSafe(offsets[f"__k_{b}"]) for b in by]
-    joined = local.join(offsets, on=cond, how="left")
-    keep = [local[c] for c in df.columns]
-    return joined.select(*keep, *[(local[o] + F.coalesce(offsets[f"__off_{o}"], F.lit(0.0))).alias(o)
-                                  for o in out_names])
+    zero = F.lit(0.0)
+    weights = F.array(*[F.lit(1.0) if w == "__one" else F.coalesce(F.nanvl(F.col(w).cast("double"), zero), zero)
+                        for w in sums.values()])
+    out = ordered_sums(df, by, order, weights, "__sums", num_ranges)
+    return out.select(*df.columns, *[F.col("__sums")[k].alias(o) for k, o in enumerate(sums)])
 
 
 def ordered_index(df: DataFrame, by: list[str], order: list, name: str = "idx",
-                  num_ranges: int | None = None, split: bool | None = None) -> DataFrame:
+                  num_ranges: int | None = None) -> DataFrame:
     """0-based position of each row within its ``by`` group (``by=[]``: global)."""
-    res = ordered_prefix(df, by, order, {name: "__one"}, num_ranges, split)
+    res = ordered_prefix(df, by, order, {name: "__one"}, num_ranges)
     return res.withColumn(name, F.col(name).cast("long"))

@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from seqlab.functions.columns import dot, squared_error
 
@@ -43,77 +42,79 @@ def linear_step(weights: np.ndarray, bias: np.ndarray):
     return step
 
 
-def _rollout_block(pdf: pd.DataFrame, id_col: str, cells: list[str], step_fn, horizon: int,
-                   offset: int) -> pd.DataFrame:
-    """Roll out every sample of ``pdf`` (sorted by id, step); samples with the
-    same warm-up length advance together, one vectorised call per step."""
-    ids, starts, lens = np.unique(pdf[id_col].to_numpy(), return_index=True, return_counts=True)
-    X = pdf[cells].to_numpy(dtype="float64")
-    d = len(cells)
-    outs = []
-    for L in np.unique(lens):
-        sel = lens == L
-        idx = starts[sel][:, None] + np.arange(L)[None, :]          # [n, L]
-        block = X[idx]                                              # [n, L, d]
-        state, y = None, None
-        for t in range(int(L)):
-            state, y = step_fn(state, block[:, t, :])
-        preds = []
-        for _ in range(int(horizon) + int(offset)):
-            preds.append(y)
-            state, y = step_fn(state, y)
-        P = np.stack(preds[int(offset):], axis=1)                   # [n, horizon, d]
-        n = P.shape[0]
-        outs.append(pd.DataFrame({
-            id_col: np.repeat(ids[sel], int(horizon) * d),
-            "k": np.tile(np.repeat(np.arange(int(horizon), dtype="int64"), d), n),
-            "cell": np.tile(np.arange(d, dtype="int32"), n * int(horizon)),
-            "prediction": P.reshape(-1),
-        }))
-    return pd.concat(outs, ignore_index=True) if outs else pd.DataFrame(
-        {id_col: [], "k": [], "cell": [], "prediction": []})
-
-
-def rollout(df: DataFrame, id_col: str, step: str, cells: list[str],
-            step_fn: Callable, warmup: int, horizon: int, offset: int = 1) -> DataFrame:
+def _forecast(ids, state, y, id_col, step_fn, horizon, offset) -> pd.DataFrame:
+    """Forecast rows of samples whose warm-up ended with ``state`` and output ``y``."""
+    preds = []
+    for _ in range(int(horizon) + int(offset)):
+        preds.append(y)
+        state, y = step_fn(state, y)
+    p = np.stack(preds[int(offset):], axis=1)                       # [n, horizon, d]
+    n, h, d = p.shape
+    return pd.DataFrame({id_col: np.repeat(ids, h * d),
+                         "k": np.tile(np.repeat(np.arange(h, dtype="int64"), d), n),
+                         "cell": np.tile(np.arange(d, dtype="int32"), n * h), "prediction": p.reshape(-1)})
+
+
+def rollout(df: DataFrame, id_col: str, step: str, cells: list[str], step_fn: Callable, horizon: int,
+            offset: int = 1, start: int | None = None, length: int | None = None) -> DataFrame:
     """Warm-up then autoregressive rollout, sequential within a sample and
     parallel across samples.
 
-    Only the last ``warmup`` steps of each sample are fed (the reference feeds
-    a fixed warm-up window); they are selected with a rank filter that Spark
-    limits per group before the shuffle. Rows are then hash-partitioned by
-    id and sorted, and each partition is streamed through ``mapInPandas``:
-    complete samples of an Arrow batch are rolled out together (vectorised
-    over samples), the last, possibly incomplete sample is carried to the
-    next batch, so memory is bounded by the batch, never by the partition.
+    All steps of a sample are fed in order; ``start`` and ``length`` restrict
+    the warm-up to steps ``start .. start + length - 1``. Rows are
+    hash-partitioned by id and sorted, and each partition is streamed through
+    ``mapInPandas``: samples that lie whole in an Arrow batch advance together
+    (vectorised over samples of one length); of a sample that continues in the
+    next batch only the state is kept, so memory is bounded by the batch
+    however long a sample is.
 
     ``step_fn(state, X) -> (state, Y)`` gets a block of samples ([n, d]);
     state starts as None. The output for the last warm-up step predicts the
     next step; with ``offset=1`` (reference) forecast k is the (k+2)-th
-    prediction, with ``offset=0`` the (k+1)-th.
+    prediction, with ``offset=0`` the (k+1)-th. Rows with a NULL id are dropped.
     Output: (id, k, cell, prediction).
     """
-    w = Window.partitionBy(id_col).orderBy(F.col(step).desc())
-    last = df.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= int(warmup)).drop("__r")
-    id_type = df.schema[id_col].dataType
-    out_schema = T.StructType([T.StructField(id_col, id_type), T.StructField("k", T.LongType()),
+    warm = df.where(F.col(id_col).isNotNull())
+    if start is not None:
+        warm = warm.where(F.col(step) >= int(start))
+    if length is not None:
+        warm = warm.where(F.col(step) < int(start or 0) + int(length))
+    out_schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("k", T.LongType()),
                                T.StructField("cell", T.IntegerType()),
                                T.StructField("prediction", T.DoubleType())])
 
     def run(batches):
-        pending = None
+        open_id = state = y = None          # a sample that may go on in the next batch
         for pdf in batches:
             if pdf.empty:
                 continue
-            if pending is not None:
-                pdf = pd.concat([pending, pdf], ignore_index=True)
-            last_id = pdf[id_col].iloc[-1]
-            tail = (pdf[id_col] == last_id).to_numpy()
-            done, pending = pdf[~tail], pdf[tail]
-            if len(done):
-                yield _rollout_block(done, id_col, cells, step_fn, horizon, offset)
-        if pending is not None and len(pending):
-            yield _rollout_block(pending, id_col, cells, step_fn, horizon, offset)
-
-    clustered = last.select(id_col, step, *cells).repartition(id_col).sortWithinPartitions(id_col, step)
-    return clustered.mapInPandas(run, out_schema)
+            ids = pdf[id_col].to_numpy()
+            x = pdf[cells].to_numpy(dtype="float64")
+            first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+            last = np.concatenate([first[1:], [len(ids)]])
+            begin = 0
+            if open_id is not None:
+                if ids[0] == open_id:       # feed what the batch adds to it
+                    for t in range(last[0]):
+                        state, y = step_fn(state, x[t:t + 1])
+                    begin = 1
+                if begin < len(first) or ids[0] != open_id:
+                    yield _forecast([open_id], state, y, id_col, step_fn, horizon, offset)
+                    open_id = None
+            whole = np.arange(begin, len(first) - 1)
+            lengths = (last - first)[whole]
+            for n in np.unique(lengths):
+                rows = first[whole[lengths == n]]
+                s = out = None
+                for t in range(int(n)):
+                    s, out = step_fn(s, x[rows + t])
+                yield _forecast(ids[rows], s, out, id_col, step_fn, horizon, offset)
+            if begin < len(first):          # the last sample of the batch stays open
+                open_id, state, y = ids[first[-1]], None, None
+                for t in range(first[-1], len(ids)):
+                    state, y = step_fn(state, x[t:t + 1])
+        if open_id is not None:
+            yield _forecast([open_id], state, y, id_col, step_fn, horizon, offset)
+
+    clustered = warm.select(id_col, step, *cells).repartition(id_col).sortWithinPartitions(id_col, step)
+    return clustered.select(id_col, *cells).mapInPandas(run, out_schema)

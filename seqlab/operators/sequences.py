@@ -9,31 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from seqlab.functions.columns import geo_xyz, minmax, xyz_geo
-from seqlab.operators.ordering import ordered_index, use_window
+from seqlab.operators.ordering import ordered_index
 
 
 def to_sequences(df: DataFrame, id_col: str, ts_col: str, tiebreak: str | None = None,
                  step: str = "step", length: str | None = "seq_len") -> DataFrame:
     """Number the rows of each id in ascending time order (0-based ``step``).
 
-    Small inputs use one window per id (the length comes from the same
-    partitioning, no extra exchange). Inputs that may hold a hot id use the
-    skew-safe ordered index, with the length from a partial+final aggregate.
+    The skew-safe ordered index numbers a hot id in many tasks; lengths come
+    from a partial+final aggregate. Rows with a NULL id are one sequence.
     """
     order = [ts_col] + ([tiebreak] if tiebreak else [])
-    if use_window(df):
-        w = Window.partitionBy(id_col).orderBy(*order)
-        out = df.withColumn(step, (F.row_number().over(w) - 1).cast("long"))
-        if length:
-            out = out.withColumn(length, F.count(F.lit(1)).over(Window.partitionBy(id_col)))
-        return out
-    out = ordered_index(df, [id_col], order, name=step, split=True)
+    out = ordered_index(df, [id_col], order, name=step)
     if length:
-        lens = df.groupBy(id_col).agg(F.count(F.lit(1)).alias(length))
-        out = out.join(lens, on=id_col, how="inner")
+        lens = df.groupBy(F.col(id_col).alias("__id")).agg(F.count(F.lit(1)).alias(length))
+        out = out.join(lens, F.col(id_col).eqNullSafe(F.col("__id"))).drop("__id")
     return out
 
 

@@ -24,11 +24,6 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 80, name: str = "split"
                          .otherwise(F.lit("test")))
 
 
-def random_split(df: DataFrame, train_frac: float = 0.8, seed: int = 123):
-    """G1 option: seeded ``randomSplit`` (row-level, not key-level)."""
-    return df.randomSplit([train_frac, 1.0 - train_frac], seed=seed)
-
-
 def batch_split(df: DataFrame, batch_id: str, order: list[str], frac: float = 0.8,
                 name: str = "split") -> DataFrame:
     """Inside each batch the first ``floor(frac * size)`` rows (at least one)
@@ -46,9 +41,8 @@ def mini_batches(df: DataFrame, order: list[str], size: int, name: str = "batch_
     """Consecutive fixed-size batches in ``order``; the last may be short.
 
     With a dense 0-based id column the batch is ``id div size`` (narrow).
-    Otherwise a global position comes from the ordered index: one window
-    for inputs up to the size limit, sampled chunks + offsets above it, so a
-    large input is never numbered by a single task."""
+    Otherwise a global position comes from the ordered index, so the input is
+    never numbered by a single task."""
     if dense_id is not None:
         return df.withColumn(name, F.floor(F.col(dense_id) / int(size)).cast("long"))
     out = ordered_index(df, [], order, name="__pos")

@@ -72,9 +72,9 @@ ALIGN_DENSE = f"""
 
 
 def _bin(score: str) -> str:
-    k0 = f"CAST(floor({score} * 100) AS INTEGER)"
-    return (f"CASE WHEN {score} < 0 THEN -1 ELSE least(CASE WHEN {score} >= ({k0} + 1) / 100.0::DOUBLE "
-            f"THEN {k0} + 1 ELSE {k0} END, 100) END")
+    """How many of the thresholds 0, 0.01 .. 1 the score reaches, minus one."""
+    return (f"CAST(list_sum(list_transform(range(101), lambda k: CAST({score} >= k / 100.0::DOUBLE AS INTEGER)))"
+            " AS INTEGER) - 1")
 
 
 def _auc_exact(src: str, keys: list[str]) -> str:

@@ -94,8 +94,8 @@ def multitask_sequences(spark: SparkSession, features_dir: str, target_dirs: dic
     data = _numbered(spark, features_dir, lo, hi, cols, 1, id_pattern)
     for t, d in target_dirs.items():
         data = data.join(_numbered(spark, d, lo, hi, [t], 1, id_pattern), ["sample_id", "step"])
-    feats = M.trailing_features(data, "sample_id", "step", cols[0])
-    fcols = cols + ["run_mean", "run_rms", "step_f"]
+    feats = M.trailing_features(data, "sample_id", "step", cols)
+    fcols = cols + [f"{c}_{k}" for c in cols for k in ("mean", "rms")] + ["step_f"]
     models = M.fit_multitask(feats.where(F.col("sample_id") <= mid), fcols, list(target_dirs))
     valid = feats.where(F.col("sample_id") > mid)
     longs = []
@@ -130,7 +130,7 @@ def forecast_grid(spark: SparkSession, features_dir: str, targets_dir: str, futu
     W, b = M.fit_forecaster(x.join(y, ["sample_id", "step"]), cells)
     warm = _numbered(spark, features_dir, mid + 1, hi, cells, 1, id_pattern)
     fc = scoring.rollout(warm, "sample_id", "step", cells, scoring.linear_step(W, b),
-                         warmup=warmup, horizon=horizon, offset=offset)
+                         horizon=horizon, offset=offset, start=0, length=warmup)
     fut = _numbered(spark, futures_dir, mid + 1, hi, cells, 1, id_pattern).where(F.col("step") < horizon)
     truth = fut.select("sample_id", F.col("step").alias("k"),
                        F.posexplode(F.array(*[F.col(c) for c in cells])).alias("cell", "truth"))

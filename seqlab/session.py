@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -45,8 +46,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the session (cluster) names one;
-    sets a scratch folder only when it is unset, as in local tests.
+    Uses ``spark.checkpoint.dir`` when the session (cluster) names one. A
+    folder of this machine is set only where it is unset and the master is
+    local; on a cluster executors would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +56,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="seqlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: every later use
+    sees the same rows, and a lost executor costs no recomputation of them."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

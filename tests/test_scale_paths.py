@@ -19,22 +19,46 @@ def _rows(keys, vals):
     return [(k, i, v) for i, (k, v) in enumerate(zip(keys, vals))]
 
 
+def _brute_prefix(rows):
+    seen, out = {}, []
+    for k, t, v in sorted(rows, key=lambda r: r[1]):
+        n, s = seen.get(k, (0, 0.0))
+        out.append((str(k), t, float(n), s))
+        seen[k] = (n + 1, s + (v if v is not None else 0.0))
+    return sorted(out)
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.sampled_from(["hot", "hot", "hot", "a", "b", None]), min_size=1, max_size=300),
        st.integers(min_value=1, max_value=7))
-def test_split_prefix_equals_window(spark, keys, ranges):
-    vals = [float((i * 17) % 11) for i in range(len(keys))]
-    df = spark.createDataFrame(_rows(keys, vals), "k string, t long, v double")
-    sums = {"n": "__one", "s": "v"}
-    a = ordered_prefix(df, ["k"], ["t"], sums, split=False)
-    b = ordered_prefix(df, ["k"], ["t"], sums, num_ranges=ranges, split=True)
-    key = lambda r: (r.t,)
-    assert sorted(a.collect(), key=key) == sorted(b.select(*a.columns).collect(), key=key)
+def test_prefix_equals_brute_force(spark, keys, ranges):
+    rows = _rows(keys, [float((i * 17) % 11 - 4) if i % 9 else None for i in range(len(keys))])
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    got = ordered_prefix(df, ["k"], ["t"], {"n": "__one", "s": "v"}, num_ranges=ranges)
+    assert sorted((str(r.k), r.t, r.n, r.s) for r in got.collect()) == _brute_prefix(rows)
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 40])
+def test_null_ids_hot_ids_and_ties_stay_whole(spark, ranges):
+    from seqlab.operators.sequences import to_sequences
+    rows = [(None if i % 3 == 0 else "hot" if i % 3 == 1 else f"k{i % 20}", i // 4, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "mmsi string, ts long, event_id long")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    try:
+        got = to_sequences(df, "mmsi", "ts", tiebreak="event_id").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    by = {}
+    for m, t, e in sorted(rows, key=lambda r: (r[1], r[2])):
+        by.setdefault(m, []).append(e)
+    want = sorted((str(m), e, i, len(es)) for m, es in by.items() for i, e in enumerate(es))
+    assert sorted((str(r.mmsi), r.event_id, r.step, r.seq_len) for r in got) == want
 
 
 def test_global_index_split_is_dense(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("x"))
-    out = ordered_index(df, [], ["x"], num_ranges=6, split=True)
+    out = ordered_index(df, [], ["x"], num_ranges=6)
     got = sorted((r.x, r.idx) for r in out.collect())
     assert got == [(i, i) for i in range(1000)]
 
@@ -42,7 +66,7 @@ def test_global_index_split_is_dense(spark):
 def test_hot_key_is_spread_over_ranges(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(
         (F.col("id") % 50).cast("string")).alias("k"), F.col("id").alias("t"))
-    out = ordered_index(df, ["k"], ["t"], num_ranges=8, split=True)
+    out = ordered_index(df, ["k"], ["t"], num_ranges=8)
     # the hot key's rows are numbered by several tasks yet stay dense
     hot = sorted(r.idx for r in out.where("k = 'hot'").collect())
     assert hot == list(range(1000))
@@ -83,7 +107,7 @@ def test_rollout_matches_closed_form(spark):
     step = scoring.linear_step(np.diag([0.5, 0.9]), np.array([1.0, -1.0]))
     for offset in (0, 1):
         out = {(r.u, r.k, r.cell): r.prediction for r in
-               scoring.rollout(df, "u", "d", ["c0", "c1"], step, warmup=4, horizon=3, offset=offset).collect()}
+               scoring.rollout(df, "u", "d", ["c0", "c1"], step, horizon=3, offset=offset).collect()}
         for u in range(5):
             y = np.array([u + 5.0, 10.0])
             for j in range(1, 3 + offset + 1):
@@ -93,6 +117,42 @@ def test_rollout_matches_closed_form(spark):
                     assert out[(u, k, 0)] == pytest.approx(y[0]) and out[(u, k, 1)] == pytest.approx(y[1])
 
 
+def test_rollout_feeds_every_step_to_a_stateful_model(spark):
+    """A running sum: the forecast depends on the whole history, also when a
+    sample spans several Arrow batches."""
+    rows = [(u, d, float(u + d)) for u in (3, 1, 2) for d in range(50 if u == 1 else 7)]
+    df = spark.createDataFrame(rows, "u long, d long, c0 double")
+
+    def total(state, x):
+        state = x if state is None else state + x
+        return state, state
+
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in ("4", "7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = {r.u: r.prediction for r in scoring.rollout(df, "u", "d", ["c0"], total, horizon=1, offset=0).collect()}
+            cut = {r.u: r.prediction for r in scoring.rollout(df, "u", "d", ["c0"], total, horizon=1, offset=0,
+                                                              start=2, length=3).collect()}
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+        assert got == {u: float(sum(v for w, _, v in rows if w == u)) for u in (1, 2, 3)}
+        assert cut == {u: float(sum(v for w, d, v in rows if w == u and 2 <= d < 5)) for u in (1, 2, 3)}
+
+
+def test_gram_means_at_52_cells(spark):
+    rng = np.random.default_rng(3)
+    d = 52
+    data = rng.normal(size=(300, 2 * d))
+    names = [f"c{i}" for i in range(d)] + [f"y_c{i}" for i in range(d)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in data], names)
+    got = {(r.kind, r.i, r.j): r.value for r in M.gram_means(df, names[:d]).collect()}
+    x = np.column_stack([data[:, :d], np.ones(300)])
+    xx, xy = x.T @ x / 300, x.T @ data[:, d:] / 300
+    assert len(got) == (d + 1) ** 2 + (d + 1) * d
+    assert all(abs(v - (xx if k == "xx" else xy)[i, j]) < 1e-9 for (k, i, j), v in got.items())
+
+
 def test_forecaster_recovers_linear_dynamics(spark):
     rng = np.random.default_rng(1)
     W = np.array([[0.5, 0.1], [0.0, 0.8]])
@@ -218,34 +278,44 @@ def test_save_sequences_skips_finished_and_redoes_partial(spark):
     assert spark.read.parquet(f"{d}/p").count() == 1
 
 
-def test_split_prefix_with_negative_weights(spark):
-    rows = [("k" if i % 4 else "j", i, float((-1) ** i * (i % 5))) for i in range(400)]
-    df = spark.createDataFrame(rows, "k string, t long, v double")
-    a = ordered_prefix(df, ["k"], ["t"], {"s": "v"}, split=False)
-    b = ordered_prefix(df, ["k"], ["t"], {"s": "v"}, num_ranges=7, split=True)
-    assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
+def test_numbering_moves_rows_once(spark):
+    df = spark.range(2000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
+    out = ordered_index(df, ["k"], ["t"], num_ranges=5)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the saved chunks are read twice and joined with the broadcast offsets
+    assert "BroadcastExchange" in plan and "SinglePartition" not in plan.split("Scan parquet")[0]
 
 
-def test_split_prefix_without_exchange_reuse(spark):
-    rows = [("hot" if i % 3 else f"k{i % 7}", i, float(i % 5)) for i in range(600)]
-    df = spark.createDataFrame(rows, "k string, t long, v double")
-    a = ordered_prefix(df, ["k"], ["t"], {"n": "__one", "s": "v"}, split=False)
-    spark.conf.set("spark.sql.exchange.reuse", "false")
-    try:
-        b = ordered_prefix(df, ["k"], ["t"], {"n": "__one", "s": "v"}, num_ranges=6, split=True)
-        got = sorted(b.select(*a.columns).collect())
-    finally:
-        spark.conf.set("spark.sql.exchange.reuse", "true")
-    assert sorted(a.collect()) == got
+def test_bins_of_scores_at_and_next_to_every_threshold(spark):
+    import math
+    from seqlab.operators import evaluation as K
+    scores = [x for k in range(101) for x in (k / 100.0, math.nextafter(k / 100.0, -1), math.nextafter(k / 100.0, 2))]
+    scores += [0.16999999999999998, -5.0, 7.0, 1e300, -1e300, float("inf"), float("-inf")]
+    df = spark.createDataFrame([(x,) for x in scores], "s double")
+    for r in df.select("s", K.threshold_bin("s").alias("k")).collect():
+        assert r.k == sum(r.s >= k / 100.0 for k in range(101)) - 1, r
 
 
-def test_split_path_plan_is_jvm_only_with_bounded_broadcast(spark):
-    df = spark.range(2000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
-    out = ordered_index(df, ["k"], ["t"], num_ranges=5, split=True)
-    out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "MapInPandas" not in plan and "ArrowEvalPython" not in plan
-    assert "BroadcastExchange" in plan
+def test_nan_scores_are_dropped_everywhere(spark):
+    from seqlab.operators import evaluation as K
+    df = spark.createDataFrame([(1, 0.9, 0), (0, float("nan"), 0), (0, 0.1, 0), (1, None, 0)],
+                               "y int, score double, batch_id long")
+    assert K.auc_exact(df).head().auc == 1.0 and K.auc_exact(df).head().n_neg == 1
+    assert K.auc_thresholded(df).head().auc == 1.0 and K.running_auc(df).head().auc == 1.0
+    assert K.roc_thresholded(df).where("threshold = 0").head().fp == 1
+
+
+def test_running_auc_equals_recomputation(spark):
+    import random
+    from seqlab.operators import evaluation as K
+    rnd = random.Random(4)
+    rows = [(i // 7, rnd.randrange(2), rnd.randrange(-5, 120) / 100.0) for i in range(140)]
+    df = spark.createDataFrame(rows, "batch_id long, y int, score double")
+    got = {r.batch_id: r.auc for r in K.running_auc(df).collect()}
+    for b in (0, 3, 19):
+        want = K.auc_thresholded(df.where(F.col("batch_id") <= b)).head().auc
+        assert got[b] == want
 
 
 def test_line_numbers_across_splits_of_one_file(spark):
