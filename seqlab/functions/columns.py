@@ -1,5 +1,6 @@
-"""Column expressions (C1-C10, J2): everything here is a Catalyst expression,
-so it stays inside whole-stage codegen and costs no Python per row."""
+"""Column expressions (C1-C10, J2): everything here is a Catalyst expression
+and costs no Python per row. Higher-order functions over arrays (one-hot, grids,
+dot products) run on the JVM but outside whole-stage codegen."""
 
 from __future__ import annotations
 
@@ -129,10 +130,10 @@ def xyz_geo(x, y, z) -> tuple[Column, Column]:
 
 # ---------------------------------------------------------------- C7 -----
 def one_hot(col, k: int) -> Column:
-    """Integer class -> array<int> of length k with a single 1 (all zero when out of range)."""
+    """Integer class -> array<int> of length k with a single 1 (all zero when out of range or NULL)."""
     c = _c(col)
     return F.transform(F.sequence(F.lit(0), F.lit(int(k) - 1)),
-                       lambda i: (i == c).cast("int"))
+                       lambda i: F.coalesce(i == c, F.lit(False)).cast("int"))
 
 
 # ---------------------------------------------------------------- C8 -----
@@ -169,7 +170,3 @@ def dot(x, weights: list[float]) -> Column:
     w = F.array(*[F.lit(float(v)) for v in weights])
     prod = F.zip_with(x, w, lambda a, b: a.cast("double") * b)
     return F.aggregate(prod, F.lit(0.0), lambda acc, v: acc + v)
-
-
-def round6(col, decimals: int = 6) -> Column:
-    return F.round(_c(col), decimals)

@@ -21,12 +21,6 @@ def column_range(df: DataFrame, first: int, last: int) -> DataFrame:
     return df.select(*df.columns[int(first): int(last) + 1])
 
 
-def column_range_array(df: DataFrame, first: int, last: int, name: str = "features"):
-    """B2 as a feature array (double)."""
-    cols = df.columns[int(first): int(last) + 1]
-    return F.array(*[F.col(c).cast("double") for c in cols]).alias(name)
-
-
 def drop_outside(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
     """Remove rows where any bounded column is outside [lo, hi] (inclusive
     bounds stay). NULL and NaN values are removed as well (decision Q24)."""

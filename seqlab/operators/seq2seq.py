@@ -50,24 +50,28 @@ def seq2seq(df: DataFrame, id_col: str = "seq_id", step: str = "step", channel:
     if go == "first":
         toks = F.array(token("decoder", F.lit(0)), token("label", stop_pos))
     else:
-        # every position 0..T of the padded tensor; T = longest sequence
-        tlen = F.lit(int(max_step) + 1) if max_step is not None else F.col("last") + 1
+        # every position 0..T of the padded tensor; T = the longest sequence of all
+        longest = F.lit(int(max_step)) if max_step is not None else last.select(F.max("last")).scalar()
+        last = last.withColumn("longest", longest)
+        tlen = F.col("longest") + 1
         gos = F.transform(F.sequence(F.lit(0).cast("long"), tlen.cast("long")), lambda p: token("decoder", p))
         toks = F.concat(gos, F.array(token("label", stop_pos)))
     tokens = last.select("seq_id", F.explode(toks).alias("r")).select("seq_id", "r.*")
     return data.unionByName(tokens)
 
 
-def extend_mask(df: DataFrame, id_col: str = "seq_id", pos: str = "pos", mask: str = "mask") -> DataFrame:
-    """H2: new mask = a leading 1 followed by the old mask (positions shift by one)."""
-    shifted = df.select(F.col(id_col).alias("seq_id"), (F.col(pos) + 1).cast("long").alias("pos"),
-                        F.col(mask).cast("int").alias("mask"))
-    first = df.select(F.col(id_col).alias("seq_id")).distinct().select(
-        "seq_id", F.lit(0).cast("long").alias("pos"), F.lit(1).alias("mask"))
-    return shifted.unionByName(first)
+def extend_mask(df: DataFrame, id_col: str = "seq_id", pos: str = "pos", mask: str = "mask",
+                batch_id: str | None = None) -> DataFrame:
+    """H2: new mask = a leading 1 followed by the old mask (positions shift by
+    one); the leading row comes from the row at position 0, in the same pass.
 
-
-def extend_mask_array(col) -> "F.Column":
-    """H2 on the nested form: concat([1], mask)."""
-    m = F.col(col) if isinstance(col, str) else col
-    return F.concat(F.array(F.lit(1)), m)
+    With ``batch_id``, batches whose sequences all have one length have no mask
+    (the reference passes none): their rows are left out.
+    """
+    if batch_id is not None:
+        padded = df.groupBy(F.col(batch_id).alias("__b")).agg(F.min(mask).alias("__m")).where("__m = 0")
+        df = df.join(padded, F.col(batch_id).eqNullSafe(F.col("__b")), "left_semi")
+    row = lambda p, m: F.struct(p.cast("long").alias("pos"), m.cast("int").alias("mask"))
+    own = row(F.col(pos) + 1, F.col(mask))
+    rows = F.when(F.col(pos) == 0, F.array(row(F.lit(0), F.lit(1)), own)).otherwise(F.array(own))
+    return df.select(F.col(id_col).alias("seq_id"), F.explode(rows).alias("r")).select("seq_id", "r.*")

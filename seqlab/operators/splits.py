@@ -60,3 +60,15 @@ def index_split(df: DataFrame, id_col: str, train_hi, valid_hi=None, name: str =
         hi = valid_hi if isinstance(valid_hi, Column) else F.lit(valid_hi)
         out = out.when(F.col(id_col) <= hi, F.lit("validation")).otherwise(F.lit("unused"))
     return df.withColumn(name, out)
+
+
+def batch_transform(df: DataFrame, batch_id: str, fn, schema) -> DataFrame:
+    """L2: apply a user's ``fn(pandas.DataFrame) -> pandas.DataFrame`` to every
+    batch (all rows of one ``batch_id``; a NULL id is a batch of its own). Batches
+    are independent and bounded by the batch size; ``schema`` names the columns
+    that ``fn`` returns. An empty table gives an empty table."""
+    names = df.columns
+
+    def run(pdf):
+        return fn(pdf[names].reset_index(drop=True))
+    return df.groupBy(batch_id).applyInPandas(run, schema)

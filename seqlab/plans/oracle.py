@@ -48,7 +48,9 @@ BINARY = """
 CLASS_PRED = """
   SELECT vec_id AS id, label AS y,
          CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS yhat, s AS scores
-  FROM (SELECT vec_id, label, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE)) AS s
+  FROM (SELECT vec_id, label, list_transform(range(10), lambda c: list_reduce(list_prepend(0.0::DOUBLE,
+               list_transform(list_filter(range(len(embedding)), lambda i: i % 10 = c),
+                              lambda i: CAST(embedding[i + 1] AS DOUBLE))), lambda a, b: a + b)) AS s
         FROM embeddings)"""
 
 CONV_STEPS = """
@@ -150,29 +152,30 @@ TRAJ = f"""
   FROM ({HOURLY_REF})
   QUALIFY count(*) OVER (PARTITION BY mmsi) > 7"""
 
-DAILY = """
+DAYS = "(SELECT datediff('day', min(CAST(ts AS DATE)), max(CAST(ts AS DATE))) + 1 FROM events)"
+WARM = f"({DAYS} * 2 // 3)"
+
+DAILY = f"""
   WITH s AS (
-    SELECT user_id, CAST(datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS BIGINT) AS day,
-           sum(CASE WHEN event_type = 'click' THEN value / 100.0::DOUBLE ELSE 0.0 END) AS c0,
-           sum(CASE WHEN event_type = 'error' THEN value / 100.0::DOUBLE ELSE 0.0 END) AS c1,
-           sum(CASE WHEN event_type = 'purchase' THEN value / 100.0::DOUBLE ELSE 0.0 END) AS c2,
-           sum(CASE WHEN event_type = 'signup' THEN value / 100.0::DOUBLE ELSE 0.0 END) AS c3,
-           sum(CASE WHEN event_type = 'view' THEN value / 100.0::DOUBLE ELSE 0.0 END) AS c4
+    SELECT user_id, event_type, sum(value / 100.0::DOUBLE) AS v,
+           CAST(datediff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) AS BIGINT) AS day
     FROM events GROUP BY ALL),
-  g AS (SELECT user_id, CAST(unnest(range(30)) AS BIGINT) AS day FROM (SELECT DISTINCT user_id FROM events))
-  SELECT g.user_id, g.day, coalesce(c0, 0.0) AS c0, coalesce(c1, 0.0) AS c1, coalesce(c2, 0.0) AS c2,
-         coalesce(c3, 0.0) AS c3, coalesce(c4, 0.0) AS c4
-  FROM g LEFT JOIN s ON g.user_id = s.user_id AND g.day = s.day"""
+  u AS (SELECT user_id, CAST(unnest(range({DAYS})) AS BIGINT) AS day,
+               (SELECT list(t ORDER BY t) FROM (SELECT DISTINCT event_type AS t FROM events)) AS types
+        FROM (SELECT DISTINCT user_id FROM events)),
+  g AS (SELECT user_id, day, unnest(types) AS event_type, CAST(unnest(range(len(types))) AS INTEGER) AS cell FROM u)
+  SELECT g.user_id, g.day, g.cell, coalesce(s.v, 0.0) AS v
+  FROM g LEFT JOIN s ON g.user_id = s.user_id AND g.day = s.day AND g.event_type = s.event_type"""
 
 ROLLOUT = f"""
-  WITH d AS ({DAILY}),
-  last AS (SELECT user_id, unnest([c0, c1, c2, c3, c4]) AS y0,
-                  CAST(unnest(range(5)) AS INTEGER) AS cell FROM d WHERE day = 19),
-  h AS (SELECT user_id, y0, cell, CAST(unnest(range(10)) AS BIGINT) AS k FROM last)
+  WITH h AS (SELECT user_id, v AS y0, cell, CAST(unnest(range({DAYS} - {WARM})) AS BIGINT) AS k
+             FROM ({DAILY}) WHERE day = {WARM} - 1)
   SELECT user_id, k, cell,
          round(pow(0.6, k + 2) * y0 + 10.0 * (1 - pow(0.6, k + 2)) / (1 - 0.6), 6) AS prediction
   FROM h"""
 
+TRUTH = f"SELECT user_id, day - {WARM} AS k, cell, v AS truth FROM ({DAILY}) WHERE day >= {WARM}"
+
 CONV_TARGETS = f"""
   WITH st AS (
     SELECT conv_id AS seq_id, turn AS step, CAST(role = 'assistant' AS INTEGER) AS y1,
@@ -450,11 +453,7 @@ ORACLE["regression_metrics"] = _regression("""
 
 ORACLE["forecast_metrics"] = _regression(f"""
   SELECT f.cell, t.truth, f.prediction
-  FROM ({ROLLOUT}) f
-  JOIN (SELECT user_id, day - 20 AS k, unnest([c0, c1, c2, c3, c4]) AS truth,
-               CAST(unnest(range(5)) AS INTEGER) AS cell
-        FROM ({DAILY}) WHERE day >= 20) t
-    ON f.user_id = t.user_id AND f.k = t.k AND f.cell = t.cell""", "cell")
+  FROM ({ROLLOUT}) f JOIN ({TRUTH}) t ON f.user_id = t.user_id AND f.k = t.k AND f.cell = t.cell""", "cell")
 
 # ---------------------------------------------------------- sources -----
 POSITIONS_SEC = POSITIONS.replace(" ts,\n", " date_trunc('second', ts) AS ts,\n")
@@ -497,15 +496,59 @@ ORACLE["save_and_reload_sequences"] = f"""
 # ----------------------------------------------------------- models -----
 ORACLE["forecaster_gram"] = f"""
   WITH d AS ({DAILY}),
-  p AS (SELECT a.c0, a.c1, a.c2, a.c3, a.c4, 1.0::DOUBLE AS c5,
-               b.c0 AS y0, b.c1 AS y1, b.c2 AS y2, b.c3 AS y3, b.c4 AS y4
-        FROM d a JOIN d b ON a.user_id = b.user_id AND a.day = b.day - 1),
-  l AS (SELECT unnest([c0, c1, c2, c3, c4, c5]) AS xv, CAST(unnest(range(6)) AS INTEGER) AS i,
-               [c0, c1, c2, c3, c4, c5] AS xs, [y0, y1, y2, y3, y4] AS ys, row_number() OVER () AS r FROM p),
-  xx AS (SELECT 'xx' AS kind, i, CAST(unnest(range(6)) AS INTEGER) AS j, xv * unnest(xs) AS v FROM l),
-  xy AS (SELECT 'xy' AS kind, i, CAST(unnest(range(5)) AS INTEGER) AS j, xv * unnest(ys) AS v FROM l)
-  SELECT kind, i, j, round(avg(v), 6) AS value FROM (SELECT * FROM xx UNION ALL SELECT * FROM xy)
-  GROUP BY kind, i, j"""
+  x AS (SELECT user_id, day, cell, v FROM d WHERE day < {DAYS} - 1
+        UNION ALL SELECT DISTINCT user_id, day, (SELECT max(cell) + 1 FROM d), 1.0 FROM d WHERE day < {DAYS} - 1)
+  SELECT 'xx' AS kind, a.cell AS i, b.cell AS j, round(avg(a.v * b.v), 6) AS value
+  FROM x a JOIN x b ON a.user_id = b.user_id AND a.day = b.day GROUP BY a.cell, b.cell
+  UNION ALL
+  SELECT 'xy', a.cell, b.cell, round(avg(a.v * b.v), 6)
+  FROM x a JOIN d b ON a.user_id = b.user_id AND b.day = a.day + 1 GROUP BY a.cell, b.cell"""
+
+_TEST = "CAST(('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8)) AS BIGINT) % 100 >= 80"
+
+ORACLE["train_vector_classifier"] = f"""
+  SELECT vec_id AS id, CAST(embedding[1] > 0 AS INTEGER) + 2 * CAST(embedding[2] > 0 AS INTEGER) AS y,
+         true AS beats_majority FROM embeddings WHERE {_TEST.format('vec_id')}"""
+
+ORACLE["train_fused_classifier"] = f"""
+  SELECT row_no, y, true AS beats_majority
+  FROM (SELECT CAST(row_number() OVER (ORDER BY event_id) - 1 AS BIGINT) AS row_no,
+               CAST(hour(ts) >= 12 AS INTEGER) AS y FROM events)
+  WHERE {_TEST.format('row_no')}"""
+
+ORACLE["train_sequence_classifier"] = f"""
+  SELECT conv_id AS seq_id, CAST(max(turn) >= 4 AS INTEGER) AS y, true AS beats_majority
+  FROM conversations WHERE {_TEST.format('conv_id')} GROUP BY conv_id"""
+
+ORACLE["train_multitask"] = f"""
+  WITH t AS (SELECT 'y1' AS target, length(text) > 500 AS y FROM conversations WHERE {_TEST.format('conv_id')}
+             UNION ALL SELECT 'y2', turn >= 2 FROM conversations WHERE {_TEST.format('conv_id')})
+  SELECT target, count(*) FILTER (y) AS n_pos, count(*) FILTER (NOT y) AS n_neg, true AS beats_chance
+  FROM t GROUP BY target"""
+
+ORACLE["train_reconstruction"] = "SELECT vec_id AS id, label, true AS closer_than_mean FROM embeddings"
+
+ORACLE["train_forecaster"] = f"SELECT cell, count(*) AS n, true AS near_mean FROM ({TRUTH}) GROUP BY cell"
+
+ORACLE["score_history"] = """
+  SELECT count(*) AS rows, true AS never_rises, true AS falls, true AS within_limit FROM embeddings"""
+
+ORACLE["index_range"] = """
+  SELECT conv_id, turn FROM conversations
+  WHERE conv_id BETWEEN (SELECT max(conv_id) // 4 FROM conversations) AND (SELECT 3 * max(conv_id) // 4 FROM conversations)"""
+
+ORACLE["seq2seq_tokens_all"] = f"""
+  WITH t AS (SELECT mmsi AS seq_id, step, unnest([0, 1]) AS channel, unnest([lat, lon]) AS value FROM ({TRAJ}))
+  SELECT seq_id, 'decoder' AS tensor, step + 1 AS pos, channel, value FROM t
+  UNION ALL SELECT seq_id, 'label', step, channel, value FROM t
+  UNION ALL SELECT seq_id, 'decoder', CAST(unnest(range((SELECT max(step) + 2 FROM t))) AS BIGINT), 2, 1.0::DOUBLE
+            FROM (SELECT DISTINCT seq_id FROM t)
+  UNION ALL SELECT seq_id, 'label', max(step), 2, 1.0::DOUBLE FROM t GROUP BY seq_id"""
+
+ORACLE["batch_transform"] = f"""
+  SELECT seq_id, step, batch_id, round(value - avg(value) OVER (PARTITION BY batch_id), 6) AS centred,
+         round(value / max(value) OVER (PARTITION BY batch_id), 6) AS share
+  FROM ({CONV_STEPS})"""
 
 ORACLE["user_reducer_geo_average"] = f"""
   SELECT mmsi, n, lat_ref AS lat, lon_ref AS lon FROM ({ORACLE["geo_average"]})"""

@@ -105,6 +105,14 @@ def q_index_range_split(spark, sf_dir):
     return splits.index_split(conv, "conv_id", hi)
 
 
+@register("index_range")
+def q_index_range(spark, sf_dir):
+    """The conversations with ids in the middle half of the id range, inclusive."""
+    conv = S.table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    hi = conv.agg(F.max("conv_id")).first()[0] or 0
+    return B.index_range(conv, "conv_id", hi // 4, 3 * hi // 4)
+
+
 # ================================================================ C ======
 @register("minmax_normalize")
 def q_minmax_normalize(spark, sf_dir):
@@ -313,6 +321,26 @@ def q_seq2seq_tokens(spark, sf_dir):
                            n_channels=2)
 
 
+@register("seq2seq_tokens_all")
+def q_seq2seq_tokens_all(spark, sf_dir):
+    """H1 with GO at every position of the padded tensor (what the reference does)."""
+    return seq2seq.seq2seq(_traj_channels(spark, sf_dir), "mmsi", "step", "channel", "value",
+                           n_channels=2, go="all")
+
+
+@register("batch_transform")
+def q_batch_transform(spark, sf_dir):
+    """L2: a user's transform over whole batches: each value relative to its
+    batch's mean and largest value."""
+    def centred(pdf):
+        return pdf.assign(centred=pdf["value"] - pdf["value"].mean(), share=pdf["value"] / pdf["value"].max())
+    steps = S.conversation_steps(spark, sf_dir)
+    out = splits.batch_transform(steps, "batch_id", centred, "seq_id long, step long, value double, batch_id long, "
+                                 "centred double, share double")
+    return out.select("seq_id", "step", "batch_id", F.round("centred", 6).alias("centred"),
+                      F.round("share", 6).alias("share"))
+
+
 @register("seq2seq_masks")
 def q_seq2seq_masks(spark, sf_dir):
     dense = align.align_end(S.conversation_steps(spark, sf_dir), "seq_id", "step", "batch_id",
@@ -332,20 +360,29 @@ def q_batch_predict(spark, sf_dir):
                     (F.col("score") >= 0.5).cast("int").alias("yhat"))
 
 
-def daily_grid(spark, sf_dir) -> DataFrame:
-    """Grid series stand-in: per user and day (0..29) the total value / 100 of
-    each of the 5 event types (cells); missing days are 0."""
+def daily_grid(spark, sf_dir) -> tuple[DataFrame, list[str], int]:
+    """Grid series stand-in: per user and day the total value / 100 of each event
+    type (one cell per type, by name); missing days are 0. The days run from the
+    first to the last one in the table. Returns (grid, cells, number of days)."""
     ev = S.table(spark, sf_dir, "events")
-    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01")).cast("long")
-    types = ["click", "error", "purchase", "signup", "view"]
+    first, last = ev.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    types = [r[0] for r in ev.where("event_type IS NOT NULL").select("event_type").distinct()
+             .orderBy("event_type").collect()]   # the columns of the grid
+    days = (last - first).days + 1
+    cells = [f"c{i}" for i in range(len(types))]
+    day = F.datediff(F.to_date("ts"), F.lit(first)).cast("long")
     sums = ev.groupBy("user_id", day.alias("day")).agg(
-        *[F.sum(F.when(F.col("event_type") == t, F.col("value") / 100.0).otherwise(0.0)).alias(f"c{i}")
-          for i, t in enumerate(types)])
+        *[F.sum(F.when(F.col("event_type") == t, F.col("value") / 100.0).otherwise(0.0)).alias(c)
+          for c, t in zip(cells, types)])
     users = ev.select("user_id").distinct()
-    grid = users.select("user_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(29).cast("long"))).alias("day"))
+    grid = users.select("user_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(days - 1).cast("long"))).alias("day"))
     full = grid.join(sums, ["user_id", "day"], "left")
-    return full.select("user_id", "day", *[F.coalesce(F.col(f"c{i}"), F.lit(0.0)).alias(f"c{i}")
-                                            for i in range(5)])
+    return full.select("user_id", "day", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in cells]), cells, days
+
+
+def warm_days(days: int) -> int:
+    """The first two thirds of the days warm a forecast up, the rest is forecast."""
+    return days * 2 // 3
 
 
 AR_A, AR_B = 0.6, 10.0
@@ -353,16 +390,24 @@ AR_A, AR_B = 0.6, 10.0
 
 @register("rollout_forecast")
 def q_rollout_forecast(spark, sf_dir):
-    """Warm-up on days 0..19, forecast 10 days, AR(1) per cell with fixed weights."""
+    """Warm-up on the first two thirds of the days, forecast of the rest, AR(1)
+    per cell with fixed weights."""
     import numpy as np
-    g = daily_grid(spark, sf_dir)
-    warm = g.where(F.col("day") < 20)
-    step = scoring.linear_step(np.eye(5) * AR_A, np.full(5, AR_B))
-    out = scoring.rollout(warm, "user_id", "day", [f"c{i}" for i in range(5)], step,
-                          warmup=20, horizon=10, offset=1)
+    g, cells, days = daily_grid(spark, sf_dir)
+    step = scoring.linear_step(np.eye(len(cells)) * AR_A, np.full(len(cells), AR_B))
+    out = scoring.rollout(g, "user_id", "day", cells, step, horizon=days - warm_days(days), offset=1,
+                          start=0, length=warm_days(days))
     return out.select("user_id", "k", "cell", F.round("prediction", 6).alias("prediction"))
 
 
+def grid_truth(grid, cells, days) -> DataFrame:
+    """The days after the warm-up as (user_id, k, cell, truth)."""
+    warm = warm_days(days)
+    return grid.where(F.col("day") >= warm).select(
+        "user_id", (F.col("day") - warm).alias("k"),
+        F.posexplode(F.array(*cells)).alias("cell", "truth"))
+
+
 # ================================================================ K ======
 @register("confusion_matrix")
 def q_confusion_matrix(spark, sf_dir):
@@ -444,12 +489,8 @@ def q_regression_metrics(spark, sf_dir):
 
 @register("forecast_metrics")
 def q_forecast_metrics(spark, sf_dir):
-    """J3 + K8: rollout predictions against the real days 20..29, per cell."""
-    fc = q_rollout_forecast(spark, sf_dir)
-    g = daily_grid(spark, sf_dir).where(F.col("day") >= 20)
-    truth = g.select("user_id", (F.col("day") - 20).alias("k"), F.posexplode(F.array(
-        *[F.col(f"c{i}") for i in range(5)])).alias("cell", "truth"))
-    j = fc.join(truth, ["user_id", "k", "cell"])
+    """J3 + K8: rollout predictions against the days after the warm-up, per cell."""
+    j = q_rollout_forecast(spark, sf_dir).join(grid_truth(*daily_grid(spark, sf_dir)), ["user_id", "k", "cell"])
     return K.regression_metrics(j, "cell", "truth", "prediction")
 
 

@@ -68,13 +68,14 @@ def conversation_steps(spark: SparkSession, sf_dir: str, batch_size: int = 32) -
 
 
 def class_scores(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
-    """Multi-class stand-in: (id, y, scores array<double>(k)) from embeddings."""
+    """Multi-class stand-in: (id, y, scores array<double>(k)) from embeddings; the
+    score of a class is the sum of the cells i with i mod k = class, over all cells."""
+    cells = F.transform("embedding", lambda v: v.cast("double"))
+    total = lambda c: F.aggregate(F.filter(cells, lambda v, i: F.pmod(i, F.lit(k)) == c), F.lit(0.0),
+                                  lambda s, v: s + v)
     emb = table(spark, sf_dir, "embeddings")
-    return emb.select(
-        F.col("vec_id").alias("id"),
-        F.col("label").alias("y"),
-        F.transform(F.slice("embedding", 1, k), lambda v: v.cast("double")).alias("scores"),
-    )
+    return emb.select(F.col("vec_id").alias("id"), F.col("label").alias("y"),
+                      F.transform(F.sequence(F.lit(0), F.lit(k - 1)), total).alias("scores"))
 
 
 def regression_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -187,7 +187,8 @@ def test_seq2seq_variants(spark):
     out = seq2seq.seq2seq(_seq_input(spark), n_channels=2, go="all", stop="after").collect()
     go = sorted((r.seq_id, r.pos) for r in out if r.tensor == "decoder" and r.channel == 2)
     stop = sorted((r.seq_id, r.pos) for r in out if r.tensor == "label" and r.channel == 2)
-    assert go == [("a", 0), ("a", 1), ("a", 2), ("a", 3), ("b", 0), ("b", 1)]
+    # every position of the padded tensor, also beyond a short sequence's end
+    assert go == [(i, p) for i in "ab" for p in range(4)]
     assert stop == [("a", 3), ("b", 1)]
 
 
@@ -197,6 +198,27 @@ def test_extend_mask(spark):
     assert got == [(0, 1), (1, 0), (2, 1)]
 
 
+def test_extend_mask_is_left_out_where_nothing_is_padded(spark):
+    df = spark.createDataFrame([(1, 0, 1, 7), (1, 1, 1, 7), (2, 0, 0, 8), (2, 1, 1, 8)],
+                               "seq_id int, pos long, mask int, batch_id long")
+    got = sorted((r.seq_id, r.pos, r.mask) for r in seq2seq.extend_mask(df, batch_id="batch_id").collect())
+    assert got == [(2, 0, 1), (2, 1, 0), (2, 2, 1)]
+
+
+def test_one_hot_of_null_is_all_zero(spark):
+    from seqlab.functions import columns as C
+    got = [r.h for r in spark.createDataFrame([(None,), (1,), (9,)], "y int").select(C.one_hot("y", 3).alias("h")).collect()]
+    assert got == [[0, 0, 0], [0, 1, 0], [0, 0, 0]]
+
+
+def test_batch_transform_sees_whole_batches(spark):
+    from seqlab.operators import splits
+    df = spark.createDataFrame([(1, 1.0), (1, 3.0), (None, 5.0), (2, 7.0)], "b long, v double")
+    got = splits.batch_transform(df, "b", lambda p: p.assign(s=p.v.sum(), n=len(p)), "b long, v double, s double, n long")
+    assert sorted((r.v, r.s, r.n) for r in got.collect()) == [(1.0, 4.0, 2), (3.0, 4.0, 2), (5.0, 5.0, 1), (7.0, 7.0, 1)]
+    assert splits.batch_transform(df.limit(0), "b", lambda p: p, df.schema).count() == 0
+
+
 # ------------------------------------------------------------------ K* ----
 def _bin_df(spark, rows):
     return spark.createDataFrame(rows, "y int, score double")
