@@ -13,10 +13,15 @@ similarity. ``BANDS`` bands of ``ROWS`` samples select candidates, and the
 weighted Jaccard similarity of whole texts decides.
 
 Equal texts are one node. In a bucket every node is compared with the node that
-meets most others (a leader), not all with all. Buckets that still hold several
-components take further leaders; what is left is compared pairwise across
-components only, so no link between different components is lost and a group
-of copies costs a number of comparisons in proportion to its size.
+meets most others (a leader), not all with all. Where several components still
+meet, an exact bound comes first: a pair of similarity s shares at least
+``s / (1 + s)`` of its summed weight, and what a node can share with any other is
+the weight of its shingles that some other open node holds too. Nodes and pairs
+below the bound are settled; a second leader, now the node with the smallest
+share of its own shingles, joins most of the rest; what is left is compared
+pairwise across components, each pair once. So no link between components is
+lost, and a group of copies costs comparisons in proportion to its size unless
+its members are neither alike nor told apart by the bound.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
 BUCKETS = 18
 PARTS = 64
-LEADERS = 3
+SLACK = 1e-6   # for rounding of the weights
 _TABLE = 1 << 16
 _SLICE = 1 << 20
 
@@ -196,6 +201,25 @@ def _verify(idf, similarity):
     return run
 
 
+def _weights_of(idf):
+    def run(batches):
+        weigh = Weigher(idf.value)
+        for part in text_slices(batches, max_bytes=_SLICE):
+            starts, h, w = weigh.weights(part.column(1).to_pylist())
+            row = np.repeat(np.arange(part.num_rows), np.diff(starts))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(row)), pa.array(h.view(np.int64)), pa.array(w.astype(np.float64))],
+                ["node", "shingle", "weight"])
+    return run
+
+
+def _shared_weight(texts: DataFrame, idf) -> DataFrame:
+    """``node, shared``: the weight of a node's shingles that another of ``texts`` holds."""
+    rows = texts.select("node", "text").mapInArrow(_weights_of(idf), "node string, shingle long, weight double")
+    held = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return rows.join(held, "shingle").groupBy("node").agg(F.sum("weight").alias("shared"))
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, idf, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -220,9 +244,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.select("id", F.md5(F.encode("text", "UTF-8")).alias("node"), "text")
     idf = spark.sparkContext.broadcast(idf_table(rows.select("text")))   # one number per bucket
-    signed = rows.select("node", "text").mapInArrow(
-        _signatures(idf), "node string, total double, keys array<long>").dropDuplicates(["node"])
-    bands = saved(signed.select("node", "total", F.posexplode("keys").alias("band", "key")), "minhash-bands")
+    signed = saved(rows.select("node", "text").mapInArrow(
+        _signatures(idf), "node string, total double, keys array<long>").dropDuplicates(["node"]), "minhash-signatures")
+    bands = signed.select("node", "total", F.posexplode("keys").alias("band", "key"))
 
     bucket = ["band", "key"]
     shared = bands.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -232,32 +256,56 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one = rows.groupBy("node").agg(F.first("text").alias("text"))
     texts = saved(one.join(live.select("node").distinct(), "node", "left_semi"), "minhash-texts")
 
-    alike = F.least("total", "lead_total") >= similarity * F.greatest("total", "lead_total")
-    links = component = None
-    for turn in range(LEADERS):
-        leader = live.groupBy(*bucket).agg(F.max(F.struct("degree", "node", "total")).alias("lead")).select(
-            *bucket, F.col("lead.node").alias("leader"), F.col("lead.total").alias("lead_total"))
-        led = live.join(leader, bucket).where("node <> leader")
-        pairs = led.where(alike).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        found = saved(_linked(pairs, texts, idf, similarity), "minhash-links")
-        links = found if links is None else links.union(found)
-        component = saved(connected_components(links), "minhash-components")
-        # leaders have met everyone in their bucket; go on where components still meet
-        rest = led.select("node", "total", *bucket, "degree").join(component, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        mixed = rest.groupBy(*bucket).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        live = saved(rest.join(mixed, bucket, "left_semi"), "minhash-live")
-        if live.isEmpty():
-            break
-        live = live.drop("component") if turn < LEADERS - 1 else live
-    if "component" in live.columns and not live.isEmpty():
-        a, b = live.alias("a"), live.alias("b")
-        pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.key") == F.col("b.key"))
-                       & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
-                       & (F.least("a.total", "b.total") >= similarity * F.greatest("a.total", "b.total"))).select(
-            F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-        found = saved(_linked(pairs, texts, idf, similarity), "minhash-links")
-        component = saved(connected_components(links.union(found)), "minhash-components")
+    def alike(a, b, share_a=None, share_b=None):
+        close = F.least(a, b) >= similarity * F.greatest(a, b) - SLACK
+        if share_a is None:
+            return close
+        return close & (F.least(share_a, share_b) >= similarity / (1 + similarity) * (a + b) - SLACK)
+
+    def led(rows, best, condition):
+        """Every other node of a bucket with the leader ``best``."""
+        leader = rows.groupBy(*bucket).agg(F.max(F.struct(*best, "node", *condition)).alias("lead"))
+        return rows.join(leader, bucket).where("node <> lead.node")
+
+    def open_buckets(rows, component):
+        """The rows of buckets in which several components meet."""
+        rows = rows.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = rows.groupBy(*bucket).agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+        return rows.join(mixed, bucket, "left_semi")
+
+    def verified(pairs):
+        return saved(_linked(pairs.distinct(), texts, idf, similarity), "minhash-links")
+
+    # a leader per bucket; it has met everyone there and leaves
+    rest = led(live, ["degree"], ["total"])
+    links = verified(rest.where(alike(F.col("total"), F.col("lead.total"))).select(
+        F.col("lead.node").alias("a"), F.col("node").alias("b")))
+    component = saved(connected_components(links), "minhash-components")
+    rest = saved(open_buckets(rest.select("node", "total", *bucket), component).drop("component"), "minhash-open")
+
+    # the bound, then a second leader: the node with least of its own
+    open_texts = texts.join(rest.select("node").distinct(), "node", "left_semi")
+    share = saved(_shared_weight(open_texts, idf), "minhash-shares")
+    rest = rest.join(share, "node").where(F.col("shared") >= similarity * F.col("total") - SLACK)
+    rest = saved(open_buckets(rest, component).withColumn("own", F.round(F.col("shared") / F.col("total"), 2))
+                 .drop("component"), "minhash-open")
+    size = ["total", "shared"]
+    second = led(rest, ["own"], size)
+    links = links.union(verified(second.where(alike(
+        F.col("total"), F.col("lead.total"), F.col("shared"), F.col("lead.shared"))).select(
+        F.col("lead.node").alias("a"), F.col("node").alias("b"))))
+    component = saved(connected_components(links), "minhash-components")
+
+    # pairs across the components that still meet, each in the first band it shares
+    last = open_buckets(second.select("node", *size, *bucket), component).join(
+        signed.select("node", "keys"), "node")
+    a, b = last.alias("a"), last.alias("b")
+    first = F.array_position(F.zip_with("a.keys", "b.keys", lambda x, y: x == y), True) == F.col("a.band") + 1
+    pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.key") == F.col("b.key"))
+                   & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
+                   & alike(F.col("a.total"), F.col("b.total"), F.col("a.shared"), F.col("b.shared")) & first)
+    links = links.union(verified(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))))
+    component = saved(connected_components(links), "minhash-components")
 
     held = rows.select("id", "node")
     placed = held.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
