@@ -25,9 +25,7 @@ TS_TEXT = "dd/MM/yyyy HH:mm:ss"
 
 def vessel_rows(spark, sf_dir) -> DataFrame:
     """The 23-column vessel layout filled from events (names as in the header)."""
-    ev = S.table(spark, sf_dir, "events")
-    pos = S.vessel_positions(spark, sf_dir)
-    j = pos.join(ev.select("event_id", "user_id", "event_type", "value"), "event_id")
+    j = S.vessel_positions(spark, sf_dir, "user_id", "event_type", "value")
     uid = F.col("user_id")
     nul = F.lit(None)
     return j.select(
@@ -158,13 +156,20 @@ def q_scan_vectors(spark, sf_dir):
 
 @register("save_and_reload_sequences")
 def q_save_and_reload_sequences(spark, sf_dir):
-    """Train and test sequences written to separate paths (skipped when
-    present), then read back."""
+    """Train and test sequences written to a folder each from one pass
+    (skipped when present), then read back."""
     traj = splits.hash_split(hourly_trajectories(S.vessel_positions(spark, sf_dir)), "mmsi", 80)
-    base = A.scratch_path(spark, "sequences")
-    A.save_sequences(traj.where(F.col("split") == "train"), f"{base}/train", "mmsi", "step")
-    A.save_sequences(traj.where(F.col("split") == "test"), f"{base}/test", "mmsi", "step")
-    return A.load_sequences(spark, f"{base}/train").unionByName(A.load_sequences(spark, f"{base}/test"))
+    path = A.scratch_path(spark, "sequences")
+    A.save_sequences(traj, path, "mmsi", "step", partition_by="split")
+    return A.load_sequences(spark, path)
+
+
+@register("scan_csv_bad_cells")
+def q_scan_csv_bad_cells(spark, sf_dir):
+    """A2: unreadable cells per column when the vessel status is declared a number."""
+    from pyspark.sql import types as T
+    fields = [T.StructField(f.name, T.IntegerType()) if f.name == "Status" else f for f in A.VESSEL_SCHEMA.fields]
+    return A.bad_cells(spark, vessel_csv(spark, sf_dir), T.StructType(fields), skip_prefix="# Timestamp")
 
 
 def zip_reader_csvs(spark, sf_dir) -> list[tuple[str, list[str]]]:

@@ -533,6 +533,13 @@ ORACLE["train_forecaster"] = f"SELECT cell, count(*) AS n, true AS near_mean FRO
 ORACLE["score_history"] = """
   SELECT count(*) AS rows, true AS never_rises, true AS falls, true AS within_limit FROM embeddings"""
 
+ORACLE["scan_csv_bad_cells"] = """
+  SELECT unnest(['Timestamp', 'VesselType', 'MMSI', 'Lat', 'Lon', 'Status', 'ROT', 'SOG', 'COG', 'Heading', 'IMO',
+                 'Callsign', 'Name', 'Shiptype', 'Cargotype', 'Width', 'Length', 'FixingDevice', 'Draught',
+                 'Destination', 'ETA', 'SourceType', 'end']) AS "column",
+         unnest(list_transform(range(23), lambda i: CASE WHEN i = 5 THEN n ELSE 0 END)) AS bad
+  FROM (SELECT count(*) AS n FROM events)"""
+
 ORACLE["index_range"] = """
   SELECT conv_id, turn FROM conversations
   WHERE conv_id BETWEEN (SELECT max(conv_id) // 4 FROM conversations) AND (SELECT 3 * max(conv_id) // 4 FROM conversations)"""

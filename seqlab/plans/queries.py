@@ -263,9 +263,9 @@ def _recon(spark, sf_dir):
     cent = cells.groupBy("label", "i").agg(F.avg(F.col("v").cast("double")).alias("m"))
     cent = cent.groupBy("label").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("xhat"))
-    # one row per class (bounded by the class count): broadcast, so the join
-    # on a 10-valued key never funnels rows into 10 tasks
-    j = emb.join(F.broadcast(cent), "label")
+    # AQE broadcasts the centroids when their measured size is small, and
+    # splits the rows of a hot label otherwise
+    j = emb.join(cent, "label")
     return scoring.reconstruction_score(j, "embedding", "xhat").select(
         F.col("vec_id").alias("id"), "label", F.round("score", 6).alias("score"))
 

@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vessel_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vessel_positions(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """events -> (event_id, mmsi, ts, lat, lon). Both coordinate ranges overshoot
     the valid box, so the outlier filter has work to do."""
     ev = table(spark, sf_dir, "events")
@@ -26,6 +26,7 @@ def vessel_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts"),
         (F.col("value") * 0.4 - 95.0).alias("lat"),
         ((F.col("event_id") * 37) % 4000 / 10.0 - 200.0).alias("lon"),
+        *extra,
     )
 
 

@@ -16,9 +16,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from seqlab.session import checkpoint_dir
+from seqlab.operators.ordering import ordered_prefix
+from seqlab.session import checkpoint_dir, saved
 
 # 23-column vessel position layout, applied by position (fixed values).
 VESSEL_SCHEMA = T.StructType([
@@ -37,6 +37,10 @@ VESSEL_SCHEMA = T.StructType([
 ])
 
 
+BROADCAST_SPLITS = 1_000_000   # at 32 bytes each
+LAYOUT_VERSION = 2             # of the code that writes derived layouts
+
+
 def shared_base(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir`` when the session
     names one, else the context's checkpoint folder (set for local tests)."""
@@ -66,14 +70,21 @@ def staged(spark: SparkSession, name: str, sources: list[str], write) -> str:
     ``write(path)`` must overwrite ``path``."""
     import hashlib
 
-    h = hashlib.sha1(name.encode())
+    h = hashlib.sha1(f"{name}|{LAYOUT_VERSION}".encode())
     for src in sources:
         fs, p = _fs(spark, src)
         st = fs.getFileStatus(p)
         h.update(f"{src}|{st.getLen()}|{st.getModificationTime()}".encode())
     path = f"{shared_base(spark)}/seqlab-stage/{name}-{h.hexdigest()[:16]}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        write(path)
+        # written under a name of its own, then renamed: a session that comes
+        # second finds the finished folder and uses it
+        own = scratch_path(spark, f"stage-{name}")
+        write(own)
+        fs, target = _fs(spark, path)
+        fs.mkdirs(target.getParent())
+        if not fs.exists(target):
+            fs.rename(_fs(spark, own)[1], target)
     return path
 
 
@@ -102,6 +113,21 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return parsed.select("r.*")
 
 
+def bad_cells(spark: SparkSession, path: str, schema: T.StructType, skip_prefix: str | None = None) -> DataFrame:
+    """A2: per column of ``schema`` how many cells hold text that its type cannot
+    read (``column``, ``bad``). Such cells are NULL in ``scan_csv``; empty cells
+    are missing, not bad. One scan, one row of counters."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    rows = scan_csv(spark, path, text, skip_prefix=skip_prefix)
+    counts = rows.agg(*[
+        F.sum((F.col(f"`{f.name}`").isNotNull() & (F.trim(f"`{f.name}`") != "")
+               & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()).cast("long")).alias(f"n{i}")
+        for i, f in enumerate(schema.fields)])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column"), F.coalesce(F.col(f"n{i}"), F.lit(0).cast("long")).alias("bad"))
+        for i, f in enumerate(schema.fields)])).alias("c")).select("c.*")
+
+
 # ------------------------------------------------------------------ A3 ----
 def scan_numbered_sequences(spark: SparkSession, path: str, lo: int, hi: int, columns: list[str],
                             skip: int = 1, sep: str = ",", id_pattern: str = r"(\d+)\.csv$",
@@ -142,32 +168,34 @@ def number_lines(lines: DataFrame, name: str = "row_no", skip: int = 0, per_file
     line's position inside its split is its id minus the split's smallest
     id. The per-split counts (one row per split: data size / split size,
     never per row) give each split's offset inside its file and each file's
-    offset in the whole scan; they are joined back on the split key.
+    offset in the whole scan. These offsets (32 bytes a split) are counted and
+    broadcast up to BROADCAST_SPLITS splits, so the text itself is not moved;
+    beyond that they are joined by split.
     """
     tagged = lines.select("*", F.col("_metadata.file_path").alias("__f"),
                           F.col("_metadata.file_block_start").alias("__b"),
                           F.monotonically_increasing_id().alias("__m"))
-    chunks = tagged.groupBy("__f", "__b").agg(F.count(F.lit(1)).alias("__n"),
-                                              F.min("__m").alias("__m0"))
-    in_file = Window.partitionBy("__f").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    whole_file = Window.partitionBy("__f")
-    chunks = chunks.select("__f", "__b", "__m0",
-                           F.coalesce(F.sum("__n").over(in_file), F.lit(0)).alias("__foff"),
-                           F.greatest(F.sum("__n").over(whole_file) - int(skip), F.lit(0)).alias("__keep"))
-    if per_file:
-        chunks = chunks.withColumn("__goff", F.lit(0).cast("long")).drop("__keep")
+    splits = saved(tagged.groupBy("__f", "__b").agg(F.count(F.lit(1)).alias("__n"), F.min("__m").alias("__m0")),
+                   "line-splits")
+    offsets = ordered_prefix(splits, ["__f"], ["__b"], {"__foff": "__n"})
+    if not per_file:
+        keep = F.greatest(F.sum("__n") - int(skip), F.lit(0)).alias("__keep")
+        files = ordered_prefix(splits.groupBy("__f").agg(keep), [], ["__f"], {"__goff": "__keep"})
+        offsets = offsets.join(files.select("__f", "__goff"), "__f")
     else:
-        files = chunks.select("__f", "__keep").distinct()
-        across = Window.partitionBy().orderBy("__f").rowsBetween(Window.unboundedPreceding, -1)
-        files = files.select("__f", F.coalesce(F.sum("__keep").over(across), F.lit(0)).alias("__goff"))
-        chunks = chunks.join(files, "__f").drop("__keep")
-    out = tagged.join(chunks, ["__f", "__b"])
-    line_in_file = F.col("__m") - F.col("__m0") + F.col("__foff")
-    out = out.where(line_in_file >= int(skip))
-    out = out.withColumn(name, (F.col("__goff") + line_in_file - int(skip)).cast("long"))
+        offsets = offsets.withColumn("__goff", F.lit(0.0))
+    # a line number is its id minus this base: one number per split
+    base = (F.col("__m0") - F.col("__foff").cast("long") + int(skip)).alias("__base")
+    offsets = offsets.select(F.xxhash64("__f").alias("__fk"), F.col("__b").alias("__bk"), base,
+                             F.col("__goff").cast("long").alias("__goff"))
+    if splits.count() <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
+    out = tagged.join(offsets, (F.xxhash64("__f") == F.col("__fk")) & (F.col("__b") == F.col("__bk")))
+    out = out.where(F.col("__m") >= F.col("__base"))
+    out = out.withColumn(name, F.col("__goff") + F.col("__m") - F.col("__base"))
     if keep_path:
         out = out.withColumnRenamed("__f", "__path")
-    return out.drop("__f", "__b", "__m", "__m0", "__foff", "__goff")
+    return out.drop("__f", "__b", "__m", "__fk", "__bk", "__base", "__goff")
 
 
 def scan_rows_numbered(spark: SparkSession, path: str, columns: list[str], skip: int = 1,
@@ -193,21 +221,25 @@ def scan_vectors(spark: SparkSession, path: str, id_col: str, vector: str, label
 
 # ------------------------------------------------------------------ A6 ----
 def save_sequences(df: DataFrame, path: str, id_col: str, step: str, mode: str = "ignore",
-                   num_files: int | None = None) -> bool:
+                   num_files: int | None = None, partition_by: str | None = None) -> bool:
     """Write prepared sequences unless they are already there.
 
     With ``mode="ignore"`` a folder counts as present only when a finished
     write left ``_SUCCESS`` in it; a folder left by a failed job is written
-    again. Rows are clustered by id and sorted by (id, step) inside each file,
-    so a lookup by id prunes row groups through parquet min/max statistics.
+    again. Rows are range-partitioned and sorted by (id, step): a hot id is
+    spread over as many files as its rows need, and a lookup by id prunes row
+    groups through parquet min/max statistics. ``partition_by`` writes one
+    folder per value of that column (train and test) from one pass over ``df``.
     Returns True when data was written."""
     spark = df.sparkSession
     if mode == "ignore":
         if path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
             return False
         mode = "overwrite"
-    out = df.repartitionByRange(num_files, id_col) if num_files else df.repartitionByRange(id_col)
-    out.sortWithinPartitions(id_col, step).write.mode(mode).parquet(path)
+    keys = [id_col, step]
+    out = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
+    writer = out.sortWithinPartitions(*([partition_by] if partition_by else []), *keys).write.mode(mode)
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return True
 
 
