@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from seqlab.llm.common import id_ranges, work_folder
 
-SHARD_BYTES = 32 << 20
-ROLL_BYTES = 8 << 20
+LEAST_SHARD, MOST_SHARD, SHARDS = 1 << 20, 64 << 20, 64
+ROLL_BYTES = 16 << 20
 LEAST_BYTES = 0
 LEVEL = 4
 DATE = "2024-01-01T00:00:00Z"
@@ -151,12 +151,14 @@ def _committer(folder: str):
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url",
-                   payload_col: str = "html", least: int = LEAST_BYTES, shard_bytes: int = SHARD_BYTES,
+                   payload_col: str = "html", least: int = LEAST_BYTES, shard_bytes: int | None = None,
                    roll_bytes: int = ROLL_BYTES, level: int = LEVEL) -> DataFrame:
     """Write ``pages`` below ``folder`` and return the committed manifest.
 
     Null payloads are empty; a null url leaves the header out; null ids come
     last, as one id that equal payloads refer to only if no page has an id.
+    Without ``shard_bytes`` a shard gets a 64th of the payload bytes, at least
+    1 MB and at most 64 MB, which is also what a task holds.
     Rows with equal id and payload are all responses or all revisits. An empty
     table gives an empty manifest.
     """
@@ -173,6 +175,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         "id", "row_hash", "first").distinct()
 
     known = F.col("id") != _NO_ID
+    if shard_bytes is None:
+        total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        shard_bytes = min(MOST_SHARD, max(LEAST_SHARD, total // SHARDS))
     ranged = id_ranges(rows.where(known), F.octet_length("text") + 500, shard_bytes, "shard")
     last = rows.where(~known).withColumn("shard", F.lit(1 << 40))
     held = ranged.unionByName(last).select("shard", "id", "row_hash", "url", "text")
