@@ -68,7 +68,7 @@ def test_multitask_sequences(spark, conv_dirs):
 
 def test_forecast_grid(spark):
     base = tempfile.mkdtemp(prefix="seqlab-wf-grid-")
-    g = daily_grid(spark, SF).select(F.col("user_id").alias("sample_id"), F.col("day").alias("step"),
+    g = daily_grid(spark, SF)[0].select(F.col("user_id").alias("sample_id"), F.col("day").alias("step"),
                                      *[F.col(f"c{i}") for i in range(5)])
     _per_sample_files(g.where("step < 20"), f"{base}/features")
     nxt = g.where("step >= 1 AND step <= 20").select("sample_id", (F.col("step") - 1).alias("step"),
