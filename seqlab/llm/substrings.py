@@ -9,17 +9,17 @@ its strings reach is a phrase; it stands for all its strings at once.
 
 The dictionary is resolved before any single string is looked at:
 
-* a trigger that occurs once in the corpus has unique strings;
-* a trigger with one phrase wherever it occurs: all strings of the phrase are
-  repeated, the first document in corpus order keeps them;
-* only triggers with several phrases (the edges of repeated passages) send
-  their strings - suffixes of the phrase, cut to ``LENGTH`` bytes - to be
-  ordered across the corpus.
+* a trigger that occurs in one batch only has no strings elsewhere; this is
+  settled on 4-byte prints of the triggers, packed per batch and hash bucket;
+* a phrase that an earlier batch holds too: all its strings are repeated;
+* only the first phrases of triggers with several (the edges of repeated
+  passages) send their strings - suffixes of the phrase, cut to ``LENGTH``
+  bytes - to be ordered across the corpus.
 
 Documents are read in batches of contiguous ids, so corpus order is batch order
 first and only the order within a batch needs ids. Every (trigger, batch) and
 (string, batch) is sent once, so a passage in a third of all documents costs one
-row per batch. Suffixes are ordered by 128-bit hashes of their ``LENGTH`` bytes
+row per batch. Suffixes are ordered by 104-bit hashes of their ``LENGTH`` bytes
 instead of their letters: the groups of equal strings, all that is asked for,
 are the same, and no text is shuffled a second time.
 """
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlab.llm.common import id_ranges, saved
+from seqlab.llm.common import id_ranges
 from seqlab.llm.hashing import Roller
 
 LENGTH = 50
@@ -40,6 +40,9 @@ BATCH_BYTES = 8 << 20
 MAX_RUN = 64
 _SLICE = 2 << 20
 ALL, SOME, STRING = 1, 2, 3   # what a batch is told: phrase repeated, look at strings, string repeated
+_BATCH_BITS = 24
+_NULL_BATCH = (1 << _BATCH_BITS) - 1
+_PRINT_BYTES = 16 << 20       # of text per bucket of prints
 OUT = "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
 
 
@@ -110,26 +113,59 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64, copy=False))
 
 
-def _parse_batch(key, table):
-    """One row per trigger of the batch: its phrase, or that it has several."""
-    parser, triggers, phrases = Parser(), [], []
-    for _, starts, data in parser.slices(table):
-        v, first, last, _, prefix = parser.runs(starts, data)
-        if prefix is not None:
-            e = parser.phrases(prefix, first, last)
+def _print_batch(bits: int):
+    """One row per hash bucket: the prints (the next 32 bits) of its triggers."""
+    def run(key, table):
+        parser = Parser()
+        seen = [parser.runs(starts, data)[0] for _, starts, data in parser.slices(table)]
+        v = np.unique(np.concatenate(seen) >> np.uint64(32 - bits)) if seen else np.zeros(0, np.uint64)
+        bucket = (v >> np.uint64(32)).astype(np.int64)
+        at = np.flatnonzero(np.concatenate([[True], np.diff(bucket) > 0])) if len(v) else np.zeros(0, np.intp)
+        parts = np.split(v.astype(np.uint32), at[1:]) if len(v) else []
+        return pa.table([pa.array(bucket[at]), pa.array([key[0].as_py()] * len(at), pa.int64()),
+                         pa.array([p.tobytes() for p in parts], pa.binary())], ["bucket", "batch", "prints"])
+    return run
+
+
+def _resolve_prints(table):
+    """A bucket: give each batch its prints that other batches have too."""
+    prints = [np.frombuffer(p.as_py(), np.uint32) for p in table.column("prints")]
+    order = np.sort(np.concatenate(prints))
+    twice = np.unique(order[1:][order[1:] == order[:-1]])
+    kept = [p[np.isin(p, twice, assume_unique=True)] for p in prints]
+    some = np.array([len(k) > 0 for k in kept])
+    return pa.table([table.column("bucket").filter(pa.array(some)), table.column("batch").filter(pa.array(some)),
+                     pa.array([k.tobytes() for k in kept if len(k)], pa.binary())], ["bucket", "batch", "prints"])
+
+
+def _parse_batch(bits: int):
+    """One row per shared trigger of the batch: its phrase, or that it has several."""
+    def run(key, table, shared):
+        parser, triggers, phrases = Parser(), [], []
+        held = np.sort(np.concatenate([np.zeros(0, np.uint64), *[
+            np.uint64(b.as_py() << 32) + np.frombuffer(p.as_py(), np.uint32).astype(np.uint64)
+            for b, p in zip(shared.column("bucket"), shared.column("prints"))]]))
+        for _, starts, data in parser.slices(table) if len(held) else ():
+            v, first, last, _, prefix = parser.runs(starts, data)
+            if prefix is None:
+                continue
+            open_ = _among(v >> np.uint64(32 - bits), held)
+            v, e = v[open_], parser.phrases(prefix, first[open_], last[open_])
             order = np.lexsort((e, v))
             v, e = v[order], e[order]
-            new = np.concatenate([[True], (v[1:] != v[:-1]) | (e[1:] != e[:-1])])
+            new = np.ones(len(v), bool)
+            new[1:] = (v[1:] != v[:-1]) | (e[1:] != e[:-1])
             triggers.append(v[new])
             phrases.append(e[new])
-    v = np.concatenate(triggers) if triggers else np.zeros(0, np.uint64)
-    e = np.concatenate(phrases) if phrases else np.zeros(0, np.uint64)
-    order = np.lexsort((e, v))
-    v, e = v[order], e[order]
-    at = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, np.intp)
-    several = np.maximum.reduceat(e, at) != e[at] if len(v) else np.zeros(0, bool)
-    tag = np.full(len(at), key[0].as_py() * 2) + several
-    return pa.table([_long(v[at]), _long(e[at]), _long(tag)], ["trigger", "phrase", "tag"])
+        v = np.concatenate(triggers) if triggers else np.zeros(0, np.uint64)
+        e = np.concatenate(phrases) if phrases else np.zeros(0, np.uint64)
+        order = np.lexsort((e, v))
+        v, e = v[order], e[order]
+        at = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, np.intp)
+        several = np.maximum.reduceat(e, at) != e[at] if len(v) else np.zeros(0, bool)
+        tag = np.full(len(at), key[0].as_py() * 2) + several
+        return pa.table([_long(v[at]), _long(e[at]), _long(tag)], ["trigger", "phrase", "tag"])
+    return run
 
 
 def _whole(batches) -> list[np.ndarray]:
@@ -146,19 +182,19 @@ def _resolve_phrases(batches):
     if not columns or not len(columns[0]):
         return
     v, e, tag = columns
-    order = np.lexsort((tag, v))
+    order = np.lexsort((tag >> 1, e, tag & 1, v))     # a trigger's single phrases first, by batch
     v, e, tag = v[order], e[order], tag[order]
     at = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
     n = np.diff(np.concatenate([at, [len(v)]]))
     group = np.repeat(np.arange(len(at)), n)
+    several = (tag & 1) > 0
     mixed = ((np.minimum.reduceat(e, at) != np.maximum.reduceat(e, at))
              | (np.maximum.reduceat(tag & 1, at) > 0))[group]
-    shared = (n > 1)[group]
-    first = np.zeros(len(v), bool)
-    first[at] = True
-    tell = shared & (mixed | ~first)
+    again = np.concatenate([[False], (v[1:] == v[:-1]) & (e[1:] == e[:-1]) & ~several[1:] & ~several[:-1]])
+    tell = (n > 1)[group] & (mixed | again)
+    what = np.where(again, ALL, SOME).astype(np.int32)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(tag[tell] >> 1), pa.array(np.where(mixed[tell], SOME, ALL).astype(np.int32)), pa.array(v[tell]),
+        [pa.array(tag[tell] >> 1), pa.array(what[tell]), pa.array(v[tell]),
          pa.array(np.zeros(int(tell.sum()), np.int64))], ["batch", "what", "x", "y"])
 
 
@@ -189,7 +225,9 @@ def _send_strings(key, table, told):
     x, y = x[order], y[order]
     new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]) if len(x) else np.zeros(0, bool)
     x, y = x[new], y[new]
-    return pa.table([_long(x), _long(y), _long(np.full(len(x), key[0].as_py()))], ["x", "y", "batch"])
+    # the second hash gives up its low bits to the batch
+    low = np.uint64((1 << _BATCH_BITS) - 1)
+    return pa.table([_long(x), _long((y & ~low) | np.uint64(key[0].as_py()))], ["x", "y"])
 
 
 def _resolve_strings(batches):
@@ -197,13 +235,16 @@ def _resolve_strings(batches):
     columns = _whole(batches)
     if not columns or not len(columns[0]):
         return
-    x, y, batch = columns
-    order = np.lexsort((batch, y, x))
-    x, y, batch = x[order], y[order], batch[order]
-    again = np.concatenate([[False], (x[1:] == x[:-1]) & (y[1:] == y[:-1])])
+    x, y = (c.astype(np.int64).view(np.uint64) for c in columns)
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    bits = np.uint64(_BATCH_BITS)
+    again = np.concatenate([[False], (x[1:] == x[:-1]) & (y[1:] >> bits == y[:-1] >> bits)
+                            & (y[1:] != y[:-1])])
+    batch = y & np.uint64((1 << _BATCH_BITS) - 1)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(batch[again]), pa.array(np.full(int(again.sum()), STRING, np.int32)), pa.array(x[again]),
-         pa.array(y[again])], ["batch", "what", "x", "y"])
+        [_long(batch[again]), pa.array(np.full(int(again.sum()), STRING, np.int32)), _long(x[again]),
+         _long(y[again] >> bits)], ["batch", "what", "x", "y"])
 
 
 def _local(parser: Parser, table: pa.Table, every: np.ndarray, some: np.ndarray):
@@ -255,7 +296,7 @@ def _remove(key, table, told):
                     here = open_ & (far[0][j] == x[at])
                     if not here.any():
                         break
-                    earlier |= here & (far[1][j] == y[at])
+                    earlier |= here & (far[1][j] == y[at] >> np.uint64(_BATCH_BITS))
                     i = np.where(here, i + 1, far.shape[1])
             gone = np.repeat(earlier, n) | (owner > np.repeat(owner[at], n))
             for k in range(len(cut)):
@@ -304,15 +345,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     last = F.lit((1 << 62) - 1)
     rows = docs.select(F.col(id_col).cast("long").alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    batch_bytes = max(batch_bytes, total >> (_BATCH_BITS - 1))   # batches are numbered in _BATCH_BITS
+    bits = min(31, max(4, (total // _PRINT_BYTES).bit_length()))
     known = id_ranges(rows.where("id is not null"), F.octet_length("text"), batch_bytes)
-    rows = known.select("batch", "id", "text").union(rows.where("id is null").select(last.alias("batch"), last.alias("id"), "text"))
-    rows = rows.repartition("batch")
-    triggers = rows.groupBy("batch").applyInArrow(_parse_batch, "trigger long, phrase long, tag long")
-    told = saved(triggers.repartition("trigger").mapInArrow(
-        _resolve_phrases, "batch long, what int, x long, y long"), "substrings-told")
-    by_batch = lambda df: df.groupBy("batch")
-    sent = by_batch(rows).cogroup(by_batch(told.where(F.col("what") == SOME))).applyInArrow(
-        _send_strings, "x long, y long, batch long")
+    rows = known.select("batch", "id", "text").union(
+        rows.where("id is null").select(F.lit(_NULL_BATCH).cast("long").alias("batch"), last.alias("id"), "text"))
+    # one exchange of the texts serves every pass below
+    by_batch = rows.repartition("batch").groupBy("batch")
+    blob = "bucket long, batch long, prints binary"
+    shared = by_batch.applyInArrow(_print_batch(bits), blob).groupBy("bucket").applyInArrow(_resolve_prints, blob)
+    triggers = by_batch.cogroup(shared.groupBy("batch")).applyInArrow(
+        _parse_batch(bits), "trigger long, phrase long, tag long")
+    told = triggers.repartition("trigger").mapInArrow(_resolve_phrases, "batch long, what int, x long, y long")
+    sent = by_batch.cogroup(told.where(F.col("what") == SOME).groupBy("batch")).applyInArrow(
+        _send_strings, "x long, y long")
     again = sent.repartition("x").mapInArrow(_resolve_strings, "batch long, what int, x long, y long")
-    done = by_batch(rows).cogroup(by_batch(told.union(again))).applyInArrow(_remove, OUT)
+    done = by_batch.cogroup(told.union(again).groupBy("batch")).applyInArrow(_remove, OUT)
     return done.withColumn("id", F.when(F.col("id") != last, F.col("id")))
