@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import json
 import uuid
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from seqlab.operators.ordering import ordered_prefix
 from seqlab.session import checkpoint_dir
 
 SLICE_BYTES = 4 << 20
@@ -64,34 +66,43 @@ def text_slices(batches, column: int = 1, max_bytes: int = SLICE_BYTES):
             yield batch.slice(start)
 
 
-ID_CELLS = 4096
-
-
-def id_ranges(rows: DataFrame, size: Column, target: int, name: str = "batch") -> DataFrame:
+def id_ranges(rows: DataFrame, size: Column, target: int, name: str = "batch") -> tuple[DataFrame, list]:
     """``rows`` (column ``id``, never null) with a number ``name`` for contiguous
-    id ranges that hold about ``target`` of ``size``, the same in every run.
-
-    The id space is cut into ``ID_CELLS`` cells of equal width. Light neighbours
-    share a range; a heavy cell is divided further in proportion to its size.
+    id ranges that hold less than twice ``target`` of ``size``, wherever the ids
+    lie; and the ``(first number, parts)`` of ids that were divided.
+
+    Numbers ascend with the ids. The cuts follow running sums over distinct ids,
+    so they are the same in every run. An id heavier than ``target`` gets odd
+    numbers of its own, every other one from the first on; its rows are cut by
+    running sums in the order of a hash of their columns (equal rows may be cut
+    anywhere) and written once, so that every reader sees the same cuts.
     """
-    span = rows.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
-    lo, hi = (span["lo"], span["hi"]) if span["lo"] is not None else (0, 0)
-    width = max(1, -(-(hi - lo + 1) // ID_CELLS))
-    cell = F.floor((F.col("id") - lo) / width).cast("int")
-    sizes = {r["cell"]: r["n"] for r in rows.groupBy(cell.alias("cell")).agg(
-        F.sum(size.cast("long")).alias("n")).collect()}    # at most ID_CELLS rows
-    table, first, filled = [], 0, 0
-    for c in sorted(sizes):
-        split = min(width, max(1, -(-sizes[c] // target)))
-        if filled and (split > 1 or filled + sizes[c] > target):
-            first, filled = first + 1, 0
-        table.append({"__cell": c, "__first": first, "__split": split})
-        if split > 1:
-            first += split
-        else:
-            filled += sizes[c] + 1
-    cells = rows.sparkSession.range(1).select(F.inline(F.from_json(
-        F.lit(json.dumps(table)), "array<struct<__cell:int,__first:long,__split:long>>")))
-    inside = F.floor((F.col("id") - lo - cell.cast("long") * width) * F.col("__split") / width)
-    return rows.join(F.broadcast(cells), cell == F.col("__cell")).select(
-        *rows.columns, (F.col("__first") + inside).cast("long").alias(name))
+    sums = rows.groupBy("id").agg(F.sum(size.cast("long")).alias("__n"))
+    chunks = saved(sums.repartitionByRange("id").withColumn("__chunk", F.spark_partition_id()), "id-sums")
+    totals = sorted(tuple(r) for r in chunks.groupBy("__chunk").agg(F.sum("__n")).collect())   # one row per chunk
+    offsets = dict(zip([c for c, _ in totals], accumulate((n for _, n in totals), initial=0)))
+    within = Window.partitionBy("__chunk").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    if not offsets:
+        return rows.withColumn(name, F.lit(0).cast("long")), []
+    begin = F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair])
+    at = chunks.withColumn("__before", F.coalesce(F.sum("__n").over(within), F.lit(0)) + begin[F.col("__chunk")])
+    heavy = F.col("__n") > target
+    number = 2 * F.floor(F.col("__before") / target).cast("long") + heavy.cast("long")
+    cuts = sorted(tuple(r) for r in at.groupBy(number.alias("number")).agg(   # one row per range
+        F.min("id").alias("id"), F.max(F.floor(F.col("__n") / target)).cast("long").alias("parts")).collect())
+    cuts = [(n, i, parts if n % 2 else 1) for n, i, parts in cuts]
+    numbers, firsts, parts = (F.split(F.lit(",".join(map(str, c))), ",").cast("array<bigint>") for c in zip(*cuts))
+    # binary search: how many ranges start at this id or before
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+        F.get(firsts, n + step - 1) <= F.col("id"), n + step).otherwise(n))
+    divided = [(n, p) for n, _, p in cuts if p > 1]
+    out = rows.withColumn(name, F.get(numbers, found - 1))
+    if divided:
+        whole, odd = [*rows.columns, name], F.col(name) % 2 == 1
+        cut = out.where(odd).withColumns({"__row": F.xxhash64(*rows.columns), "__size": size.cast("long"),
+                                          "__place": F.monotonically_increasing_id()})
+        cut = ordered_prefix(cut, [name], ["__row", "__place"], {"__before": "__size"})
+        part = F.least(F.floor(F.col("__before") / target).cast("long"), F.get(parts, found - 1) - 1)
+        out = out.where(~odd).unionByName(cut.withColumn(name, F.col(name) + 2 * part).select(*whole))
+    return out, divided

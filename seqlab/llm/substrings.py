@@ -17,7 +17,8 @@ The dictionary is resolved before any single string is looked at:
   bytes - to be ordered across the corpus.
 
 Documents are read in batches of contiguous ids, so corpus order is batch order
-first and only the order within a batch needs ids. Every (trigger, batch) and
+first and only the order within a batch needs ids. An id that fills more than a
+batch has batches of its own; these count as one place in that order. Every (trigger, batch) and
 (string, batch) is sent once, so a passage in a third of all documents costs one
 row per batch. Suffixes are ordered by 104-bit hashes of their ``LENGTH`` bytes
 instead of their letters: the groups of equal strings, all that is asked for,
@@ -41,7 +42,7 @@ MAX_RUN = 64
 _SLICE = 2 << 20
 ALL, SOME, STRING = 1, 2, 3   # what a batch is told: phrase repeated, look at strings, string repeated
 _BATCH_BITS = 24
-_NULL_BATCH = (1 << _BATCH_BITS) - 1
+_NO_ID = (1 << 63) - 1         # comes last
 _PRINT_BYTES = 16 << 20       # of text per bucket of prints
 OUT = "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
 
@@ -176,7 +177,29 @@ def _whole(batches) -> list[np.ndarray]:
             for i in range(parts[0].num_columns)]
 
 
-def _resolve_phrases(batches):
+def _owner(batch: np.ndarray, divided: list) -> np.ndarray:
+    """Batches by number; those of one divided id all by its first."""
+    if not divided:
+        return batch
+    first, parts = np.array(sorted(divided), np.int64).T
+    at = np.maximum(np.searchsorted(first, batch.astype(np.int64), side="right") - 1, 0)
+    inside = (batch % 2 == 1) & (batch >= first[at]) & (batch < first[at] + 2 * parts[at])
+    return np.where(inside, first[at], batch.astype(np.int64))
+
+
+def _from_another(same: np.ndarray, batch: np.ndarray, divided: list) -> np.ndarray:
+    """Of sorted entries, where ``same`` marks one equal to the one before: those
+    whose first equal is of another id range."""
+    start = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
+    owner = _owner(batch, divided)
+    return same & (owner != owner[start])
+
+
+def _phrase_resolver(divided: list):
+    return lambda batches: _resolve_phrases(batches, divided)
+
+
+def _resolve_phrases(batches, divided):
     """A shuffle partition of triggers: tell the batches that share one."""
     columns = _whole(batches)
     if not columns or not len(columns[0]):
@@ -191,6 +214,7 @@ def _resolve_phrases(batches):
     mixed = ((np.minimum.reduceat(e, at) != np.maximum.reduceat(e, at))
              | (np.maximum.reduceat(tag & 1, at) > 0))[group]
     again = np.concatenate([[False], (v[1:] == v[:-1]) & (e[1:] == e[:-1]) & ~several[1:] & ~several[:-1]])
+    again = _from_another(again, tag >> 1, divided)
     tell = (n > 1)[group] & (mixed | again)
     what = np.where(again, ALL, SOME).astype(np.int32)
     yield pa.RecordBatch.from_arrays(
@@ -230,7 +254,11 @@ def _send_strings(key, table, told):
     return pa.table([_long(x), _long((y & ~low) | np.uint64(key[0].as_py()))], ["x", "y"])
 
 
-def _resolve_strings(batches):
+def _string_resolver(divided: list):
+    return lambda batches: _resolve_strings(batches, divided)
+
+
+def _resolve_strings(batches, divided):
     """A shuffle partition of strings: tell all batches but the first that hold one."""
     columns = _whole(batches)
     if not columns or not len(columns[0]):
@@ -239,9 +267,10 @@ def _resolve_strings(batches):
     order = np.lexsort((y, x))
     x, y = x[order], y[order]
     bits = np.uint64(_BATCH_BITS)
-    again = np.concatenate([[False], (x[1:] == x[:-1]) & (y[1:] >> bits == y[:-1] >> bits)
-                            & (y[1:] != y[:-1])])
     batch = y & np.uint64((1 << _BATCH_BITS) - 1)
+    same = np.concatenate([[False], (x[1:] == x[:-1]) & (y[1:] >> bits == y[:-1] >> bits)])
+    again = _from_another(same, batch, divided)
+    again[1:] &= (x[1:] != x[:-1]) | (y[1:] != y[:-1])
     yield pa.RecordBatch.from_arrays(
         [_long(batch[again]), pa.array(np.full(int(again.sum()), STRING, np.int32)), _long(x[again]),
          _long(y[again] >> bits)], ["batch", "what", "x", "y"])
@@ -339,27 +368,27 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null and empty texts, and texts shorter than ``LENGTH`` bytes, keep all.
     Rows with one id are one document: they do not remove each other's bytes.
-    Null ids come after all others (and count as one id); they are returned as
-    null. An empty table gives an empty table.
+    Null ids come after all others (and count as one id, as 2^63 - 1); they are
+    returned as null. An empty table gives an empty table. What a task holds is
+    bounded by ``batch_bytes`` (or one text) wherever the ids lie.
     """
-    last = F.lit((1 << 62) - 1)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"),
+    last = F.lit(_NO_ID)
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    batch_bytes = max(batch_bytes, total >> (_BATCH_BITS - 1))   # batches are numbered in _BATCH_BITS
+    batch_bytes = max(batch_bytes, total >> (_BATCH_BITS - 2))   # batches are numbered in _BATCH_BITS
     bits = min(31, max(4, (total // _PRINT_BYTES).bit_length()))
-    known = id_ranges(rows.where("id is not null"), F.octet_length("text"), batch_bytes)
-    rows = known.select("batch", "id", "text").union(
-        rows.where("id is null").select(F.lit(_NULL_BATCH).cast("long").alias("batch"), last.alias("id"), "text"))
+    known, divided = id_ranges(rows, F.octet_length("text"), batch_bytes)
+    rows = known.select("batch", "id", "text")
     # one exchange of the texts serves every pass below
     by_batch = rows.repartition("batch").groupBy("batch")
     blob = "bucket long, batch long, prints binary"
     shared = by_batch.applyInArrow(_print_batch(bits), blob).groupBy("bucket").applyInArrow(_resolve_prints, blob)
     triggers = by_batch.cogroup(shared.groupBy("batch")).applyInArrow(
         _parse_batch(bits), "trigger long, phrase long, tag long")
-    told = triggers.repartition("trigger").mapInArrow(_resolve_phrases, "batch long, what int, x long, y long")
+    told = triggers.repartition("trigger").mapInArrow(_phrase_resolver(divided), "batch long, what int, x long, y long")
     sent = by_batch.cogroup(told.where(F.col("what") == SOME).groupBy("batch")).applyInArrow(
         _send_strings, "x long, y long")
-    again = sent.repartition("x").mapInArrow(_resolve_strings, "batch long, what int, x long, y long")
+    again = sent.repartition("x").mapInArrow(_string_resolver(divided), "batch long, what int, x long, y long")
     done = by_batch.cogroup(told.union(again).groupBy("batch")).applyInArrow(_remove, OUT)
     return done.withColumn("id", F.when(F.col("id") != last, F.col("id")))

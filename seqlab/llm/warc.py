@@ -38,7 +38,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "temporary string, name string, records long, bytes long, sha256 string"
 RECORD = ("page_id long, url string, record_type string, refers_to long, payload_bytes long, "
           "payload_digest string, payload binary")
-_NO_ID = (1 << 62) - 1
+_NO_ID = (1 << 63) - 1   # comes last
 
 
 def sha1_base32(data: bytes) -> str:
@@ -158,7 +158,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     Null payloads are empty; a null url leaves the header out; null ids come
     last, as one id that equal payloads refer to only if no page has an id.
     Without ``shard_bytes`` a shard gets a 64th of the payload bytes, at least
-    1 MB and at most 64 MB, which is also what a task holds.
+    1 MB and at most 64 MB; a task holds less than twice that, or one page.
+    The rows of one id that fill more than a shard (as those without an id may)
+    are cut into several in the order of a hash.
     Rows with equal id and payload are all responses or all revisits. An empty
     table gives an empty manifest.
     """
@@ -174,13 +176,11 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     info = keys.join(many.where("first <> last"), "digest").where("id <> first").select(
         "id", "row_hash", "first").distinct()
 
-    known = F.col("id") != _NO_ID
     if shard_bytes is None:
         total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
         shard_bytes = min(MOST_SHARD, max(LEAST_SHARD, total // SHARDS))
-    ranged = id_ranges(rows.where(known), F.octet_length("text") + 500, shard_bytes, "shard")
-    last = rows.where(~known).withColumn("shard", F.lit(1 << 40))
-    held = ranged.unionByName(last).select("shard", "id", "row_hash", "url", "text")
+    ranged, _ = id_ranges(rows, F.octet_length("text") + 500, shard_bytes, "shard")
+    held = ranged.select("shard", "id", "row_hash", "url", "text")
     told = info.join(held.select("id", "row_hash", "shard").distinct(), ["id", "row_hash"]).select(
         F.col("shard").alias("of_shard"), F.col("id").alias("of_id"), F.col("row_hash").alias("of_hash"),
         F.col("first").alias("response"))

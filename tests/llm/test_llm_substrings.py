@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from llm_data import AWKWARD, docs
+from seqlab.llm.common import id_ranges
 from seqlab.llm.substrings import LENGTH, remove_repeats
 
 
@@ -63,3 +65,25 @@ def test_one_passage_in_every_document(spark):
 
 def test_empty_table(spark):
     assert found(spark, []) == []
+
+
+def test_batches_follow_bytes_not_ids(spark):
+    low, high = -(1 << 63), (1 << 63) - 2
+    for ids in ([*range(200), 10 ** 15], [low, *range(200), high], [5] * 200, [1, 2, *[7] * 150, 8, 9]):
+        rows = spark.createDataFrame([(i, "x" * 100) for i in ids], "id long, text string")
+        ranged, divided = id_ranges(rows, F.octet_length("text"), 1000)
+        got = ranged.groupBy("batch").agg(F.count("id").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+        got = sorted((r["batch"], r["n"], r["lo"], r["hi"]) for r in got.collect())
+        assert max(n for _, n, _, _ in got) <= 20 and sum(n for _, n, _, _ in got) == len(ids)
+        assert all(a[3] <= b[2] for a, b in zip(got, got[1:]))
+        assert bool(divided) == (len(set(ids)) < len(ids))
+
+
+@pytest.mark.parametrize("owner", [5, None])
+def test_a_divided_id_is_one_document(spark, owner):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=80))
+    ours, theirs = word(), word()
+    rows = [(1, word() + theirs)] + [(owner, f"{i:04d}" + ours + word() + (theirs if i % 9 == 0 else ""))
+                                     for i in range(60)] + [(9, ours + word())]
+    assert sorted(found(spark, rows, batch_bytes=1000), key=str) == sorted(brute(rows), key=str)

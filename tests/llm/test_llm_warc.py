@@ -82,3 +82,16 @@ def test_query_equals_sql(spark, sf_small):
     res = compare(spark, "op5_warc_sharded", QUERIES["op5_warc_sharded"], ORACLE["op5_warc_sharded"], sf_small,
                   duck(sf_small))
     assert res["status"] == "OK", res
+
+
+def test_shards_follow_bytes_not_ids(spark):
+    """An outlying id, ids over the whole range, and many pages without an id."""
+    low, high = -(1 << 63), (1 << 63) - 2
+    for ids in ([*range(200), 10 ** 15], [low, *range(200), high], [1, 2, *[None] * 200]):
+        folder = work_folder(spark, "warc-test")
+        rows = [(i, f"http://x/{k}", f"{k:05d}" * 20, "", "") for k, i in enumerate(ids)]
+        manifest = warc.write_archives(spark.createDataFrame(rows, PAGES), folder, shard_bytes=6000).collect()
+        assert len(manifest) >= 15 and max(r["records"] for r in manifest) <= 20
+        got = [(r["page_id"], r["url"], bytes(r["payload"]).decode()) for r in warc.read_archives(spark, folder).collect()]
+        key = lambda r: (r[0] is None, r[0] or 0, r[1])
+        assert sorted(got, key=key) == sorted([r[:3] for r in rows], key=key)
