@@ -1,17 +1,19 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
 Texts are compared as runs of lower-case letters and digits with single blanks,
-in UTF-8. Benchmark items are cut into overlapping pieces, so that partly quoted
-items are found; a piece of length m leaks into a document when some region of
-it is within ``k = rate * m`` edits. The q-gram lemma bounds what such a region
-must share: at least ``(m - q + 1) - k * q`` q-grams, on diagonals (position in
-the document minus position in the piece) that differ by k at most.
+in UTF-8. A piece is any PIECE bytes of a benchmark item, from every byte on (a
+shorter item is one piece), so a quote is found wherever in the item it begins;
+a piece of length m leaks into a document when some region of it is within
+``k = rate * m`` edits. The q-gram lemma bounds what such a region must share:
+at least ``(m - q + 1) - k * q`` q-grams, on diagonals (position in the document
+minus position in the item) that differ by k at most.
 
 1. all q-grams of a document are looked up in the benchmark's q-grams;
-2. (document, piece) pairs with too few hits are dropped;
-3. hits are counted in diagonal bands of width 2 (k + 1) that overlap by half,
-   so some band holds all hits of a region; bands that meet the bound stay;
-4. each region kept is verified by a banded alignment.
+2. (document, item) pairs with too few hits are dropped;
+3. hits are put in diagonal bands of width 2 (k + 1) that overlap by half, so
+   some band holds all hits of a region; where a piece's length of the item has
+   hits enough in a band, the pieces around these hits stay;
+4. the pieces kept are verified by a banded alignment, all of a band at a time.
 
 The benchmark travels to the documents in blocks of bounded size, however large
 it is; the documents are never shuffled.
@@ -75,29 +77,48 @@ def aligned(piece: bytes, region: bytes, low: int, high: int, most: int) -> int
     return min(row)
 
 
+def windows_aligned(item: np.ndarray, at: np.ndarray, m: int, text: np.ndarray, low: int, high: int,
+                    most: int) -> np.ndarray:
+    """For each start in ``at`` the result of ``aligned`` for the ``m`` bytes of
+    ``item`` from there on diagonals ``low`` to ``high`` (text minus item
+    position); ``most + 1`` instead of None."""
+    far, d = most + 1, np.arange(high - low + 1)
+    j = at[:, None] + low + d                      # text read before the first byte
+    row = np.where((j >= 0) & (j <= len(text)), 0, far)
+    for i in range(m):
+        j += 1
+        cost = text[np.clip(j - 1, 0, len(text) - 1)] != item[at + i][:, None]
+        best = np.where(j > 0, row + cost, far)
+        best[:, :-1] = np.minimum(best[:, :-1], row[:, 1:] + 1)
+        inside = (j >= 0) & (j <= len(text))
+        best = np.minimum.accumulate(np.where(inside, best, far) - d, axis=1) + d
+        row = np.where(inside, np.minimum(best, far), far)
+        if row.min() > most:
+            break
+    return row.min(axis=1)
+
+
 class Matcher:
-    """Finds the pieces of one block of the benchmark."""
+    """Finds the items of one block of the benchmark."""
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, rate: float = RATE, piece: int = PIECE):
-        self.q, self.pieces, self.item, self.shift = q, [], [], 2 * piece
-        seen = set()
-        for item_id, text in items:
-            data = normal_form(text)
-            for s in self._starts(len(data), piece):
-                part = data[s:s + piece]
-                if part and (item_id, part) not in seen:
-                    seen.add((item_id, part))
-                    self.pieces.append(part)
-                    self.item.append(item_id)
-        sizes = [len(p) for p in self.pieces]
-        self.edits = np.array([budget(m, q, rate) for m in sizes], np.int64)
-        self.least = np.array([m - q + 1 - k * q for m, k in zip(sizes, self.edits)], np.int64)
-        # pieces shorter than a few q-grams must occur as whole words, exactly
+        self.q, self.texts, self.item = q, [], []
+        for item_id, data in dict.fromkeys((i, normal_form(t)) for i, t in items):
+            if data:
+                self.texts.append(data)
+                self.item.append(item_id)
+        sizes = [len(p) for p in self.texts]
+        self.shift = max(sizes, default=0) + piece
+        self.length = np.minimum(np.array(sizes, np.int64), piece)
+        self.edits = np.array([budget(m, q, rate) for m in self.length.tolist()], np.int64)
+        self.least = self.length - q + 1 - self.edits * q
+        # items shorter than a few q-grams must occur as whole words, exactly
         self.short = [i for i, m in enumerate(sizes) if m < q + LEAST_SHARED]
         self.roller = Roller()
         grams, where, at = [], [], []
-        for i, p in enumerate(self.pieces):
-            if i not in set(self.short):
+        short = set(self.short)
+        for i, p in enumerate(self.texts):
+            if i not in short:
                 g = self.roller.grams(self.roller.prefix(np.frombuffer(p, np.uint8)), q)
                 grams.append(g)
                 where.append(np.full(len(g), i))
@@ -113,13 +134,13 @@ class Matcher:
 
     @staticmethod
     def _starts(n: int, piece: int) -> list[int]:
-        return [0] if n <= piece else [*range(0, n - piece, piece // 2), n - piece]
+        return [*range(max(1, n - piece + 1))]
 
     def find(self, texts: list[bytes]) -> list[dict[int, list[int]]]:
-        """Per text {item id: edits of each piece found}."""
+        """Per text {item id: least edits of each region found}."""
         out: list[dict[int, list[int]]] = [{} for _ in texts]
         for i in self.short:
-            needle = b" " + self.pieces[i] + b" "
+            needle = b" " + self.texts[i] + b" "
             for d, t in enumerate(texts):
                 if needle in b" " + t + b" ":
                     out[d].setdefault(self.item[i], []).append(0)
@@ -137,44 +158,68 @@ class Matcher:
         pos = np.repeat(pos, n)
         doc = np.searchsorted(starts, pos, side="right") - 1
         piece = self.where[post]
-        pair, of, many = np.unique(doc * len(self.pieces) + piece, return_inverse=True, return_counts=True)
-        keep = (many >= self.least[pair % len(self.pieces)])[of]
+        pair, of, many = np.unique(doc * len(self.texts) + piece, return_inverse=True, return_counts=True)
+        keep = (many >= self.least[pair % len(self.texts)])[of]
         pos, doc, piece, at = pos[keep], doc[keep], piece[keep], self.at[post[keep]]
         if not len(pos):
             return out
         k1 = self.edits[piece] + 1
-        band = (pos - starts[doc] - at + self.shift) // k1    # no diagonal is below -piece
-        order = np.lexsort((band, piece, doc))
-        doc, piece, band = doc[order], piece[order], band[order]
+        band = (pos - starts[doc] - at + self.shift) // k1    # no diagonal is below -shift
+        order = np.lexsort((at, band, piece, doc))
+        doc, piece, band, at = doc[order], piece[order], band[order], at[order]
         new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(piece) != 0) | (np.diff(band) != 0)])
         first = np.flatnonzero(new)
-        many = np.diff(np.concatenate([first, [len(doc)]]))
+        ends = np.concatenate([first[1:], [len(doc)]])
         doc, piece, band = doc[first], piece[first], band[first]
         follows = np.concatenate([(doc[1:] == doc[:-1]) & (piece[1:] == piece[:-1]) & (band[1:] == band[:-1] + 1),
                                   [False]])
-        both = many + np.where(follows, np.concatenate([many[1:], [0]]), 0)
-        for i in np.flatnonzero(both >= self.least[piece]).tolist():
-            d, p, k = int(doc[i]), int(piece[i]), int(self.edits[piece[i]])
-            low = int(band[i]) * (k + 1) - self.shift
-            self._verify(texts[d], p, low, low + 2 * (k + 1) - 1, k, out[d])
+        ends = np.where(follows, np.concatenate([ends[1:], [0]]), ends)
+        last = None
+        for i in np.flatnonzero(ends - first >= self.least[piece]).tolist():
+            d, p, b = int(doc[i]), int(piece[i]), int(band[i])
+            low = b * (int(self.edits[p]) + 1) - self.shift
+            edits = self._verify(texts[d], p, low, np.sort(at[first[i]:ends[i]]))
+            if edits is None:
+                continue
+            found = out[d].setdefault(self.item[p], [])
+            if last == (d, p, b - 1):    # the same region in the next band
+                found[-1] = min(found[-1], edits)
+            else:
+                found.append(edits)
+            last = (d, p, b)
         return out
 
-    def _verify(self, text: bytes, p: int, low: int, high: int, k: int, found: dict) -> None:
-        part = self.pieces[p]
-        begin = max(0, low - k)
-        region = text[begin:high + k + len(part) + 1]
-        edits = 0 if part in region else aligned(part, region, low - k - begin, high + k - begin, k)
-        if edits is not None:
-            mine = found.setdefault(self.item[p], [])
-            mine.append(edits)
+    def _verify(self, text: bytes, p: int, low: int, at: np.ndarray) -> int | None:
+        """Least edits of a piece of item ``p`` around the hits ``at`` (sorted
+        item positions) of a band; None if no piece is within its edits."""
+        item, m, k, least = self.texts[p], int(self.length[p]), int(self.edits[p]), int(self.least[p])
+        a, z = at[:len(at) - least + 1], at[least - 1:]
+        near = z - a <= m - self.q               # hits enough for one piece
+        if not near.any():
+            return None
+        # pieces that hold such hits: from z - (m - q) to a
+        edge = np.zeros(len(item) + 2, np.int64)
+        np.add.at(edge, np.maximum(z[near] - (m - self.q), 0), 1)
+        np.add.at(edge, np.minimum(a[near], len(item) - m) + 1, -1)
+        windows = np.flatnonzero(np.cumsum(edge) > 0)
+        low, high = low - k, low + 2 * (k + 1) - 1 + k
+        if len(windows) == 1 and windows[0] == 0:
+            begin = max(0, low)
+            return aligned(item[:m], text[begin:high + m + 1], low - begin, high - begin, k)
+        data, mine, best = np.frombuffer(text, np.uint8), np.frombuffer(item, np.uint8), k + 1
+        for w in range(0, len(windows), 1024):
+            best = min(best, int(windows_aligned(mine, windows[w:w + 1024], m, data, low, high, k).min()))
+            if best == 0:
+                break
+        return best if best <= k else None
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
                        item_text_col: str = "text", q: int = Q, rate: float = RATE, piece: int = PIECE,
                        block_bytes: int = BLOCK_BYTES, name: str = "contamination") -> DataFrame:
     """``docs`` with ``name array<struct<item_id, pieces, edits>>`` added: the
-    benchmark items of which pieces leak into the text, how many regions of
-    pieces were found and the least edits of one, by item id.
+    benchmark items of which pieces leak into the text, in how many regions
+    (bands of diagonals) and the least edits of a piece, by item id.
 
     Null and empty texts match nothing and neither do items without letters or
     digits; items that fit into ``q`` and a few more letters match only as

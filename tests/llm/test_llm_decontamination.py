@@ -70,3 +70,22 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.drop_contaminated(docs(spark, AWKWARD), none).count() == len(AWKWARD)
     assert D.mark_contamination(docs(spark, []), none).count() == 0
+
+
+def test_quotes_at_every_offset():
+    """Against the whole table, without a stride: verbatim and edited quotes."""
+    rng = random.Random(11)
+    item = " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9))) for _ in range(55))[:300].strip()
+    data = D.normal_form(item)
+    other = "completely different words about rivers and mountains "
+    matcher = D.Matcher([(7, item)])
+    for size in (75, 86, 88, 96, 100, 110):
+        quotes = [data[s:s + size].decode() for s in range(0, len(data) - size + 1, 7)]
+        texts = [D.normal_form(other + q + " " + other) for q in quotes]
+        edited = [t.replace(t[80:83], b"q") for t in texts] if size > 96 else []
+        for t, found in zip(texts + edited, matcher.find(texts + edited)):
+            want = min(edits(data[s:s + D.PIECE], t) for s in range(len(data) - D.PIECE + 1)) if size in (86, 88) else None
+            if want is None:
+                assert bool(found) == (size > 88), (size, t)
+            else:
+                assert (found[7][0] if found else None) == (want if want <= D.budget(D.PIECE) else None)
