@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,15 +72,9 @@ def weak_spans(text: str, base: list) -> list[tuple[int, int, str, int]]:
                                       and entropy(s) >= MIN_ENTROPY):
                 continue
             found.append((m.start(), rank, kind, m.end()))
-    out, i = [], 0
-    reach = 0   # both lists are sorted by start: one sweep finds overlaps
-    for span in sorted(found):
-        while i < len(base) and base[i][0] < span[3]:
-            reach = max(reach, base[i][3])
-            i += 1
-        if reach <= span[0]:
-            out.append(span)
-    return out
+    starts = [b[0] for b in base]
+    reach = list(accumulate((b[3] for b in base), max, initial=0))   # the furthest end of the first bases
+    return [span for span in sorted(found) if reach[bisect_left(starts, span[3])] <= span[0]]
 
 
 def _scan(batches):

@@ -1,7 +1,7 @@
 import re
 
 from llm_data import AWKWARD, docs
-from seqlab.llm.secrets import base_spans, scan_secrets
+from seqlab.llm.secrets import base_spans, scan_secrets, weak_spans
 
 
 def brute(text):
@@ -54,3 +54,11 @@ def test_awkward_rows_and_empty_table(spark):
     got = found(spark, AWKWARD)
     assert len(got) == len(AWKWARD) and all(not b and not l for _, b, l in got)
     assert found(spark, []) == []
+
+
+def test_a_weak_part_nested_before_a_format_match_stays():
+    text = f"https://host/{KEY}?token=abcdefghijkl"
+    at = text.index(KEY)
+    found = weak_spans(text, base_spans(text))   # the endpoint covers the format match, the key does not
+    assert [(s, k, e) for s, _, k, e in found if s <= at and e >= at + len(KEY)] and all(
+        e <= text.index("token") and k == "key" for s, _, k, e in found)
