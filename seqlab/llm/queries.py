@@ -146,3 +146,31 @@ def op2(spark, sf_dir):
     from seqlab.llm.embeddings import link_embeddings
     return link_embeddings(table(spark, sf_dir, "embeddings")).withColumn(
         "kept", F.col("vec_id") == F.col("component_id"))
+
+
+@register("op12_infill_swar")
+def op12(spark, sf_dir):
+    """One row per document: its form, cuts and digests of output and rebuilt text."""
+    from seqlab.llm.infill import fill_in_middle, rebuilt
+    cut = fill_in_middle(documents(spark, sf_dir))
+    return cut.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(rebuilt(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+ORACLE["op12_infill_swar"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h FROM documents),
+g AS (SELECT doc_id, t, length(t) AS n, list_transform(range(4), lambda i: CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT)) AS h
+      FROM d),
+c AS (SELECT doc_id, t, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS z,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90
+                  THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+p AS (SELECT doc_id, t, n, a, z, form, substring(t, 1, a) AS prefix, substring(t, a + 1, z - a) AS middle,
+             substring(t, z + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN z - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
