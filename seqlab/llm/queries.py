@@ -174,3 +174,50 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
        sha256(t) AS restored_sha256
 FROM p
 """
+
+
+@register("op11_centroids_simplex")
+def op11(spark, sf_dir):
+    """One row per vector: its cluster, the squared distance to the cluster's
+    final centroid, and the centroid's digest and sums."""
+    from seqlab.llm.clustering import centroid_clusters, centroid_digest
+    assigned, centroids = centroid_clusters(table(spark, sf_dir, "embeddings"))
+    total = sum(c["inertia"] for c in centroids)
+    rows = spark.createDataFrame([(c["cluster"], c["inertia"], total, centroid_digest(c["vector"])) for c in centroids],
+                                 "cluster int, cluster_inertia bigint, inertia bigint, centroid_sha256 string")
+    return assigned.join(F.broadcast(rows), "cluster").select(      # 40 rows
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _lloyd_rounds(rounds: int) -> str:
+    parts = []
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT id, x, m.c AS c, m.d AS d FROM (
+    SELECT p.id, any_value(p.x) AS x, min({{'d': list_sum(list_transform(list_zip(p.x, c.x), lambda t: (t[1] - t[2]) * (t[1] - t[2])))
+           ::BIGINT, 'c': c.c}}) AS m FROM p CROSS JOIN c{i} c GROUP BY p.id))""")
+        if i < rounds:
+            parts.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(n.x, c.x) AS x FROM c{i} c LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS x FROM (
+      SELECT c, j, sum(v)::BIGINT AS s, count(*) AS n
+      FROM (SELECT c, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM a{i}) GROUP BY c, j)
+    GROUP BY c) n ON n.c = c.c)""")
+    return ",".join(parts)
+
+
+ORACLE["op11_centroids_simplex"] = f"""
+WITH p AS MATERIALIZED (
+  SELECT vec_id AS id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, x
+  FROM (SELECT sha256('2:' || id) AS h, x FROM p ORDER BY h LIMIT 40)),
+{_lloyd_rounds(5)}
+SELECT id AS vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(f.x, lambda e: e::VARCHAR), ',')) AS centroid_sha256
+FROM a5 a JOIN c5 f ON f.c = a.c
+"""
