@@ -11,8 +11,8 @@ with is decided by bounds.
    distance of the vectors lies between the root of ``|y - y'|^2 + (h - h')^2``
    and that of ``|y - y'|^2 + (h + h')^2``.
 3. In each round the centroids (a table of fixed size) get apexes too. A
-   centroid whose lower bound exceeds the least upper bound is dropped; the rest
-   are compared by their squared distances in 64-bit integers, ties to the
+   centroid whose lower bound exceeds the least upper bound, or the distance of
+   the centroid with the least lower bound, is dropped; the rest are compared by their squared distances in 64-bit integers, ties to the
    smaller number. Bounds are widened by SLACK of their scale, far above what
    rounding can do.
 4. Tasks send one sum per cluster and component; means are floors of exact
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from seqlab.llm.common import saved
 
-PIVOTS = 16
+PIVOTS = 40
 SPREAD = 0.3            # least altitude of a pivot over those before it, relative to its distance
 SLACK = 1e-4
 BOUND = 1 << 27         # components below it: squared distances fit 64 bits
@@ -77,7 +77,9 @@ def nearest(vectors: np.ndarray, apexes: np.ndarray, centroids: np.ndarray, cent
     lower = a + c - 2 * apexes @ centroid_apexes.T
     upper = lower + 4 * apexes[:, -1:] * centroid_apexes[:, -1][None]
     slack = SLACK * (a + c)
-    row, number = np.nonzero(lower - slack <= (upper + slack).min(axis=1, keepdims=True))
+    likely = vectors - centroids[lower.argmin(axis=1)]               # its exact distance is an upper bound too
+    most = np.minimum((upper + slack).min(axis=1), np.einsum("ij,ij->i", likely, likely))
+    row, number = np.nonzero(lower - slack <= most[:, None])
     squared = np.empty(len(row), np.int64)
     for i in range(0, len(row), _PAIRS):
         apart = vectors[row[i:i + _PAIRS]] - centroids[number[i:i + _PAIRS]]

@@ -48,7 +48,7 @@ def clusters(seed, n, dims, spread):
             for i in range(n)]
 
 
-@pytest.mark.parametrize("dims,spread,pivots", [(3, 0.3, 16), (12, 1.0, 4), (64, 0.2, 16), (5, 0.0, 2), (4, 0.5, 1)])
+@pytest.mark.parametrize("dims,spread,pivots", [(3, 0.3, 16), (12, 1.0, 4), (64, 0.2, 40), (5, 0.0, 2), (4, 0.5, 1)])
 def test_equals_brute_force(spark, dims, spread, pivots):
     rows = clusters(dims, 260, dims, spread)
     assert found(spark, rows, 12, 5, dims, pivots=pivots) == brute(rows, 12, 5, dims)
