@@ -221,3 +221,14 @@ SELECT id AS vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance,
        sha256(array_to_string(list_transform(f.x, lambda e: e::VARCHAR), ',')) AS centroid_sha256
 FROM a5 a JOIN c5 f ON f.c = a.c
 """
+
+
+@register("op13_deleted_interpolation")
+def op13(spark, sf_dir):
+    """One row per document: its tokens and its log10 probability by the add-half
+    unigram model and by the interpolated one."""
+    from seqlab.llm.language_model import TUNE_EVERY, fold, score_texts
+    scored, model = score_texts(documents(spark, sf_dir), train=fold("doc_id", 5) != 1,
+                                tune=fold("doc_id", TUNE_EVERY, skip=5) == 0)
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
