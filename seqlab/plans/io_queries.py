@@ -18,6 +18,7 @@ from seqlab.plans import standins as S
 from seqlab.plans.queries import register
 from seqlab.plans.trajectories import hourly_trajectories
 from seqlab.sources import readers as A
+from seqlab.sources.lookup import lookup_sequences
 from seqlab.functions.columns import parse_time_millis, parse_time_ntz
 
 TS_TEXT = "dd/MM/yyyy HH:mm:ss"
@@ -164,6 +165,19 @@ def q_save_and_reload_sequences(spark, sf_dir):
     return A.load_sequences(spark, path)
 
 
+@register("lookup_sequences")
+def q_lookup_sequences(spark, sf_dir):
+    """The longest trajectory of each event type, looked up by its id in the
+    saved sequences; only the files that can hold these ids are opened."""
+    traj = hourly_trajectories(S.vessel_positions(spark, sf_dir))
+    path = A.scratch_path(spark, "lookup")
+    A.save_sequences(traj, path, "mmsi", "step", num_files=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    longest = A.load_sequences(spark, path).groupBy(F.substring_index("mmsi", "-", -1)).agg(
+        F.max(F.struct("seq_len", "mmsi"))["mmsi"].alias("mmsi"))
+    ids = [r["mmsi"] for r in longest.collect()]        # one per event type
+    return lookup_sequences(spark, path, ids, "mmsi", "step")
+
+
 @register("scan_csv_bad_cells")
 def q_scan_csv_bad_cells(spark, sf_dir):
     """A2: unreadable cells per column when the vessel status is declared a number."""

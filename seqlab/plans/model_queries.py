@@ -15,8 +15,12 @@ from pyspark.sql import functions as F
 from seqlab.operators import evaluation as K
 from seqlab.operators import models as M
 from seqlab.operators import ranking, scoring, splits
+from seqlab.operators.kept_state import advance, forecast, save_states, smoothing_step
+from seqlab.operators.recurrence import decayed_features, last_states
+from seqlab.operators.stencil import fit_stencil, patch_gram, stencil_step
 from seqlab.plans import standins as S
 from seqlab.session import saved
+from seqlab.sources.readers import scratch_path
 from seqlab.plans.queries import daily_grid, grid_truth, q_positional_zip, register, warm_days
 
 
@@ -148,6 +152,83 @@ def q_train_forecaster(spark, sf_dir):
         "cell", "n", (F.col("rse") <= 1.1).alias("near_mean"))
 
 
+def _grid_pairs(spark, sf_dir) -> DataFrame:
+    """Embeddings as 8 x 8 grids in id order: a grid and the next one."""
+    emb = S.table(spark, sf_dir, "embeddings")
+    x = F.transform("embedding", lambda v: v.cast("double"))
+    return emb.select("vec_id", x.alias("x")).join(emb.select((F.col("vec_id") - 1).alias("vec_id"), x.alias("y")), "vec_id")
+
+
+@register("stencil_gram")
+def q_stencil_gram(spark, sf_dir):
+    """I6 with neighbourhoods: mean products of the 3x3 patches (and a constant)
+    with each other and with the next value, over all cells of all grids."""
+    g = patch_gram(_grid_pairs(spark, sf_dir), "x", "y", 8, 8)
+    return g.select("kind", "i", "j", F.round("value", 6).alias("value"))
+
+
+@register("train_stencil_forecaster")
+def q_train_stencil_forecaster(spark, sf_dir):
+    """I6 + J3 + K8 with a shared 3x3 stencil: fitted on 80% of the grid pairs (by
+    id hash), one step forecast on the rest, errors per cell."""
+    train, test = _held_out(_grid_pairs(spark, sf_dir), "vec_id")
+    stencil, bias = fit_stencil(train, "x", "y", 8, 8)
+    cells = [f"c{i}" for i in range(64)]
+    grids = test.select("vec_id", F.lit(0).alias("step"), *[F.col("x")[i].alias(c) for i, c in enumerate(cells)])
+    fc = scoring.rollout(grids, "vec_id", "step", cells, stencil_step(stencil, bias, 8, 8), horizon=1, offset=0)
+    truth = test.select("vec_id", F.posexplode("y").alias("cell", "truth"))
+    return K.regression_metrics(fc.join(truth, ["vec_id", "cell"]), "cell", "truth", "prediction")
+
+
+RATES = [2 / 3, 6 / 7]
+
+
+def _recurrent(spark, sf_dir) -> DataFrame:
+    steps = _conv_steps(spark, sf_dir)
+    return decayed_features(steps, "seq_id", "step", ["value", "blanks"], RATES,
+                            gate=F.least(F.lit(1.0), F.col("value") / 1.001))
+
+
+@register("recurrent_state")
+def q_recurrent_state(spark, sf_dir):
+    """Recurrent state per step of two values, at two fixed rates and with a
+    gate that opens with the text's length."""
+    out = _recurrent(spark, sf_dir)
+    return out.select("seq_id", "step", *[F.round(f"{v}_{k}", 6).alias(f"{v}_{k}")
+                                          for v in ("value", "blanks") for k in ("r0", "r1", "gate")])
+
+
+@register("train_recurrent_classifier")
+def q_train_recurrent_classifier(spark, sf_dir):
+    """I3 on recurrent state: the last step's state per sequence -> logistic
+    regression, labelled by whether the last turn is the assistant's; class and
+    probability of the held-out sequences."""
+    feats = _recurrent(spark, sf_dir)
+    cols = [f"{v}_{k}" for v in ("value", "blanks") for k in ("r0", "r1", "gate")]
+    last = last_states(feats, "seq_id", "step", [*cols, "assistant"])
+    data = last.withColumn("y", F.col("assistant").cast("int"))
+    train, test = _held_out(data, "seq_id")
+    model = M.fit_sequence_classifier(train, "y", cols)
+    return M.predict_classes(model, test, cols).select("seq_id", "y", "yhat", "p1")
+
+
+SMOOTHING = (0.8, 0.9, 1.5)
+
+
+@register("rollout_resumed")
+def q_rollout_resumed(spark, sf_dir):
+    """J3 with kept state: half of the warm-up, its states saved, the whole warm-up
+    fed to them again (what they have seen is skipped), saved, and forecast."""
+    grid, cells, days = daily_grid(spark, sf_dir)
+    warm, step = warm_days(days), smoothing_step(*SMOOTHING)
+    path = scratch_path(spark, "rollout-states")
+    feed = lambda until, kept: advance(grid.where(F.col("day") < until), "user_id", "day", cells, step, kept)
+    half = save_states(feed(warm // 2, None), path, 1)
+    whole = save_states(feed(warm, half), path, 2)
+    return forecast(whole, "user_id", step, days - warm).select(
+        "user_id", "k", "cell", F.round("prediction", 6).alias("prediction"))
+
+
 @register("score_history")
 def q_score_history(spark, sf_dir):
     """The objective per iteration of a multinomial logistic regression never

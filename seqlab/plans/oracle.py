@@ -530,6 +530,54 @@ ORACLE["train_reconstruction"] = "SELECT vec_id AS id, label, true AS closer_tha
 
 ORACLE["train_forecaster"] = f"SELECT cell, count(*) AS n, true AS near_mean FROM ({TRUTH}) GROUP BY cell"
 
+ORACLE["lookup_sequences"] = f"""
+  WITH t AS ({TRAJ}),
+  w AS (SELECT max({{'n': seq_len, 'm': mmsi}}).m AS mmsi FROM t GROUP BY string_split(mmsi, '-')[-1])
+  SELECT t.* FROM t JOIN w ON t.mmsi = w.mmsi"""
+
+ORACLE["stencil_gram"] = """
+  WITH e AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings),
+  p AS (SELECT a.vec_id, a.x, b.x AS y FROM e a JOIN e b ON b.vec_id = a.vec_id + 1),
+  c AS (SELECT x, y, unnest(range(64)) AS cell FROM p),
+  t AS (SELECT y[cell + 1] AS target, list_concat(list_transform(range(9), lambda o:
+               CASE WHEN cell // 8 + o // 3 - 1 BETWEEN 0 AND 7 AND cell % 8 + o % 3 - 1 BETWEEN 0 AND 7
+                    THEN x[CAST(cell + 8 * (o // 3 - 1) + o % 3 - 1 + 1 AS BIGINT)] ELSE 0.0 END), [1.0::DOUBLE]) AS f FROM c),
+  i AS (SELECT target, f, CAST(unnest(range(10)) AS INTEGER) AS i FROM t)
+  SELECT 'xx' AS kind, i, CAST(j AS INTEGER) AS j, round(avg(f[i + 1] * f[j + 1]), 6) AS value
+  FROM (SELECT f, i, unnest(range(10)) AS j FROM i) GROUP BY i, j
+  UNION ALL SELECT 'xy', i, 0, round(avg(f[i + 1] * target), 6) FROM i GROUP BY i"""
+
+ORACLE["recurrent_state"] = """
+  WITH RECURSIVE s AS (
+    SELECT conv_id AS seq_id, turn AS step, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n,
+           length(text) / 1000.0::DOUBLE AS v, CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS b,
+           least(1.0::DOUBLE, length(text) / 1000.0::DOUBLE / 1.001::DOUBLE) AS g FROM conversations),
+  r AS (
+    SELECT seq_id, step, n, (1 - 2 / 3::DOUBLE) * v AS v0, (1 - 6 / 7::DOUBLE) * v AS v1, g * v AS vg,
+           (1 - 2 / 3::DOUBLE) * b AS b0, (1 - 6 / 7::DOUBLE) * b AS b1, g * b AS bg FROM s WHERE n = 1
+    UNION ALL
+    SELECT s.seq_id, s.step, s.n, 2 / 3::DOUBLE * r.v0 + (1 - 2 / 3::DOUBLE) * s.v, 6 / 7::DOUBLE * r.v1 + (1 - 6 / 7::DOUBLE) * s.v,
+           (1 - s.g) * r.vg + s.g * s.v, 2 / 3::DOUBLE * r.b0 + (1 - 2 / 3::DOUBLE) * s.b,
+           6 / 7::DOUBLE * r.b1 + (1 - 6 / 7::DOUBLE) * s.b, (1 - s.g) * r.bg + s.g * s.b
+    FROM r JOIN s ON s.seq_id = r.seq_id AND s.n = r.n + 1)
+  SELECT seq_id, step, round(v0, 6) AS value_r0, round(v1, 6) AS value_r1, round(vg, 6) AS value_gate,
+         round(b0, 6) AS blanks_r0, round(b1, 6) AS blanks_r1, round(bg, 6) AS blanks_gate FROM r"""
+
+ORACLE["rollout_resumed"] = f"""
+  WITH RECURSIVE d AS MATERIALIZED ({DAILY}),
+  size AS MATERIALIZED (SELECT {WARM} AS warm, {DAYS} AS days),
+  r AS (
+    SELECT user_id, cell, 0::BIGINT AS n, (1 - 0.8::DOUBLE) * v AS s, 0.9::DOUBLE * ((1 - 0.8::DOUBLE) * v) + 1.5 AS y
+    FROM d WHERE day = 0
+    UNION ALL
+    SELECT user_id, cell, n, s, 0.9::DOUBLE * s + 1.5 AS y FROM (
+      SELECT r.user_id, r.cell, r.n + 1 AS n, (1 - 0.8::DOUBLE) * CASE WHEN r.n + 1 < warm THEN d.v ELSE r.y END
+             + 0.8::DOUBLE * r.s AS s
+      FROM r JOIN d ON d.user_id = r.user_id AND d.cell = r.cell AND d.day = r.n + 1, size WHERE r.n + 1 < days + 1)
+  ),
+  f AS (SELECT r.*, warm FROM r, size)
+  SELECT user_id, n - warm AS k, cell, round(y, 6) AS prediction FROM f WHERE n >= warm"""
+
 ORACLE["score_history"] = """
   SELECT count(*) AS rows, true AS never_rises, true AS falls, true AS within_limit FROM embeddings"""
 
