@@ -1,16 +1,19 @@
 """Registered queries for the model tasks (I1-I7) and their scoring.
 
 Fits are Spark ML jobs over whole tables. Solver output cannot be written in
-SQL, so each query fits on the training rows, scores the held-out ones and
-returns what SQL can state about them: the rows scored, their labels, and
-whether the model does better than the best answer that ignores the features.
+SQL. The ``train_*`` queries fit on the training rows, score the held-out ones
+and return what SQL can state about them: the rows scored, their labels, and
+whether the model does better than an answer that ignores the features. The
+queries of values return classes, probabilities, losses and metrics for the
+tables' own labels; tests replay the fitted coefficients on them.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from seqlab.operators import evaluation as K
 from seqlab.operators import models as M
@@ -24,13 +27,21 @@ from seqlab.sources.readers import scratch_path
 from seqlab.plans.queries import daily_grid, grid_truth, q_positional_zip, register, warm_days
 
 
-def _with_verdict(scored: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFrame:
-    """``scored`` with ``beats_majority``: more rows are right than the most
-    frequent label would get right (one small aggregate, one row)."""
-    conf = K.confusion(scored, y, yhat)
-    right = conf.agg(F.sum(F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(0))).first()[0] or 0
-    most = conf.groupBy("y").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
-    return scored.withColumn("beats_majority", F.lit(bool(right > most)))
+def _log_loss(probabilities, y) -> Column:
+    """Negative log probability of the true class, bounded away from infinity."""
+    return -F.log(F.greatest(F.get(probabilities, y), F.lit(1e-15)))
+
+
+def _with_verdict(scored: DataFrame, train: DataFrame, y: str = "y") -> DataFrame:
+    """``scored`` (with ``loss``) and ``beats_frequencies``: the mean log loss is
+    below that of giving every row the label frequencies of ``train`` (two small
+    aggregates). Holds for any number of rows, also of one label."""
+    freq = train.groupBy(F.col(y).alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    total = freq.agg(F.sum("n")).first()[0] or 1
+    prior = freq.select("y", (-F.log(F.col("n") / total)).alias("prior"))      # one row per label
+    means = scored.join(F.broadcast(prior), "y", "left").agg(
+        F.avg("loss"), F.avg(F.coalesce("prior", -F.log(F.lit(1e-15))))).first()
+    return scored.withColumn("beats_frequencies", F.lit(means[0] is None or bool(means[0] < means[1])))
 
 
 def _held_out(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -38,6 +49,12 @@ def _held_out(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     return parts.where("split = 'train'").drop("split"), parts.where("split = 'test'").drop("split")
 
 
+def _losses(model, df: DataFrame, features) -> DataFrame:
+    """J1 with ``yhat``, ``scores`` (probabilities by class) and ``loss``."""
+    out = M.predict_classes(model, df, features).withColumn("scores", vector_to_array("probability"))
+    return out.withColumn("loss", _log_loss(F.col("scores"), F.col("y").cast("int")))
+
+
 def _vectors(spark, sf_dir) -> DataFrame:
     """All 64 cells; the class is the sign pattern of the first two."""
     x = F.transform("embedding", lambda v: v.cast("double"))
@@ -51,7 +68,7 @@ def q_train_vector_classifier(spark, sf_dir):
     """I1 + J1: MLP 64-16-4 fitted on 80% of the vectors (by id hash), scored on the rest."""
     train, test = _held_out(_vectors(spark, sf_dir), "id")
     model = M.fit_vector_classifier(train, "x", "y", 4, hidden=16, seed=123, max_iter=40)
-    return _with_verdict(M.predict_classes(model, test, "x").select("id", "y", "yhat")).drop("yhat")
+    return _with_verdict(_losses(model, test, "x").select("id", "y", "loss"), train).drop("loss")
 
 
 @register("train_fused_classifier")
@@ -62,7 +79,7 @@ def q_train_fused_classifier(spark, sf_dir):
     feats = [f"f{i}" for i in range(1, 16)]
     train, test = _held_out(z, "row_no")
     model = M.fit_fused_classifier(train, feats, "y", hidden=8, seed=123, max_iter=60)
-    return _with_verdict(M.predict_classes(model, test, feats).select("row_no", "y", "yhat")).drop("yhat")
+    return _with_verdict(_losses(model, test, feats).select("row_no", "y", "loss"), train).drop("loss")
 
 
 def _conv_steps(spark, sf_dir):
@@ -85,7 +102,7 @@ def q_train_sequence_classifier(spark, sf_dir):
     cols = [c for c in feats.columns if c != "seq_id"]
     train, test = _held_out(feats.join(lab, "seq_id"), "seq_id")
     model = M.fit_sequence_classifier(train, "y", cols)
-    return _with_verdict(M.predict_classes(model, test, cols).select("seq_id", "y", "yhat")).drop("yhat")
+    return _with_verdict(_losses(model, test, cols).select("seq_id", "y", "loss"), train).drop("loss")
 
 
 @register("train_multitask")
@@ -240,6 +257,117 @@ def q_score_history(spark, sf_dir):
                     F.lit(loss[-1] < loss[0]).alias("falls"), F.lit(1 < len(loss) <= 21).alias("within_limit"))
 
 
+# ------------------------------------------ values of the models ----
+def _labelled_vectors(spark, sf_dir) -> DataFrame:
+    x = F.transform("embedding", lambda v: v.cast("double"))
+    return S.table(spark, sf_dir, "embeddings").where("label IS NOT NULL").select(
+        F.col("vec_id").alias("id"), x.alias("x"), F.col("label").cast("int").alias("y"))
+
+
+@register("vector_classifier_scores")
+def q_vector_classifier_scores(spark, sf_dir):
+    """I1 + J1 with the table's own labels: class, its probability and log loss of
+    every held-out vector."""
+    data = _labelled_vectors(spark, sf_dir)
+    train, test = _held_out(data, "id")
+    classes = (data.agg(F.max("y")).first()[0] or 0) + 1
+    model = M.fit_vector_classifier(train, "x", "y", classes, hidden=None, max_iter=40)
+    return _losses(model, test, "x").select("id", "y", "yhat", F.array_max("scores").alias("p"), "loss")
+
+
+@register("vector_classifier_report")
+def q_vector_classifier_report(spark, sf_dir):
+    """I1 + K2 + K5: accuracy, macro precision, recall and F1 of the held-out
+    vectors, and the one-vs-all AUC of each class."""
+    data = _labelled_vectors(spark, sf_dir)
+    train, test = _held_out(data, "id")
+    classes = (data.agg(F.max("y")).first()[0] or 0) + 1
+    model = M.fit_vector_classifier(train, "x", "y", classes, hidden=None, max_iter=40)
+    scored = saved(_losses(model, test, "x").select("id", "y", "yhat", "scores"), "report")
+    metrics = K.classification_metrics(scored)
+    long = metrics.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+                                              for c in metrics.columns])).alias("m")).select("m.*")
+    auc = K.auc_one_vs_all(scored, "y", "scores")
+    return long.unionByName(auc.select(F.concat(F.lit("auc_"), F.col("cls").cast("string")).alias("metric"),
+                                       F.col("auc").alias("value")))
+
+
+@register("fused_classifier_scores")
+def q_fused_classifier_scores(spark, sf_dir):
+    """I2 + J1: five zipped readers -> MLP 15-8-2 for the reader's own label (a
+    purchase); class and probability of every held-out row."""
+    z = saved(q_positional_zip(spark, sf_dir).withColumnRenamed("label", "y"), "fused")
+    feats = [f"f{i}" for i in range(1, 16)]
+    train, test = _held_out(z, "row_no")
+    model = M.fit_fused_classifier(train, feats, "y", hidden=8, seed=123, max_iter=40)
+    return _losses(model, test, feats).select("row_no", "y", "yhat", "p1", "loss")
+
+
+def _next_turns(spark, sf_dir) -> DataFrame:
+    """Steps with two targets that are no features: whether the assistant speaks
+    next, and whether the conversation ends here."""
+    nxt = Window.partitionBy("seq_id").orderBy("step")      # turns of one conversation
+    steps = _conv_steps(spark, sf_dir).drop("y1", "y2")
+    after = F.lead("assistant").over(nxt)
+    return steps.withColumns({"y1": F.coalesce(after, F.lit(0.0)).cast("int"), "y2": after.isNull().cast("int")})
+
+
+@register("multitask_scores")
+def q_multitask_scores(spark, sf_dir):
+    """I4 + J1 + K7: one classifier per target over trailing and recurrent features;
+    probability of every step of the held-out sequences, per target."""
+    steps, values = _next_turns(spark, sf_dir), ["value", "blanks", "assistant"]
+    feats = M.trailing_features(steps, "seq_id", "step", values)
+    feats = decayed_features(feats, "seq_id", "step", values, RATES)
+    cols = values + [f"{c}_{k}" for c in values for k in ("mean", "rms", "r0", "r1")] + ["step_f"]
+    train, test = _held_out(feats, "seq_id")
+    models = M.fit_multitask(train, cols, ["y1", "y2"])
+    scored = M.as_vector(test, cols)
+    for t, m in models.items():
+        scored = m.transform(scored).withColumn(f"{t}_p", F.element_at(vector_to_array(f"{t}_prob"), 2))
+    return scored.select("seq_id", "step", F.explode(F.array(*[
+        F.struct(F.lit(t).alias("target"), F.col(t).alias("y"), F.col(f"{t}_p").alias("p1")) for t in models
+    ])).alias("t")).select("seq_id", "step", "t.*")
+
+
+@register("multitask_auc")
+def q_multitask_auc(spark, sf_dir):
+    """I4 + K3: exact AUC of both targets on the held-out sequences."""
+    return K.auc_exact(q_multitask_scores(spark, sf_dir), "y", "p1", by=["target"])
+
+
+@register("reconstruction_errors")
+def q_reconstruction_errors(spark, sf_dir):
+    """I5 + J2: mean squared error of every vector against its reconstruction from
+    ten components, and that against the mean vector."""
+    emb = S.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.transform("embedding", lambda v: v.cast("double")).alias("x"), "label")
+    scored = M.reconstruction_errors(M.fit_reconstruction(emb, "x", k=10), emb, "x")
+    centred = vector_to_array("centered")
+    around_mean = F.aggregate(centred, F.lit(0.0), lambda t, v: t + v * v) / F.size(centred)
+    return scored.select("id", "label", "score", around_mean.alias("around_mean"))
+
+
+@register("forecaster_errors")
+def q_forecaster_errors(spark, sf_dir):
+    """I6 + J3 + K8: the fitted forecaster's regression metrics per cell."""
+    grid, cells, days = daily_grid(spark, sf_dir)
+    warm = warm_days(days)
+    weights, bias = M.fit_forecaster(M.lagged_pairs(grid.where(F.col("day") < warm), "user_id", "day", cells), cells)
+    fc = scoring.rollout(grid, "user_id", "day", cells, scoring.linear_step(weights, bias),
+                         horizon=days - warm, offset=1, start=0, length=warm)
+    return K.regression_metrics(fc.join(grid_truth(grid, cells, days), ["user_id", "k", "cell"]), "cell", "truth", "prediction")
+
+
+@register("loss_history")
+def q_loss_history(spark, sf_dir):
+    """The objective of the vector classifier at every iteration."""
+    data = _labelled_vectors(spark, sf_dir)
+    classes = (data.agg(F.max("y")).first()[0] or 0) + 1
+    model = M.fit_vector_classifier(data, "x", "y", classes, hidden=None, max_iter=20)
+    return spark.createDataFrame(M.score_history(model, every=1), "iteration int, loss double")   # one row per iteration
+
+
 @register("anomaly_ranking")
 def q_anomaly_ranking(spark, sf_dir):
     """I5 + J2 + F3: reconstruction error per row, best and worst 5 per label."""

@@ -508,16 +508,16 @@ _TEST = "CAST(('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8)) AS BIGINT) % 100
 
 ORACLE["train_vector_classifier"] = f"""
   SELECT vec_id AS id, CAST(embedding[1] > 0 AS INTEGER) + 2 * CAST(embedding[2] > 0 AS INTEGER) AS y,
-         true AS beats_majority FROM embeddings WHERE {_TEST.format('vec_id')}"""
+         true AS beats_frequencies FROM embeddings WHERE {_TEST.format('vec_id')}"""
 
 ORACLE["train_fused_classifier"] = f"""
-  SELECT row_no, y, true AS beats_majority
+  SELECT row_no, y, true AS beats_frequencies
   FROM (SELECT CAST(row_number() OVER (ORDER BY event_id) - 1 AS BIGINT) AS row_no,
                CAST(hour(ts) >= 12 AS INTEGER) AS y FROM events)
   WHERE {_TEST.format('row_no')}"""
 
 ORACLE["train_sequence_classifier"] = f"""
-  SELECT conv_id AS seq_id, CAST(max(turn) >= 4 AS INTEGER) AS y, true AS beats_majority
+  SELECT conv_id AS seq_id, CAST(max(turn) >= 4 AS INTEGER) AS y, true AS beats_frequencies
   FROM conversations WHERE {_TEST.format('conv_id')} GROUP BY conv_id"""
 
 ORACLE["train_multitask"] = f"""
