@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from seqlab.operators import evaluation as K
 from seqlab.operators import models as M
 from seqlab.operators import ranking, scoring, splits
+from seqlab.operators.bottleneck import bottleneck_errors, principal_directions
 from seqlab.operators.kept_state import advance, forecast, save_states, smoothing_step
 from seqlab.operators.recurrence import decayed_features, last_states
 from seqlab.operators.stencil import fit_stencil, patch_gram, stencil_step
@@ -67,7 +68,7 @@ def _vectors(spark, sf_dir) -> DataFrame:
 def q_train_vector_classifier(spark, sf_dir):
     """I1 + J1: MLP 64-16-4 fitted on 80% of the vectors (by id hash), scored on the rest."""
     train, test = _held_out(_vectors(spark, sf_dir), "id")
-    model = M.fit_vector_classifier(train, "x", "y", 4, hidden=16, seed=123, max_iter=40)
+    model = M.fit_vector_classifier(train, "x", "y", 4, hidden=16, seed=123, max_iter=20)
     return _with_verdict(_losses(model, test, "x").select("id", "y", "loss"), train).drop("loss")
 
 
@@ -348,6 +349,15 @@ def q_reconstruction_errors(spark, sf_dir):
     return scored.select("id", "label", "score", around_mean.alias("around_mean"))
 
 
+@register("bottleneck_errors")
+def q_bottleneck_errors(spark, sf_dir):
+    """I5 + J2 by the range finder: mean squared error of every vector against its
+    reconstruction from ten components."""
+    emb = S.table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    mean, components, _ = principal_directions(emb, "embedding", k=10)
+    return bottleneck_errors(emb, "embedding", mean, components).select(F.col("vec_id").alias("id"), "label", "score")
+
+
 @register("forecaster_errors")
 def q_forecaster_errors(spark, sf_dir):
     """I6 + J3 + K8: the fitted forecaster's regression metrics per cell."""
