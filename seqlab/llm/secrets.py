@@ -41,6 +41,8 @@ WEAK = (
 )
 # which partners make a weak candidate worth reporting
 PARTNERS = {"identifier": ("key",), "key": ("identifier", "endpoint"), "endpoint": ("key",)}
+# a run of a key that is no word: long enough, with digits and letters
+_RUN = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z]).{16,}")
 SCOPE = 200
 MIN_ENTROPY = 3.5
 _SPAN = "struct<start:int,rank:int,kind:string,end:int>"
@@ -68,8 +70,7 @@ def weak_spans(text: str, base: list) -> list[tuple[int, int, str, int]]:
     for rank, (kind, pattern) in enumerate(WEAK, len(BASE)):
         for m in pattern.finditer(text):
             s = m.group()
-            if kind == "key" and not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)
-                                      and entropy(s) >= MIN_ENTROPY):
+            if kind == "key" and not (entropy(s) >= MIN_ENTROPY and any(map(_RUN.fullmatch, re.split("[/_-]+", s)))):
                 continue
             found.append((m.start(), rank, kind, m.end()))
     starts = [b[0] for b in base]
@@ -112,7 +113,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # as partners the format matches play the part their format shows
     role = F.when(F.col("p.kind") == "access", "identifier").when(
         F.col("p.kind").isin("assign", "hex"), "key").otherwise(F.col("p.kind"))
-    width = 4 * scope
+    width = max(1, 4 * scope)
     partners = weak.select(*doc, F.explode(F.concat("base", "weak")).alias("p")).select(
         *doc, role.alias("role"), F.col("p.start").alias("p_start"), F.col("p.end").alias("p_end"),
         _cells(F.col("p.start"), F.col("p.end"), width).alias("cell"))
@@ -125,7 +126,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     a, p = asked.alias("a"), partners.alias("p")
     near = ((F.col("p.p_start") - F.col("a.w.end") <= scope)
             & (F.col("a.w.start") - F.col("p.p_end") <= scope)
-            & ((F.col("p.p_start") != F.col("a.w.start")) | (F.col("p.p_end") != F.col("a.w.end"))))
+            & ((F.col("p.p_start") >= F.col("a.w.end")) | (F.col("p.p_end") <= F.col("a.w.start"))))
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"p.{c}")) for c in [*doc, "cell", "role"]]
     on = near
     for c in same:

@@ -62,3 +62,45 @@ def test_a_weak_part_nested_before_a_format_match_stays():
     found = weak_spans(text, base_spans(text))   # the endpoint covers the format match, the key does not
     assert [(s, k, e) for s, _, k, e in found if s <= at and e >= at + len(KEY)] and all(
         e <= text.index("token") and k == "key" for s, _, k, e in found)
+
+
+ROLE = {"access": "identifier", "assign": "key", "hex": "key"}
+WANTED = {"identifier": {"key"}, "key": {"identifier", "endpoint"}, "endpoint": {"key"}}
+
+
+def linked_by_hand(text, scope):
+    base = base_spans(text)
+    weak = weak_spans(text, base)
+    out = []
+    for w in weak:
+        for p in base + weak:
+            apart = max(p[0] - w[3], w[0] - p[3])
+            if ROLE.get(p[2], p[2]) in WANTED[w[2]] and 0 <= apart <= scope:
+                out.append(w)
+                break
+    return sorted(out)
+
+
+def test_ordinary_links_are_no_secrets(spark):
+    texts = ["see https://example.com/2024/01/some-long-slug-title-here for more",
+             "https://en.example.org/wiki/Some_Long_Article_Title_2024 and http://a.example/b-c-d-e-f-g-h-i-j-k-12345678",
+             "login: bob77 reads https://example.com/2024/01/some-long-slug-title-here"]
+    assert all(not base and not linked for _, base, linked in found(spark, list(enumerate(texts))))
+
+
+def test_links_equal_brute_force_over_random_parts(spark):
+    import random
+    rng = random.Random(7)
+    parts = [KEY, KEY[::-1] + "/" + KEY, "login: bob77", "https://host.example/x", f"https://host.example/{KEY}", "db.example.com:5432",
+             "token=abcdefghijkl", "AKIA" + "Q7" * 8, "0123456789abcdef0", "word", "account=zed_9", f"user:{KEY}"]
+    rows = []
+    for i in range(120):
+        text = ""
+        for _ in range(rng.randint(0, 9)):
+            text += rng.choice(parts) + rng.choice(["", " ", ";", " " * 30, "\n" * 61, "x" * 5, '"'])
+        rows.append((i, text))
+    for scope in (0, 30, 200):
+        got = {i: linked for i, _, linked in found(spark, rows, scope=scope)}
+        want = {i: linked_by_hand(t, scope) for i, t in rows}
+        assert got == want
+        assert scope < 200 or sum(map(len, want.values())) > 40
