@@ -19,6 +19,7 @@ from seqlab.plans.queries import register
 from seqlab.plans.trajectories import hourly_trajectories
 from seqlab.sources import readers as A
 from seqlab.sources.lookup import lookup_sequences
+from seqlab.sources.profile import profile_csv
 from seqlab.functions.columns import parse_time_millis, parse_time_ntz
 
 TS_TEXT = "dd/MM/yyyy HH:mm:ss"
@@ -165,6 +166,13 @@ def q_save_and_reload_sequences(spark, sf_dir):
     return A.load_sequences(spark, path)
 
 
+@register("profile_csv")
+def q_profile_csv(spark, sf_dir):
+    """A1: types, full, empty and unreadable cells (the vessel id declared a number)
+    of every column, from one scan of the text."""
+    return profile_csv(spark, vessel_csv_named(spark, sf_dir), {"MMSI": "bigint", "Latitude": "double"})
+
+
 @register("lookup_sequences")
 def q_lookup_sequences(spark, sf_dir):
     """The longest trajectory of each event type, looked up by its id in the

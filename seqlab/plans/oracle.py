@@ -530,6 +530,13 @@ ORACLE["train_reconstruction"] = "SELECT vec_id AS id, label, true AS closer_tha
 
 ORACLE["train_forecaster"] = f"SELECT cell, count(*) AS n, true AS near_mean FROM ({TRUTH}) GROUP BY cell"
 
+ORACLE["profile_csv"] = """
+  WITH n AS (SELECT count(*) AS n FROM events)
+  SELECT unnest(['# Timestamp', 'MMSI', 'Latitude', 'Longitude']) AS "column", unnest([0, 1, 2, 3]) AS place,
+         unnest(['string', 'string', 'double', 'double']) AS type, unnest([n, n, n, n]) AS cells,
+         unnest([0::BIGINT, 0, 0, 0]) AS empty, unnest([0::BIGINT, n, 0, 0]) AS bad
+  FROM n"""
+
 ORACLE["lookup_sequences"] = f"""
   WITH t AS ({TRAJ}),
   w AS (SELECT max({{'n': seq_len, 'm': mmsi}}).m AS mmsi FROM t GROUP BY string_split(mmsi, '-')[-1])

@@ -34,7 +34,8 @@ def zone_map(spark: SparkSession, path: str, id_col: str, step: str) -> DataFram
         fs, target = _fs(spark, place)
         _, source = _fs(spark, own)
         fs.mkdirs(target.getParent())
-        fs.rename(source, target)      # a map that another session finished first stays
+        if not fs.exists(target):      # a map that another session finished first stays
+            fs.rename(source, target)
     return spark.read.parquet(place)
 
 
