@@ -13,10 +13,14 @@ minus position in the item) that differ by k at most.
 3. hits are put in diagonal bands of width 2 (k + 1) that overlap by half, so
    some band holds all hits of a region; where a piece's length of the item has
    hits enough in a band, the pieces around these hits stay;
-4. the pieces kept are verified by a banded alignment, all of a band at a time.
+4. the pieces kept are verified: a bit-parallel search over all of them tells
+   whether any is near at all, and if so a banded alignment finds the least
+   edits, those that share most first; a band counts a q-gram of the item once, and a region that was seen
+   before (a repeated line) is not aligned again.
 
-The benchmark travels to the documents in blocks of bounded size, however large
-it is; the documents are never shuffled.
+The benchmark travels to the documents in blocks of bounded size, read one after
+the other; a worker holds the index of every block. The documents are never
+shuffled.
 """
 
 from __future__ import annotations
@@ -37,6 +41,10 @@ PIECE = 96
 LEAST_SHARED = 4
 BLOCK_BYTES = 8 << 20
 _SLICE = 1 << 20
+_WINDOWS = 16               # windows aligned at a time
+_LANES = 128                # pieces searched for at once
+_KEPT_LANES = 256
+_CACHE_BYTES = 4 << 20      # regions seen before (repeated lines) are not aligned again
 _WORD = re.compile(r"[^\W_]+")
 FOUND = "array<struct<item_id:bigint,pieces:int,edits:int>>"
 
@@ -82,20 +90,85 @@ def windows_aligned(item: np.ndarray, at: np.ndarray, m: int, text: np.ndarray,
     """For each start in ``at`` the result of ``aligned`` for the ``m`` bytes of
     ``item`` from there on diagonals ``low`` to ``high`` (text minus item
     position); ``most + 1`` instead of None."""
-    far, d = most + 1, np.arange(high - low + 1)
-    j = at[:, None] + low + d                      # text read before the first byte
-    row = np.where((j >= 0) & (j <= len(text)), 0, far)
+    far, width = np.int16(most + 1), high - low + 1
+    d = np.arange(width, dtype=np.int16)
+    j = at[:, None] + low + np.arange(width)       # text read before the first byte
+    row = np.where((j >= 0) & (j <= len(text)), np.int16(0), far)
+    # all text that is compared, with a byte that no item holds beyond both ends
+    first, last = int(at.min()) + low, int(at.max()) + high + m
+    span = np.zeros(last - first + 1, np.uint8)
+    a, z = max(0, first), min(len(text), last)
+    if z > a:
+        span[a - first:z - first] = text[a:z]
+    offset = at - int(at.min())
+    edge = first < 0 or last > len(text)
     for i in range(m):
-        j += 1
-        cost = text[np.clip(j - 1, 0, len(text) - 1)] != item[at + i][:, None]
-        best = np.where(j > 0, row + cost, far)
-        best[:, :-1] = np.minimum(best[:, :-1], row[:, 1:] + 1)
-        inside = (j >= 0) & (j <= len(text))
-        best = np.minimum.accumulate(np.where(inside, best, far) - d, axis=1) + d
-        row = np.where(inside, np.minimum(best, far), far)
-        if row.min() > most:
+        cost = np.lib.stride_tricks.sliding_window_view(span[i:], width)[offset] != item[at + i][:, None]
+        best = row + cost
+        if edge:
+            j += 1
+            best[j <= 0] = far
+        np.minimum(best[:, :-1], row[:, 1:] + np.int16(1), out=best[:, :-1])
+        if edge:
+            best[(j < 0) | (j > len(text))] = far
+        best -= d
+        np.minimum.accumulate(best, axis=1, out=best)
+        best += d
+        if edge:
+            best[(j < 0) | (j > len(text))] = far
+        row = np.minimum(best, far)
+        if i % 8 == 7 and row.min() > most:
             break
-    return row.min(axis=1)
+    return row.min(axis=1).astype(np.int64)
+
+
+def runs(item: np.ndarray, windows: np.ndarray, m: int, text: np.ndarray, low: int, high: int) -> bool:
+    """Whether the ``m`` bytes of ``item`` from one of ``windows`` on stand in
+    ``text`` as they are, on a diagonal of the band."""
+    a, z = int(windows[0]), int(windows[-1]) + m
+    span = np.zeros(z - a + high - low, np.uint8)
+    first, last = max(0, a + low), min(len(text), z + high)
+    if last > first:
+        span[first - a - low:last - a - low] = text[first:last]
+    same = np.lib.stride_tricks.sliding_window_view(span, z - a) == item[a:z]
+    count = np.zeros((len(same), z - a + 1), np.int32)
+    np.cumsum(same, axis=1, out=count[:, 1:])
+    return bool((count[:, windows - a + m] - count[:, windows - a] == m).any())
+
+
+class Lanes:
+    """Bit-parallel approximate search of many pieces of one item at once: one lane
+    of an integer per piece, with a bit more that takes the carry."""
+
+    def __init__(self, item: bytes, windows: list[int], m: int):
+        self.m, lane = m, m + 1
+        self.low = sum(1 << lane * i for i in range(len(windows)))       # the first bit of every lane
+        self.rows = self.low * ((1 << m) - 1)
+        self.equal = {}
+        for c in set(item[windows[0]:windows[-1] + m]):
+            bits = int("".join("1" if x == c else "0" for x in reversed(item)), 2)
+            whole = 0
+            for i, w in enumerate(windows):
+                whole |= (bits >> w & (1 << m) - 1) << lane * i
+            self.equal[c] = whole
+
+    def within(self, text: bytes, most: int) -> bool:
+        """Whether some part of ``text`` is within ``most`` edits of some piece."""
+        m, low, rows, equal = self.m, self.low, self.rows, self.equal
+        guard = low << m
+        more, less, score = rows, 0, low * m
+        limit = low * most + guard
+        for c in text:
+            eq = equal.get(c, 0)
+            vertical = eq | less
+            across = (((eq & more) + more & rows) ^ more | eq) & rows
+            up, down = less | rows & ~(across | more), more & across
+            score += (up >> m - 1 & low) - (down >> m - 1 & low)
+            if limit - score & guard:            # the guard stays where score <= most
+                return True
+            up, down = up << 1 & rows, down << 1 & rows
+            more, less = down | rows & ~(vertical | up), up & vertical
+        return False
 
 
 class Matcher:
@@ -103,6 +176,7 @@ class Matcher:
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, rate: float = RATE, piece: int = PIECE):
         self.q, self.texts, self.item = q, [], []
+        self.cache, self.held, self.lanes = {}, 0, {}
         for item_id, data in dict.fromkeys((i, normal_form(t)) for i, t in items):
             if data:
                 self.texts.append(data)
@@ -167,6 +241,9 @@ class Matcher:
         band = (pos - starts[doc] - at + self.shift) // k1    # no diagonal is below -shift
         order = np.lexsort((at, band, piece, doc))
         doc, piece, band, at = doc[order], piece[order], band[order], at[order]
+        # a band counts each q-gram of the item once, however often the text repeats it
+        once = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(piece) != 0) | (np.diff(band) != 0) | (np.diff(at) != 0)])
+        doc, piece, band, at = doc[once], piece[once], band[once], at[once]
         new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(piece) != 0) | (np.diff(band) != 0)])
         first = np.flatnonzero(new)
         ends = np.concatenate([first[1:], [len(doc)]])
@@ -178,7 +255,7 @@ class Matcher:
         for i in np.flatnonzero(ends - first >= self.least[piece]).tolist():
             d, p, b = int(doc[i]), int(piece[i]), int(band[i])
             low = b * (int(self.edits[p]) + 1) - self.shift
-            edits = self._verify(texts[d], p, low, np.sort(at[first[i]:ends[i]]))
+            edits = self._verify(texts[d], p, low, np.unique(at[first[i]:ends[i]]))
             if edits is None:
                 continue
             found = out[d].setdefault(self.item[p], [])
@@ -190,28 +267,60 @@ class Matcher:
         return out
 
     def _verify(self, text: bytes, p: int, low: int, at: np.ndarray) -> int | None:
-        """Least edits of a piece of item ``p`` around the hits ``at`` (sorted
-        item positions) of a band; None if no piece is within its edits."""
-        item, m, k, least = self.texts[p], int(self.length[p]), int(self.edits[p]), int(self.least[p])
-        a, z = at[:len(at) - least + 1], at[least - 1:]
-        near = z - a <= m - self.q               # hits enough for one piece
-        if not near.any():
+        """Least edits of a piece of item ``p`` around the hits ``at`` (distinct
+        item positions, sorted) of a band; None if no piece is within its edits.
+
+        A window with ``h`` of its q-grams hit takes ``(m - q + 1 - h) / q`` edits
+        at least: windows are aligned from the least bound on, and those whose
+        bound is no better than what was found are not. Windows that stand in the
+        text as they are need no alignment."""
+        m, k, q = int(self.length[p]), int(self.edits[p]), self.q
+        mine = np.frombuffer(self.texts[p], np.uint8)
+        # windows that can hold hits enough, by the hits between their ends
+        windows = np.arange(max(0, int(at[0]) - (m - q)), min(int(at[-1]), len(mine) - m) + 1)
+        if not len(windows):
+            return None
+        hits = np.searchsorted(at, windows + m - q, side="right") - np.searchsorted(at, windows)
+        bound = np.maximum(-((hits - (m - q + 1)) // q), 0)
+        windows, bound = windows[bound <= k], bound[bound <= k]
+        if not len(windows):
             return None
-        # pieces that hold such hits: from z - (m - q) to a
-        edge = np.zeros(len(item) + 2, np.int64)
-        np.add.at(edge, np.maximum(z[near] - (m - self.q), 0), 1)
-        np.add.at(edge, np.minimum(a[near], len(item) - m) + 1, -1)
-        windows = np.flatnonzero(np.cumsum(edge) > 0)
         low, high = low - k, low + 2 * (k + 1) - 1 + k
-        if len(windows) == 1 and windows[0] == 0:
-            begin = max(0, low)
-            return aligned(item[:m], text[begin:high + m + 1], low - begin, high - begin, k)
-        data, mine, best = np.frombuffer(text, np.uint8), np.frombuffer(item, np.uint8), k + 1
-        for w in range(0, len(windows), 1024):
-            best = min(best, int(windows_aligned(mine, windows[w:w + 1024], m, data, low, high, k).min()))
-            if best == 0:
-                break
-        return best if best <= k else None
+        first, last = int(windows[0]) + low, int(windows[-1]) + m + high
+        seen = (p, windows.tobytes(), bound.tobytes(), min(first, 0), text[max(0, first):max(0, last)], last > len(text))
+        if seen in self.cache:
+            return self.cache[seen]
+        data, best = np.frombuffer(text, np.uint8), k + 1
+        if int(bound.min()) == 0 and runs(mine, windows, m, data, low, high):
+            best = 0
+        elif self._near(text, p, windows, m, low, high, k):
+            windows, bound = windows[np.argsort(bound, kind="stable")], np.sort(bound)
+            for w in range(0, len(windows), _WINDOWS):
+                if bound[w] >= best:
+                    break
+                part = windows[w:w + _WINDOWS]
+                best = min(best, int(windows_aligned(mine, part, m, data, low, high, best - 1).min()))
+        found = best if best <= k else None
+        self.held += len(seen[4]) + 8 * len(windows)
+        if self.held > _CACHE_BYTES:
+            self.cache, self.held = {}, 0
+        self.cache[seen] = found
+        return found
+
+
+    def _near(self, text: bytes, p: int, windows: np.ndarray, m: int, low: int, high: int, k: int) -> bool:
+        """False if no window is within ``k`` edits of the text around the band."""
+        for w in range(0, len(windows), _LANES):
+            part = windows[w:w + _LANES].tolist()
+            key = (p, part[0], part[-1], len(part)) if part[-1] - part[0] == len(part) - 1 else (p, *part)
+            lanes = self.lanes.get(key)
+            if lanes is None:
+                if len(self.lanes) >= _KEPT_LANES:
+                    self.lanes = {}
+                lanes = self.lanes[key] = Lanes(self.texts[p], part, m)
+            if lanes.within(text[max(0, part[0] + low):max(0, part[-1] + m + high)], k):
+                return True
+        return False
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",

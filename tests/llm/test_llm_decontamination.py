@@ -89,3 +89,42 @@ def test_quotes_at_every_offset():
                 assert bool(found) == (size > 88), (size, t)
             else:
                 assert (found[7][0] if found else None) == (want if want <= D.budget(D.PIECE) else None)
+
+
+def _least_edits(piece, text):
+    row = [0] * (len(text) + 1)
+    for c in piece:
+        new = [row[0] + 1]
+        for j, x in enumerate(text):
+            new.append(min(row[j] + (x != c), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def test_lanes_equal_dynamic_programming():
+    import random
+    rng = random.Random(4)
+    for _ in range(150):
+        item = bytes(rng.choices(b"ab c", k=rng.randint(5, 40)))
+        m = rng.randint(1, len(item))
+        windows = sorted(rng.sample(range(len(item) - m + 1), rng.randint(1, len(item) - m + 1)))
+        text = bytes(rng.choices(b"ab c", k=rng.randint(1, 50)))
+        best = min(_least_edits(item[w:w + m], text) for w in windows)
+        lanes = D.Lanes(item, windows, m)
+        assert [lanes.within(text, k) for k in range(m)] == [best <= k for k in range(m)]
+
+
+def test_repetitive_texts_and_items_take_no_long_time():
+    import random
+    import time
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(45)]
+    item = " ".join(words)
+    started = time.time()
+    # a line of 60 bytes alone is no piece of 96, however often it is repeated
+    assert D.Matcher([(1, item)]).find([D.normal_form((item[60:120] + "\n") * 4000)]) == [{}]
+    # an item that repeats itself, in a text that repeats it
+    phrase = "the quick brown fox and so on "
+    found = D.Matcher([(2, (phrase * 26)[:760])]).find([D.normal_form(phrase * 600)])
+    assert list(found[0]) == [2] and min(found[0][2]) == 0
+    assert time.time() - started < 20
