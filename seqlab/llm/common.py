@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from itertools import accumulate
 
@@ -50,10 +51,21 @@ def utf8_bytes(col: str = "text") -> Column:
     return F.octet_length(F.col(col)).cast("long")
 
 
+def release_memory() -> None:
+    """Give memory that earlier tasks of this worker have freed back to the system,
+    so that stages of one session do not add up."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):      # another C library: nothing to trim
+        pass
+
+
 def text_slices(batches, column: int = 1, max_bytes: int = SLICE_BYTES):
     """Cut Arrow batches into slices of about ``max_bytes`` of text, so that
     what a task holds does not follow the batch size. A longer row is a slice
-    of its own."""
+    of its own. Frees what the worker does not use, before and after."""
+    release_memory()
     for batch in batches:
         lengths = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
         start, size = 0, 0
@@ -64,6 +76,7 @@ def text_slices(batches, column: int = 1, max_bytes: int = SLICE_BYTES):
             size += n
         if start < batch.num_rows:
             yield batch.slice(start)
+    release_memory()
 
 
 def id_ranges(rows: DataFrame, size: Column, target: int, name: str = "batch") -> tuple[DataFrame, list]:

@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqlab.llm.common import release_memory
 from seqlab.llm.hashing import Roller, groups_of_size, join_bytes
 
 Q = 8
@@ -352,6 +353,7 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
 
 def _scan(sent, q, rate, piece):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        release_memory()
         matcher = Matcher(sent.value, q, rate, piece)
         for texts in batches:
             rows = []
@@ -359,6 +361,8 @@ def _scan(sent, q, rate, piece):
                 for hits in matcher.find([normal_form(t) for t in texts.iloc[i:j]]):
                     rows.append([{"item_id": k, "pieces": len(v), "edits": min(v)} for k, v in hits.items()])
             yield pd.Series(rows, dtype=object)
+        del matcher
+        release_memory()
     return F.pandas_udf(run, FOUND)
 
 

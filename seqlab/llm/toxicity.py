@@ -28,7 +28,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqlab.llm.common import saved, text_slices
+from seqlab.llm.common import release_memory, saved, text_slices
 
 # fixed values: seed lexicon and second-person words
 SEED = frozenset("""
@@ -161,9 +161,12 @@ def _learn_lexicons(sample: DataFrame, lexicon_rows: int) -> dict[int, dict[str,
 
 def _featurize(lexicons: dict[int, dict[str, float]]):
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        release_memory()
         of = {k: Featurizer(lexicons.get(k, {})) for k in range(-1, FOLDS)}
         for texts, out in batches:
             yield pd.Series([of[k](t) for t, k in zip(texts, out)])
+        of.clear()
+        release_memory()
     return F.pandas_udf(run, "array<double>")
 
 
