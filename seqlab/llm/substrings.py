@@ -20,7 +20,7 @@ Documents are read in batches of contiguous ids, so corpus order is batch order
 first and only the order within a batch needs ids. An id that fills more than a
 batch has batches of its own; these count as one place in that order. Every (trigger, batch) and
 (string, batch) is sent once, so a passage in a third of all documents costs one
-row per batch. Suffixes are ordered by 104-bit hashes of their ``LENGTH`` bytes
+entry per batch, packed by hash bucket. Suffixes are ordered by 104-bit hashes of their ``LENGTH`` bytes
 instead of their letters: the groups of equal strings, all that is asked for,
 are the same, and no text is shuffled a second time.
 """
@@ -41,7 +41,9 @@ BATCH_BYTES = 8 << 20
 MAX_RUN = 64
 _SLICE = 2 << 20
 ALL, SOME, STRING = 1, 2, 3   # what a batch is told: phrase repeated, look at strings, string repeated
-_BATCH_BITS = 24
+_SECOND = 5                    # bytes of the second hash of a string
+_STRING_BYTES = 8 << 20        # of text per bucket of strings
+_BUCKETS = 16                  # string ranges resolved one after the other in a batch
 _NO_ID = (1 << 63) - 1         # comes last
 _PRINT_BYTES = 16 << 20       # of text per bucket of prints
 OUT = "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
@@ -114,6 +116,35 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64, copy=False))
 
 
+def _planes(values: np.ndarray, width: int = 8) -> bytes:
+    """The low ``width`` bytes of 64-bit values, byte plane by byte plane."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_planes(data: bytes, width: int = 8) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _pack(group: np.ndarray, x: np.ndarray, y: np.ndarray | None = None) -> tuple[np.ndarray, list, list]:
+    """Per distinct value of ``group``: its hashes, in order, as differences, and
+    the second ones (``_SECOND`` bytes) beside them."""
+    order = np.lexsort((y, x, group)) if y is not None else np.lexsort((x, group))
+    group, x = group[order], x[order]
+    at = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(x) else np.zeros(0, np.intp)
+    ends = [*at[1:].tolist(), len(x)]
+    xs = [_planes(np.diff(x[a:z], prepend=np.uint64(0))) for a, z in zip(at.tolist(), ends)]
+    ys = [_planes(y[order[a:z]], _SECOND) if y is not None else b"" for a, z in zip(at.tolist(), ends)]
+    return group[at], xs, ys
+
+
+def _unpack(xs, ys=None) -> tuple[list, list]:
+    return ([np.cumsum(_from_planes(v), dtype=np.uint64) for v in xs],
+            [_from_planes(v, _SECOND) for v in ys or ()])
+
+
 def _print_batch(bits: int):
     """One row per hash bucket: the prints (the next 32 bits) of its triggers."""
     def run(key, table):
@@ -216,15 +247,15 @@ def _resolve_phrases(batches, divided):
     again = np.concatenate([[False], (v[1:] == v[:-1]) & (e[1:] == e[:-1]) & ~several[1:] & ~several[:-1]])
     again = _from_another(again, tag >> 1, divided)
     tell = (n > 1)[group] & (mixed | again)
-    what = np.where(again, ALL, SOME).astype(np.int32)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(tag[tell] >> 1), pa.array(what[tell]), pa.array(v[tell]),
-         pa.array(np.zeros(int(tell.sum()), np.int64))], ["batch", "what", "x", "y"])
+    both, xs, ys = _pack(2 * (tag[tell] >> 1) + again[tell], v[tell].view(np.uint64))
+    what = np.where(both & 1, ALL, SOME).astype(np.int32)
+    yield pa.RecordBatch.from_arrays([pa.array(both >> 1), pa.array(what), pa.array(xs, pa.binary()), pa.array(ys, pa.binary())],
+                                     ["batch", "what", "xs", "ys"])
 
 
 def _told(table: pa.Table, what: int) -> np.ndarray:
     rows = table.filter(pa.compute.equal(table.column("what"), what))
-    return np.sort(rows.column("x").to_numpy().astype(np.int64).view(np.uint64))
+    return np.sort(np.concatenate([np.zeros(0, np.uint64), *_unpack(rows.column("xs").to_pylist())[0]]))
 
 
 def _among(values: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -233,47 +264,48 @@ def _among(values: np.ndarray, held: np.ndarray) -> np.ndarray:
     return held[np.minimum(np.searchsorted(held, values), len(held) - 1)] == values
 
 
-def _send_strings(key, table, told):
-    """The strings of phrases whose trigger has several: one row per string and batch."""
-    parser, some, xs, ys = Parser(), _told(told, SOME), [], []
-    if len(some):
-        for _, starts, data in parser.slices(table):
-            v, first, last, _, prefix = parser.runs(starts, data)
-            if prefix is not None and (look := _among(v, some)).any():
-                x, y, _, _ = parser.strings(data, prefix, first[look], last[look])
-                xs.append(x)
-                ys.append(y)
-    x = np.concatenate(xs) if xs else np.zeros(0, np.uint64)
-    y = np.concatenate(ys) if ys else np.zeros(0, np.uint64)
-    order = np.lexsort((y, x))
-    x, y = x[order], y[order]
-    new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]) if len(x) else np.zeros(0, bool)
-    x, y = x[new], y[new]
-    # the second hash gives up its low bits to the batch
-    low = np.uint64((1 << _BATCH_BITS) - 1)
-    return pa.table([_long(x), _long((y & ~low) | np.uint64(key[0].as_py()))], ["x", "y"])
+def _send_strings(bits: int):
+    """The strings of phrases whose trigger has several: one row per batch and hash
+    bucket, each string once."""
+    def run(key, table, told):
+        parser, some, xs, ys = Parser(), _told(told, SOME), [], []
+        if len(some):
+            for _, starts, data in parser.slices(table):
+                v, first, last, _, prefix = parser.runs(starts, data)
+                if prefix is not None and (look := _among(v, some)).any():
+                    x, y, _, _ = parser.strings(data, prefix, first[look], last[look])
+                    xs.append(x)
+                    ys.append(_second(y))
+        x = np.concatenate(xs) if xs else np.zeros(0, np.uint64)
+        y = np.concatenate(ys) if ys else np.zeros(0, np.uint64)
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]) if len(x) else np.zeros(0, bool)
+        x, y = x[new], y[new]
+        bucket, xs, ys = _pack((x >> np.uint64(64 - bits)).astype(np.int64), x, y)
+        return pa.table([pa.array(bucket), pa.array([key[0].as_py()] * len(xs), pa.int64()),
+                         pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], ["bucket", "batch", "xs", "ys"])
+    return run
 
 
-def _string_resolver(divided: list):
-    return lambda batches: _resolve_strings(batches, divided)
+def _second(y: np.ndarray) -> np.ndarray:
+    return y >> np.uint64(64 - 8 * _SECOND)
 
 
-def _resolve_strings(batches, divided):
-    """A shuffle partition of strings: tell all batches but the first that hold one."""
-    columns = _whole(batches)
-    if not columns or not len(columns[0]):
-        return
-    x, y = (c.astype(np.int64).view(np.uint64) for c in columns)
-    order = np.lexsort((y, x))
-    x, y = x[order], y[order]
-    bits = np.uint64(_BATCH_BITS)
-    batch = y & np.uint64((1 << _BATCH_BITS) - 1)
-    same = np.concatenate([[False], (x[1:] == x[:-1]) & (y[1:] >> bits == y[:-1] >> bits)])
-    again = _from_another(same, batch, divided)
-    again[1:] &= (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-    yield pa.RecordBatch.from_arrays(
-        [_long(batch[again]), pa.array(np.full(int(again.sum()), STRING, np.int32)), _long(x[again]),
-         _long(y[again] >> bits)], ["batch", "what", "x", "y"])
+def _string_resolver(divided: list):
+    def run(table):
+        """A bucket of strings: tell all batches but the first that hold one."""
+        xs, ys = _unpack(table.column("xs").to_pylist(), table.column("ys").to_pylist())
+        batch = np.repeat(table.column("batch").to_numpy(), [len(x) for x in xs])
+        x, y = np.concatenate(xs), np.concatenate(ys)
+        order = np.lexsort((batch, y, x))
+        x, y, batch = x[order], y[order], batch[order]
+        same = np.concatenate([[False], (x[1:] == x[:-1]) & (y[1:] == y[:-1])])
+        again = _from_another(same, batch, divided)
+        to, xs, ys = _pack(batch[again], x[again], y[again])
+        return pa.table([pa.array(to), pa.array([STRING] * len(xs), pa.int32()), pa.array(xs, pa.binary()),
+                         pa.array(ys, pa.binary())], ["batch", "what", "xs", "ys"])
+    return run
 
 
 def _local(parser: Parser, table: pa.Table, every: np.ndarray, some: np.ndarray):
@@ -293,52 +325,66 @@ def _remove(key, table, told):
     table = table.sort_by("id")
     every, some = _told(told, ALL), _told(told, SOME)
     rows = told.filter(pa.compute.equal(told.column("what"), STRING))
-    far = np.stack([rows.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("x", "y")])
+    far = _unpack(rows.column("xs").to_pylist(), rows.column("ys").to_pylist())
+    far = np.stack([np.concatenate([np.zeros(0, np.uint64), *v]) for v in far])
     far = far[:, np.lexsort((far[1], far[0]))]
     look = _local(parser, table, every, some)
 
-    # strings of the batch, each with the documents it starts in
-    parts, cut = [], []
+    # strings of the batch by hash range, each with the place of its document's id
+    edges, parts, rank, last_id = [], [[] for _ in range(_BUCKETS)], 0, None
     for k, (ids, starts, data) in enumerate(parser.slices(table)):
+        edge = np.zeros(len(data) + 1, np.int32)      # +1 where a removed part begins, -1 where it ends
+        edges.append(edge)
         v, first, last, doc, prefix = parser.runs(starts, data)
-        whole = np.zeros((0, 2), np.int64)
-        if prefix is not None:
-            gone = _among(v, every)
-            whole = np.stack([first[gone], last[gone] + parser.length], axis=1)
-            mine = _among(v, look)
-            x, y, p, run = parser.strings(data, prefix, first[mine], last[mine])
-            parts.append((x, y, ids[doc[mine][run]], np.full(len(p), k), p))
-        cut.append([whole])
-    if parts:
-        x, y, owner, at_slice, p = (np.concatenate(c) for c in zip(*parts))
+        ranks = rank + np.cumsum(np.concatenate([[last_id is not None and ids[0] != last_id], ids[1:] != ids[:-1]]))
+        rank, last_id = int(ranks[-1]), ids[-1]
+        if prefix is None:
+            continue
+        gone = _among(v, every)
+        edge[first[gone]] += 1                        # no two runs begin or end together
+        edge[last[gone] + parser.length] -= 1
+        mine = _among(v, look)
+        if not mine.any():
+            continue
+        x, y, p, run = parser.strings(data, prefix, first[mine], last[mine])
+        owner, y, p = ranks[doc[mine]].astype(np.int32)[run], _second(y), p.astype(np.int32)
+        bucket = (x >> np.uint64(60)).astype(np.uint8)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], np.arange(_BUCKETS + 1))
+        for b in range(_BUCKETS):
+            take = order[ends[b]:ends[b + 1]]
+            if len(take):
+                parts[b].append((x[take], y[take], owner[take], np.full(len(take), k, np.int32), p[take]))
+    for b in range(_BUCKETS):
+        if not parts[b]:
+            continue
+        x, y, owner, at_slice, p = (np.concatenate(c) for c in zip(*parts[b]))
+        parts[b] = None
         order = np.lexsort((owner, y, x))
         x, y, owner, at_slice, p = x[order], y[order], owner[order], at_slice[order], p[order]
-        if len(x):
-            at = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
-            n = np.diff(np.concatenate([at, [len(x)]]))
-            earlier = np.zeros(len(at), bool)
-            if far.shape[1]:
-                # equal (x, y) among those told: a range of equal x holds few y
-                i = np.searchsorted(far[0], x[at])
-                while (open_ := (i < far.shape[1]) & ~earlier).any():
-                    j = np.minimum(i, far.shape[1] - 1)
-                    here = open_ & (far[0][j] == x[at])
-                    if not here.any():
-                        break
-                    earlier |= here & (far[1][j] == y[at] >> np.uint64(_BATCH_BITS))
-                    i = np.where(here, i + 1, far.shape[1])
-            gone = np.repeat(earlier, n) | (owner > np.repeat(owner[at], n))
-            for k in range(len(cut)):
-                q = p[gone & (at_slice == k)]
-                cut[k].append(np.stack([q, q + parser.length], axis=1))
+        at = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+        n = np.diff(np.concatenate([at, [len(x)]]))
+        earlier = np.zeros(len(at), bool)
+        if far.shape[1]:
+            # equal (x, y) among those told: a range of equal x holds few y
+            i = np.searchsorted(far[0], x[at])
+            while (open_ := (i < far.shape[1]) & ~earlier).any():
+                j = np.minimum(i, far.shape[1] - 1)
+                here = open_ & (far[0][j] == x[at])
+                if not here.any():
+                    break
+                earlier |= here & (far[1][j] == y[at])
+                i = np.where(here, i + 1, far.shape[1])
+        gone = np.repeat(earlier, n) | (owner > np.repeat(owner[at], n))
+        at_slice, p = at_slice[gone], p[gone]
+        for k in np.unique(at_slice):
+            q = p[at_slice == k]
+            edges[k][q] += 1                          # every string begins at a place of its own
+            edges[k][q + parser.length] -= 1
 
     out = {"id": [], "n_bytes": [], "spans": [], "kept": []}
     for k, (ids, starts, data) in enumerate(parser.slices(table)):
-        edge = np.zeros(len(data) + 1, np.int32)
-        for some_cuts in cut[k]:
-            np.add.at(edge, some_cuts[:, 0], 1)
-            np.add.at(edge, some_cuts[:, 1], -1)
-        covered = np.cumsum(edge[:-1]) > 0
+        covered = np.cumsum(edges[k][:-1]) > 0
         # runs end with their document, even if the next one starts removed
         inner = np.concatenate([[False], covered, [False]])
         up, down = inner[1:-1] & ~inner[:-2], inner[1:-1] & ~inner[2:]
@@ -376,7 +422,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    batch_bytes = max(batch_bytes, total >> (_BATCH_BITS - 2))   # batches are numbered in _BATCH_BITS
     bits = min(31, max(4, (total // _PRINT_BYTES).bit_length()))
     known, divided = id_ranges(rows, F.octet_length("text"), batch_bytes)
     rows = known.select("batch", "id", "text")
@@ -386,9 +431,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = by_batch.applyInArrow(_print_batch(bits), blob).groupBy("bucket").applyInArrow(_resolve_prints, blob)
     triggers = by_batch.cogroup(shared.groupBy("batch")).applyInArrow(
         _parse_batch(bits), "trigger long, phrase long, tag long")
-    told = triggers.repartition("trigger").mapInArrow(_phrase_resolver(divided), "batch long, what int, x long, y long")
+    message = "batch long, what int, xs binary, ys binary"
+    told = triggers.repartition("trigger").mapInArrow(_phrase_resolver(divided), message)
+    string_bits = min(31, max(4, (total // _STRING_BYTES).bit_length()))
     sent = by_batch.cogroup(told.where(F.col("what") == SOME).groupBy("batch")).applyInArrow(
-        _send_strings, "x long, y long")
-    again = sent.repartition("x").mapInArrow(_string_resolver(divided), "batch long, what int, x long, y long")
+        _send_strings(string_bits), "bucket long, batch long, xs binary, ys binary")
+    again = sent.groupBy("bucket").applyInArrow(_string_resolver(divided), message)
     done = by_batch.cogroup(told.union(again).groupBy("batch")).applyInArrow(_remove, OUT)
     return done.withColumn("id", F.when(F.col("id") != last, F.col("id")))
