@@ -530,6 +530,11 @@ ORACLE["train_reconstruction"] = "SELECT vec_id AS id, label, true AS closer_tha
 
 ORACLE["train_forecaster"] = f"SELECT cell, count(*) AS n, true AS near_mean FROM ({TRUTH}) GROUP BY cell"
 
+ORACLE["comparator_order"] = f"""
+  SELECT mmsi, count(ts) AS num_positions,
+         row_number() OVER (ORDER BY CAST(split_part(mmsi, '-', 1) AS BIGINT), split_part(mmsi, '-', 2)) - 1 AS pos
+  FROM ({POSITIONS}) p GROUP BY mmsi"""
+
 ORACLE["profile_csv"] = """
   WITH n AS (SELECT count(*) AS n FROM events)
   SELECT unnest(['# Timestamp', 'MMSI', 'Latitude', 'Longitude']) AS "column", unnest([0, 1, 2, 3]) AS place,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from seqlab.functions import columns as C
 from seqlab.operators import align, evaluation as K, projection as B, ranking, scoring, seq2seq, splits
 from seqlab.operators import sequences as E
+from seqlab.operators.comparing import comparator_order
 from seqlab.plans import standins as S
 from seqlab.plans.trajectories import GEO_BOX, hourly_trajectories
 from seqlab.sources import readers as A
@@ -280,6 +281,24 @@ def q_rank_by_label(spark, sf_dir):
     return ranking.rank_within(_recon(spark, sf_dir), "label", "score", "id")
 
 
+def _natural():
+    """Numbers in a text compare as numbers, the rest letter by letter."""
+    import re
+
+    def compare(a, b):
+        x, y = ([(0, int(p), "") if p.isdigit() else (1, 0, p) for p in re.findall("[0-9]+|[^0-9]+", v or "")]
+                for v in (a[0], b[0]))
+        return (x > y) - (x < y)
+    return compare
+
+
+@register("comparator_order")
+def q_comparator_order(spark, sf_dir):
+    """L3: vessels by the natural order of their ids, given as a comparator."""
+    stats = E.sequence_stats(S.vessel_positions(spark, sf_dir).select("mmsi", C.epoch_millis("ts").alias("t")), "mmsi", "t")
+    return comparator_order(stats.select("mmsi", "num_positions"), ["mmsi"], _natural())
+
+
 @register("best_worst_by_label")
 def q_best_worst_by_label(spark, sf_dir):
     return ranking.best_worst(_recon(spark, sf_dir), "label", "score", "id", n=5)
