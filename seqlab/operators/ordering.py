@@ -15,8 +15,8 @@ range partitioning, for inputs of every size:
    below, and any retried task, read the same chunks;
 4. only the first key of a chunk can continue from an earlier chunk. One row
    per chunk (its first and last key, and the last key's total) gives the
-   offsets; that table has as many rows as there are chunks and is broadcast,
-   so the rows are not moved again.
+   offsets; that table has as many rows as there are chunks. It is broadcast as
+   long as it is small, so the rows are not moved again.
 
 Keys are compared by a 64-bit hash inside a chunk, where rows are sorted by the
 keys themselves. Sums of fractions may differ in the last bits with the number
@@ -34,6 +34,7 @@ from pyspark.sql.window import Window
 
 from seqlab.session import saved
 
+BROADCAST_BYTES = 64 << 20
 _GROUP, _CHUNK, _AT, _W, _P = "__group", "__chunk", "__at", "__weights", "__before"
 
 
@@ -71,14 +72,16 @@ def _local_prefix(n_keep: int):
 
 
 def ordered_sums(df: DataFrame, by: list[str], order: list, weights, name: str = "before",
-                 num_ranges: int | None = None) -> DataFrame:
+                 num_ranges: int | None = None, width: int | None = None) -> DataFrame:
     """Add ``name array<double>``: the *exclusive* prefix sums of the array
     column ``weights`` (one length for all rows, no NULLs) within each ``by``
-    group in ``order``. See ``ordered_prefix``."""
-    by, names = list(by), list(df.columns)
+    group in ``order``. ``width`` is that length, if it is known. The offsets (one
+    row of ``width`` numbers per chunk) are broadcast up to BROADCAST_BYTES and
+    joined by chunk beyond. See ``ordered_prefix``."""
+    by, names, ranges = list(by), list(df.columns), _num_ranges(df, num_ranges)
     key = [F.col(b) for b in by] + [F.col(o) if isinstance(o, str) else o for o in order]
     group = F.xxhash64(*by) if by else F.lit(0).cast("long")
-    ranged = df.repartitionByRange(_num_ranges(df, num_ranges), *key).sortWithinPartitions(*key)
+    ranged = df.repartitionByRange(ranges, *key).sortWithinPartitions(*key)
     ranged = ranged.select(*names, group.alias(_GROUP), F.spark_partition_id().alias(_CHUNK),
                            weights.cast("array<double>").alias(_W))
     sums = T.ArrayType(T.DoubleType())
@@ -95,7 +98,12 @@ def ordered_sums(df: DataFrame, by: list[str], order: list, weights, name: str =
     edges = edges.withColumn("o", F.when(F.lag("g").over(before) == F.col("first"), F.lag("t").over(before)))
     offsets = edges.where(F.col("o").isNotNull()).groupBy(F.col(_CHUNK).alias("__c"), F.col("first").alias("__g")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("k", "o"))), lambda x: x["o"]).alias("__o"))
-    joined = chunks.join(F.broadcast(offsets), (F.col(_CHUNK) == F.col("__c")) & (F.col(_GROUP) == F.col("__g")),
+    if width is None:
+        first = chunks.select(F.size(_P)).head()
+        width = first[0] if first else 0
+    if 8 * width * ranges <= BROADCAST_BYTES:
+        offsets = F.broadcast(offsets)
+    joined = chunks.join(offsets, (F.col(_CHUNK) == F.col("__c")) & (F.col(_GROUP) == F.col("__g")),
                          "left")
     total = F.when(F.col("__o").isNull(), F.col(_P)).otherwise(F.zip_with(_P, "__o", lambda a, b: a + b))
     return joined.select(*names, total.alias(name))
@@ -114,7 +122,7 @@ def ordered_prefix(df: DataFrame, by: list[str], order: list, sums: dict[str, st
     zero = F.lit(0.0)
     weights = F.array(*[F.lit(1.0) if w == "__one" else F.coalesce(F.nanvl(F.col(w).cast("double"), zero), zero)
                         for w in sums.values()])
-    out = ordered_sums(df, by, order, weights, "__sums", num_ranges)
+    out = ordered_sums(df, by, order, weights, "__sums", num_ranges, len(sums))
     return out.select(*df.columns, *[F.col("__sums")[k].alias(o) for k, o in enumerate(sums)])
 
 

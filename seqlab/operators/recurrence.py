@@ -13,12 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqlab.operators.ordering import _num_ranges
+from seqlab.operators.ordering import BROADCAST_BYTES, _num_ranges
 from seqlab.session import saved
 
 _GROUP, _CHUNK, _AT, _DECAY, _INPUT, _SCALE, _STATE = (f"__{n}" for n in (
     "group", "chunk", "at", "decay", "input", "scale", "state"))
-BROADCAST_BYTES = 64 << 20
 
 
 def scan_maps(scale: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

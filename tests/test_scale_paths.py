@@ -362,3 +362,15 @@ def test_positional_schema_prefix_with_separator(spark):
     got = A.scan_csv(spark, d, schema=schema, skip_prefix="# Timestamp,MMSI").collect()
     # only the first line starts with the prefix (text filter path)
     assert sorted((r.MMSI, r.Lat) for r in got) == [("219000", 55.5), ("x", None)]
+
+
+def test_joined_offsets_equal_broadcast_ones(spark, monkeypatch):
+    from seqlab.operators import ordering
+    rows = [("hot" if i % 3 else f"k{i % 7}", i, float(i % 11)) for i in range(700)]
+    df = spark.createDataFrame(rows, "k string, t int, v double").repartition(4)
+    read = lambda: sorted(map(tuple, ordered_prefix(df, ["k"], ["t"], {"n": "__one", "s": "v"}, num_ranges=9).collect()))
+    small = read()
+    monkeypatch.setattr(ordering, "BROADCAST_BYTES", 0)
+    joined = ordered_prefix(df, ["k"], ["t"], {"n": "__one", "s": "v"}, num_ranges=9)
+    assert "ResolvedHint (strategy=broadcast)" not in joined._jdf.queryExecution().analyzed().toString()
+    assert read() == small and len(small) == 700
