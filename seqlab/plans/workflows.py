@@ -16,6 +16,7 @@ from seqlab.operators import evaluation as K
 from seqlab.operators import models as M
 from seqlab.operators import ranking, scoring, splits
 from seqlab.operators.align import positional_zip
+from seqlab.operators.recurrence import decayed_features, last_states
 from seqlab.operators.sequences import sequence_stats
 from seqlab.plans.trajectories import hourly_trajectories
 from seqlab.sources import readers as A
@@ -63,9 +64,10 @@ def _numbered(spark, path, lo, hi, columns, skip, id_pattern):
 
 def classify_sequences(spark: SparkSession, features_dir: str, labels_dir: str, n_train: int,
                        n_valid: int, n_features: int, batch_size: int = 32, first_id: int = 0,
-                       id_pattern: str = r"(\d+)\.csv$") -> dict[str, DataFrame]:
+                       id_pattern: str = r"(\d+)\.csv$", rates: list[float] | None = None) -> dict[str, DataFrame]:
     """Sequence -> one binary label per sequence (label file: one line, no
-    header, aligned to the end). Summary features + logistic regression;
+    header, aligned to the end). Summary features (with ``rates`` also the
+    recurrent state of each feature at the last step) + logistic regression;
     thresholded AUC (100 steps) of the validation set, and the running AUC
     after each validation batch. A3 B6 D2 G3 I3 J1 K4 K6."""
     cols = [f"f{i}" for i in range(n_features)]
@@ -75,6 +77,10 @@ def classify_sequences(spark: SparkSession, features_dir: str, labels_dir: str,
     # a one-line label file lands on the last step (ALIGN_END): one label per sample
     lab = labels.groupBy("sample_id").agg(F.max_by("label", "step").cast("int").alias("label"))
     seq = M.sequence_features(feats, "sample_id", "step", cols).join(lab, "sample_id")
+    if rates:
+        states = decayed_features(feats, "sample_id", "step", cols, rates)
+        names = [c for c in states.columns if c not in feats.columns]
+        seq = seq.join(last_states(states, "sample_id", "step", names).drop("len"), "sample_id")
     fcols = [c for c in seq.columns if c not in ("sample_id", "label")]
     model = M.fit_sequence_classifier(seq.where(F.col("sample_id") <= mid), "label", fcols)
     pred = M.predict_classes(model, seq.where(F.col("sample_id") > mid), fcols) \

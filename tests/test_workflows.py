@@ -55,6 +55,9 @@ def test_classify_sequences(spark, conv_dirs):
     assert auc is None or 0.0 <= auc <= 1.0
     run = out["running_auc"].orderBy("batch_id").collect()
     assert [r.batch_id for r in run] == [0, 1, 2]
+    out = W.classify_sequences(spark, f"{conv_dirs}/sequence", f"{conv_dirs}/mortality",
+                               n_train=14, n_valid=6, n_features=2, batch_size=2, id_pattern=PAT, rates=[0.5, 0.9])
+    assert out["predictions"].where("score between 0 and 1").count() == 6
 
 
 def test_multitask_sequences(spark, conv_dirs):
