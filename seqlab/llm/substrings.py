@@ -14,7 +14,7 @@ The dictionary is resolved before any single string is looked at:
 * a phrase that an earlier batch holds too: all its strings are repeated;
 * only the first phrases of triggers with several (the edges of repeated
   passages) send their strings - suffixes of the phrase, cut to ``LENGTH``
-  bytes - to be ordered across the corpus.
+  bytes - to be compared across the corpus, packed by batch and hash bucket.
 
 Documents are read in batches of contiguous ids, so corpus order is batch order
 first and only the order within a batch needs ids. An id that fills more than a
