@@ -18,15 +18,12 @@ def to_sequences(df: DataFrame, id_col: str, ts_col: str, tiebreak: str | None =
                  step: str = "step", length: str | None = "seq_len") -> DataFrame:
     """Number the rows of each id in ascending time order (0-based ``step``).
 
-    The skew-safe ordered index numbers a hot id in many tasks; lengths come
-    from a partial+final aggregate. Rows with a NULL id are one sequence.
+    The skew-safe ordered index numbers a hot id in many tasks and carries its
+    length back over them, so the rows are exchanged once. Rows with a NULL id
+    are one sequence.
     """
     order = [ts_col] + ([tiebreak] if tiebreak else [])
-    out = ordered_index(df, [id_col], order, name=step)
-    if length:
-        lens = df.groupBy(F.col(id_col).alias("__id")).agg(F.count(F.lit(1)).alias(length))
-        out = out.join(lens, F.col(id_col).eqNullSafe(F.col("__id"))).drop("__id")
-    return out
+    return ordered_index(df, [id_col], order, name=step, count=length)
 
 
 def sequence_stats(df: DataFrame, id_col: str, ts_col: str) -> DataFrame:

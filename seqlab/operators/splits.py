@@ -49,6 +49,21 @@ def mini_batches(df: DataFrame, order: list[str], size: int, name: str = "batch_
     return out.withColumn(name, F.floor(F.col("__pos") / int(size)).cast("long")).drop("__pos")
 
 
+def mini_batch_split(df: DataFrame, order: list[str], size: int, frac: float = 0.8,
+                     batch: str = "batch_id", name: str = "split") -> DataFrame:
+    """G3 and G2 in one exchange: consecutive batches of ``size`` rows in ``order``,
+    and in each the first ``floor(frac * rows)`` (at least one) are 'train'. The
+    place in a batch and the length of the last one follow from the row's
+    position and the number of all rows."""
+    size = int(size)
+    out = ordered_index(df, [], order, name="__pos", count="__rows")
+    number = F.floor(F.col("__pos") / size).cast("long")
+    held = F.least(F.lit(size).cast("long"), F.col("__rows") - number * size)
+    n_train = F.greatest(F.floor(held * float(frac)), F.lit(1))
+    train = F.when(F.col("__pos") - number * size < n_train, F.lit("train")).otherwise(F.lit("validation"))
+    return out.select(*df.columns, number.alias(batch), train.alias(name))
+
+
 def index_split(df: DataFrame, id_col: str, train_hi, valid_hi=None, name: str = "split") -> DataFrame:
     """Ids <= train_hi are 'train', ids in (train_hi, valid_hi] 'validation'
     (everything above valid_hi, when given, is 'unused'). Bounds may be columns."""

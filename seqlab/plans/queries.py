@@ -315,8 +315,7 @@ def q_hash_split(spark, sf_dir):
 @register("batch_split")
 def q_batch_split(spark, sf_dir):
     ev = S.table(spark, sf_dir, "events").select("event_id", "value")
-    b = splits.mini_batches(ev, ["event_id"], 300)
-    return splits.batch_split(b, "batch_id", ["event_id"], 0.8)
+    return splits.mini_batch_split(ev, ["event_id"], 300, 0.8)
 
 
 @register("mini_batches")

@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from seqlab.operators.ordering import ordered_prefix
 from seqlab.session import checkpoint_dir, saved
@@ -158,6 +159,12 @@ def _re(sep: str) -> str:
 
 
 # ------------------------------------------------------------------ A4 ----
+def _counted_prefix(df: DataFrame, by: list[str], order: list[str], sums: dict[str, str]) -> DataFrame:
+    """``ordered_prefix`` of a table whose rows were counted to be few: one window."""
+    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return df.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(o) for o, c in sums.items()])
+
+
 def number_lines(lines: DataFrame, name: str = "row_no", skip: int = 0, per_file: bool = False,
                  keep_path: bool = False) -> DataFrame:
     """Dense 0-based record numbers of a text scan in (file path, offset) order
@@ -177,10 +184,13 @@ def number_lines(lines: DataFrame, name: str = "row_no", skip: int = 0, per_file
                           F.monotonically_increasing_id().alias("__m"))
     splits = saved(tagged.groupBy("__f", "__b").agg(F.count(F.lit(1)).alias("__n"), F.min("__m").alias("__m0")),
                    "line-splits")
-    offsets = ordered_prefix(splits, ["__f"], ["__b"], {"__foff": "__n"})
+    few = splits.count() <= BROADCAST_SPLITS
+    # sums along a table of at most BROADCAST_SPLITS rows need no ranges of their own
+    along = _counted_prefix if few else ordered_prefix
+    offsets = along(splits, ["__f"], ["__b"], {"__foff": "__n"})
     if not per_file:
         keep = F.greatest(F.sum("__n") - int(skip), F.lit(0)).alias("__keep")
-        files = ordered_prefix(splits.groupBy("__f").agg(keep), [], ["__f"], {"__goff": "__keep"})
+        files = along(splits.groupBy("__f").agg(keep), [], ["__f"], {"__goff": "__keep"})
         offsets = offsets.join(files.select("__f", "__goff"), "__f")
     else:
         offsets = offsets.withColumn("__goff", F.lit(0.0))
@@ -188,7 +198,7 @@ def number_lines(lines: DataFrame, name: str = "row_no", skip: int = 0, per_file
     base = (F.col("__m0") - F.col("__foff").cast("long") + int(skip)).alias("__base")
     offsets = offsets.select(F.xxhash64("__f").alias("__fk"), F.col("__b").alias("__bk"), base,
                              F.col("__goff").cast("long").alias("__goff"))
-    if splits.count() <= BROADCAST_SPLITS:
+    if few:
         offsets = F.broadcast(offsets)
     out = tagged.join(offsets, (F.xxhash64("__f") == F.col("__fk")) & (F.col("__b") == F.col("__bk")))
     out = out.where(F.col("__m") >= F.col("__base"))

@@ -56,6 +56,68 @@ def test_null_ids_hot_ids_and_ties_stay_whole(spark, ranges):
     assert sorted((str(r.mmsi), r.event_id, r.step, r.seq_len) for r in got) == want
 
 
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.sampled_from(["hot", "hot", "hot", "a", "b", "c", None]), min_size=1, max_size=300),
+       st.integers(min_value=1, max_value=9))
+def test_group_totals_equal_brute_force(spark, keys, ranges):
+    from seqlab.operators.ordering import ordered_sums
+    rows = [(k, i * 7 % 50, i, float((i * 17) % 11 - 4)) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "k string, t long, id long, v double")
+    for by in (["k"], []):
+        got = ordered_sums(df, by, ["t", "id"], F.array(F.lit(1.0), F.col("v")), num_ranges=ranges, total="all")
+        groups = {}
+        for k, t, i, v in sorted(rows, key=lambda r: r[1:3]):
+            groups.setdefault(k if by else 0, []).append((i, v))
+        want = {}
+        for members in groups.values():
+            whole = [float(len(members)), sum(v for _, v in members)]
+            for n, (i, _) in enumerate(members):
+                want[i] = ([float(n), sum(v for _, v in members[:n])], whole)
+        assert {r["id"]: (r["before"], r["all"]) for r in got.collect()} == want
+
+
+def test_group_totals_with_joined_offsets_and_small_batches(spark, monkeypatch):
+    from seqlab.operators import ordering
+    monkeypatch.setattr(ordering, "BROADCAST_BYTES", 0)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(500).select((F.col("id") * F.col("id") % 13 % 4).alias("k"), "id")
+        got = ordering.ordered_index(df, ["k"], ["id"], num_ranges=6, count="n").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    sizes, seen = {}, {}
+    for i in range(500):
+        sizes[i * i % 13 % 4] = sizes.get(i * i % 13 % 4, 0) + 1
+    for r in sorted(got, key=lambda r: r["id"]):
+        assert (r["idx"], r["n"]) == (seen.get(r["k"], 0), sizes[r["k"]])
+        seen[r["k"]] = r["idx"] + 1
+    assert sum(seen.values()) == 500
+
+
+def test_sequences_exchange_their_rows_once(spark, capsys):
+    from seqlab.operators.sequences import to_sequences
+    df = spark.range(300).select((F.col("id") % 5).alias("mmsi"), F.col("id").alias("ts"))
+    out = to_sequences(df, "mmsi", "ts")
+    out.explain("formatted")
+    plan = capsys.readouterr().out
+    # the numbered rows are read back and only the table of edges is exchanged
+    assert "Range (" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert out.columns == ["mmsi", "ts", "step", "seq_len"] and out.count() == 300
+    empty = to_sequences(df.where("ts < 0"), "mmsi", "ts")
+    assert empty.count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 64, 65, 200])
+def test_mini_batch_split_equals_batches_then_split(spark, n):
+    from seqlab.operators import splits
+    df = spark.range(n).select((F.col("id") * 37 % 211).alias("k"))
+    got = splits.mini_batch_split(df, ["k"], 64, 0.8)
+    want = splits.batch_split(splits.mini_batches(df, ["k"], 64), "batch_id", ["k"], 0.8)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_global_index_split_is_dense(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("x"))
     out = ordered_index(df, [], ["x"], num_ranges=6)
