@@ -82,7 +82,8 @@ def _triangle(vectors: DataFrame, mean: np.ndarray, basis: np.ndarray) -> np.nda
         r = np.zeros((0, width))
         for x in _blocks(batches, d):
             r = reduce([r, (x - mean) @ basis])
-        yield rows(TaskContext.get().partitionId(), r)
+        if len(r):          # a split may hold no row; an empty list column has no type
+            yield rows(TaskContext.get().partitionId(), r)
 
     def inner(pdf):
         return rows(int(pdf["task"].iloc[0]), reduce([np.array(pdf["r"].tolist())]))

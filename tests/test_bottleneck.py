@@ -26,6 +26,22 @@ def test_subspace_equals_that_of_pca(spark):
     assert [r.score for r in sorted(got, key=lambda r: r.id)] == pytest.approx(want.tolist(), abs=1e-9)
 
 
+def test_tasks_without_rows(spark):
+    # splits that hold no row group: one file cut into many splits
+    x = np.random.default_rng(4).normal(size=(300, 8))
+    conf = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        mean, comps, variances = principal_directions(vectors(spark, x, 1), "x", 3)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = np.linalg.svd(x - x.mean(axis=0), compute_uv=False)
+    assert np.allclose(mean, x.mean(axis=0)) and np.allclose(variances, sizes[:3] ** 2 / 299)
+
+
 def test_four_thousand_cells(spark):
     rng = np.random.default_rng(2)
     true = np.linalg.qr(rng.normal(size=(4096, 5)))[0]
