@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import json
 import re
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +36,9 @@ from seqlab.llm.common import id_and_text, text_slices
 # fixed values: the byte-level pre-tokenizer's pattern
 BYTE_LEVEL_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
                       r"|\s+(?!\S)|\s+")
-_CACHE_ENTRIES = 200_000
+_CACHE_ENTRIES = 100_000
 _CACHE_FRAGMENT = 64
+_SLICE = 1 << 20        # bytes of text that are coded before a batch is sent
 SCHEMA = "id long, ids array<int>, decoded string"
 
 
@@ -71,7 +72,7 @@ class FragmentCoder:
         self.bpe = tiktoken.Encoding("fragments", pat_str=BYTE_LEVEL_PATTERN,
                                      mergeable_ranks=ranks, special_tokens={})
         self.cut = self._cut_table(ranks)
-        self.cache: dict[bytes, tuple[list[int], bytes]] = {}
+        self.cache: dict[bytes, tuple[bytes, bytes]] = {}
 
     @staticmethod
     def _cut_table(tokens) -> np.ndarray:
@@ -97,27 +98,32 @@ class FragmentCoder:
         ends = [0, *(at + 1).tolist(), len(data)]
         return [data[i:j] for i, j in zip(ends, ends[1:])]
 
-    def _code(self, fragment: bytes) -> tuple[list[int], bytes]:
+    def _code(self, fragment: bytes) -> tuple[bytes, bytes]:
         ids = self.bpe.encode_ordinary(fragment.decode("utf-8"))
-        out = ids, b"".join(map(self.token_bytes.__getitem__, ids))
+        decoded = b"".join(map(self.token_bytes.__getitem__, ids))
+        out = array("i", ids).tobytes(), fragment if decoded == fragment else decoded    # equal bytes are held once
         if len(fragment) <= _CACHE_FRAGMENT:
             if len(self.cache) >= _CACHE_ENTRIES:
                 self.cache.clear()
             self.cache[fragment] = out
         return out
 
-    def round_trip(self, text: str) -> tuple[list[int], str]:
-        """Ids of ``text``, and the text those ids decode to."""
-        coded: list[tuple[list[int], bytes]] = []
+    def packed(self, text: str) -> tuple[bytes, bytes]:
+        """Ids of ``text`` as 32-bit integers, and the bytes those ids decode to."""
+        coded: list[tuple[bytes, bytes]] = []
         for part in self.special.split(text) if self.special else [text]:
             if part in self.added:
                 i = self.added[part]
-                coded.append(([i], self.token_bytes[i]))
+                coded.append((array("i", [i]).tobytes(), self.token_bytes[i]))
             elif part:
                 get, code = self.cache.get, self._code
                 coded += [get(f) or code(f) for f in self.fragments(part.encode("utf-8"))]
-        return (list(chain.from_iterable(c[0] for c in coded)),
-                b"".join([c[1] for c in coded]).decode("utf-8", "replace"))
+        return b"".join([c[0] for c in coded]), b"".join([c[1] for c in coded])
+
+    def round_trip(self, text: str) -> tuple[list[int], str]:
+        """Ids of ``text``, and the text those ids decode to."""
+        ids, decoded = self.packed(text)
+        return array("i", ids).tolist(), decoded.decode("utf-8", "replace")
 
 
 def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
@@ -135,10 +141,12 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
     def run(batches):
         coder = FragmentCoder(spec.value)
-        for part in text_slices(batches):
-            coded = [coder.round_trip(s) for s in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([c[0] for c in coded], pa.list_(pa.int32())),
-                 pa.array([c[1] for c in coded], pa.string())], ["id", "ids", "decoded"])
+        for part in text_slices(batches, max_bytes=_SLICE):
+            ids, decoded = zip(*[coder.packed(t.as_py()) for t in part.column(1)])
+            ends = np.cumsum([0, *map(len, ids)]) // 4
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+            decoded = pa.array([d.decode("utf-8", "replace") for d in decoded], pa.string())
+            yield pa.RecordBatch.from_arrays([part.column(0), ids, decoded], ["id", "ids", "decoded"])
+            del ids, decoded
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -48,3 +50,16 @@ def test_awkward_rows(spark, library):
 
 def test_empty_table(spark):
     assert encode_decode(docs(spark, []), tokenizer_path()).count() == 0
+
+
+def test_what_a_worker_holds(coder):
+    """More distinct fragments than are kept, coded text by text."""
+    texts = ["".join(f" {i * 7919:x}~{i:x}" for i in range(at, at + 500)) for at in range(0, 190_000, 500)]
+    coder.cache.clear()
+    tracemalloc.start()
+    try:
+        assert [coder.round_trip(t)[1] for t in texts] == texts
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 24e6, most
