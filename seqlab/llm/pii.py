@@ -83,9 +83,11 @@ TLDS = ("com org net edu gov mil int info biz name pro dev app io ai co example
 FEATURES = ("length", "digits", "separators", "groups", "letters", "parens", "repeats", "left_blank",
             "right_blank", "left_letter", "right_letter", "cue", "cue_near", "valid", "dated", "nested",
             *(f"is_{k}" for k, _, _ in GENERATORS))
-SAMPLE_ROWS = 20_000
 PRECISION = 0.95
 LEAST = 5
+MOST_WEIGHT = 5_000     # as so many candidates a kind weighs at most, so that no kind outweighs the others
+_FIT_ROWS = 100_000     # distinct rows a partition of the fit
+_BINS = 1 << 15         # all distinct values are splits; Spark takes the values from its square of rows at least: from all
 _BLOCK = 128   # items by which an array grows
 _SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 
@@ -126,24 +128,32 @@ def _pieces(m: str, p: str) -> Column:
 
 
 def _placed(items: str) -> Column:
+    """The matches of ``_pieces`` with their positions. Each block of items starts from what was found before it:
+    the sum of lengths, and the characters on its left, which the 30 items before it hold (a match is not empty)."""
     item = "struct<start:int,end:int,match:string,left:string,right:string>"
     begin, before = "b.at + length(x.p)", "right(concat(b.tail, x.p), 30)"
+    last = f"int(floor(greatest(size({items}) - 1, 0) / {_BLOCK}))"
+    blocks = f"transform(sequence(0, {last}), i -> slice({items}, i * {_BLOCK} + 1, {_BLOCK}))"
     return F.expr(f"""
-        aggregate(
-            transform(sequence(0, int(floor(greatest(size({items}) - 1, 0) / {_BLOCK}))),
-                      i -> slice({items}, i * {_BLOCK} + 1, {_BLOCK})),
-            named_struct('at', 0, 'tail', '', 'done', cast(array() AS array<array<{item}>>)),
-            (a, block) -> aggregate(
-                block,
-                named_struct('at', a.at, 'tail', a.tail, 'out', cast(array() AS array<{item}>), 'done', a.done),
+        flatten(zip_with(
+            zip_with(
+                {blocks},
+                aggregate(
+                    slice(transform({blocks}, block -> aggregate(block, 0, (n, x) -> n + length(x.p) + length(x.m))),
+                          1, {last}),
+                    array(0), (a, n) -> array_append(a, element_at(a, -1) + n)),
+                (block, at) -> named_struct('block', block, 'at', at)),
+            transform(sequence(0, {last}), i -> if(i = 0, '', right(array_join(transform(
+                slice({items}, greatest(i * {_BLOCK} - 29, 1), 30), x -> concat(x.p, x.m)), ''), 30))),
+            (start, tail) -> aggregate(
+                start.block,
+                named_struct('at', start.at, 'tail', tail, 'out', cast(array() AS array<{item}>)),
                 (b, x) -> named_struct(
                     'at', {begin} + length(x.m), 'tail', right(concat({before}, x.m), 30),
                     'out', array_append(b.out, named_struct(
                         'start', {begin}, 'end', {begin} + length(x.m), 'match', x.m, 'left', {before},
-                        'right', substring(x.after, 1, 10))),
-                    'done', b.done),
-                b -> named_struct('at', b.at, 'tail', b.tail, 'done', array_append(b.done, b.out))),
-            a -> flatten(a.done))""")
+                        'right', substring(x.after, 1, 10)))),
+                b -> b.out)))""")
 
 
 def _steps(arrays: Column) -> Column:
@@ -261,26 +271,33 @@ def _features(c: DataFrame) -> DataFrame:
     })
 
 
-def _select(cand: DataFrame, precision: float, sample_rows: int) -> DataFrame:
+def _select(cand: DataFrame, precision: float) -> DataFrame:
     """Candidates whose score reaches the threshold of their kind (``score``); of
     kinds that cannot be fitted those with label 1 (score 1)."""
-    key, kinds = F.xxhash64("id", "row_hash", "start", "kind"), [k for k, _, _ in GENERATORS]
-    # of every kind the candidates with the smallest hashes
-    sample = reduce(DataFrame.unionByName, [
-        cand.withColumn("__key", key).where(F.col("kind") == k).orderBy(
-            "__key", "id", "start", "end").limit(max(1, sample_rows // len(kinds))) for k in kinds])
-    fit = saved(sample.withColumn("half", F.pmod(F.col("__key"), F.lit(2))), "pii-sample")
-    counts = {(r["kind"], r["half"], r["label"]): r["n"]
-              for r in fit.groupBy("kind", "half", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    fitted = [k for k in kinds if all(counts.get((k, h, y), 0) >= LEAST for h in (0, 1) for y in (0.0, 1.0))]
+    kinds = [k for k, _, _ in GENERATORS]
+    half = F.pmod(F.xxhash64("id", "row_hash", "start", "kind"), F.lit(2))
+    # all candidates, equal ones as one row with their number
+    fit = saved(cand.groupBy(half.alias("half"), "kind", "label", *FEATURES).agg(F.count(F.lit(1)).alias("n")), "pii-fit")
+    counts = {(r["kind"], r["half"], r["label"]): (r["n"], r["rows"]) for r in fit.groupBy("kind", "half", "label").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).collect()}      # at most 16 rows
+    n = lambda *key: counts.get(key, (0, 0))[0]
+    fitted = [k for k in kinds if all(n(k, h, y) >= LEAST for h in (0, 1) for y in (0.0, 1.0))]
     unfitted = cand.where(~F.col("kind").isin(*fitted)) if fitted else cand
     chosen = unfitted.where("label = 1").withColumn("score", F.lit(1.0))
     if not fitted:
         return chosen
     fit = fit.where(F.col("kind").isin(*fitted))
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=10, maxDepth=4, seed=1)
-    model = trees.fit(assemble.transform(fit.where("half = 0").coalesce(1)))
+    share = F.create_map(*[F.lit(x) for k in fitted for x in (
+        k, min(1.0, MOST_WEIGHT / sum(n(k, h, y) for h in (0, 1) for y in (0.0, 1.0))))])
+    # in a fixed order: one partition as long as the distinct rows are few
+    parts = 1 + sum(rows for (_, h, _), (_, rows) in counts.items() if h == 0) // _FIT_ROWS
+    order = ["kind", "label", *FEATURES]
+    learn = fit.where("half = 0").withColumn("weight", F.col("n") * share[F.col("kind")])
+    learn = learn.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    trees = GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", maxIter=10, maxDepth=4,
+                          maxBins=_BINS, seed=1)
+    model = trees.fit(assemble.transform(learn))
 
     def scored(df):
         return model.transform(assemble.transform(df)).withColumn(
@@ -289,7 +306,7 @@ def _select(cand: DataFrame, precision: float, sample_rows: int) -> DataFrame:
     # per kind, from the best score down: the share of right candidates so far
     down = Window.partitionBy("kind").orderBy(F.col("score").desc())
     steps = scored(fit.where("half = 1")).groupBy("kind", "score").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("label").alias("y"))
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("y"))
     steps = steps.select("kind", "score", (F.sum("y").over(down) / F.sum("n").over(down)).alias("right"))
     limits = {r["kind"]: r["least"] for r in steps.where(F.col("right") >= precision).groupBy("kind").agg(
         F.min("score").alias("least")).collect()}   # one row per kind
@@ -302,14 +319,14 @@ def _select(cand: DataFrame, precision: float, sample_rows: int) -> DataFrame:
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       precision: float = PRECISION, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+                       precision: float = PRECISION) -> DataFrame:
     """``id, row_hash, base, added``: per row of ``docs`` the base spans and the
     spans the trees add, each a sorted array of (start, rank, kind, end).
 
     Null and empty texts have no spans; a null id stays null; repeated rows get
-    the same result each; an empty table gives an empty table. The trees and
-    thresholds are fitted on at most ``sample_rows`` candidates (the same share
-    for every kind, those with the smallest key hashes); every candidate of a
+    the same result each; an empty table gives an empty table. The trees are
+    fitted on all candidates of one half (by key hash), the thresholds on all of
+    the other, equal feature rows as one with their number; every candidate of a
     fitted kind is scored. The work on a text grows with its length and matches.
     """
     rows = id_and_text(docs, id_col, text_col).select("id", F.xxhash64("text").alias("row_hash"), "text")
@@ -327,7 +344,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         (_meets(by[4], steps, c) | _meets(by[5], steps, c)).alias("inside")))).alias("c"))
     found = found.select(*doc, "c.c.*", "c.on", "c.inside")
     cand = saved(_features(_labelled(found)), "pii-candidates")
-    chosen = _select(cand, precision, sample_rows).where("not on")
+    chosen = _select(cand, precision).where("not on")
 
     # of overlapping candidates the best stays; ties: the earlier, then the longer
     rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])

@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from llm_data import AWKWARD, docs
+from seqlab.llm import pii
 from seqlab.llm.pii import find_personal_data, redacted
 
 
@@ -140,6 +141,19 @@ def test_trees_decide_every_candidate_of_a_fitted_kind(spark):
     assert all(len(got[4 * i]) == 1 and got[4 * i + 1] == got[4 * i + 2] == [] for i in range(120))
 
 
+def test_every_candidate_counts_in_the_fit(spark, monkeypatch):
+    """As many candidates of one kind as a sample of 20,000 shared by four kinds
+    would not hold: all are in the table the fit and the thresholds read."""
+    kept = {}
+    keep = pii.saved
+    monkeypatch.setattr(pii, "saved", lambda df, name: kept.setdefault(name, keep(df, name)))
+    rows = [(i, " ".join(f"{'phone' if j % 2 else 'batch'} 0{30 + j % 9}-{1000000 + 50 * i + j} ok" for j in range(50)))
+            for i in range(140)]
+    find_personal_data(docs(spark, rows)).count()
+    assert kept["pii-candidates"].count() == 7_000
+    assert kept["pii-fit"].agg({"n": "sum"}).first()[0] == 7_000
+
+
 def test_many_matches_in_one_text(spark):
     many = " ".join(f"é user{i}@mail{i % 7}.org or 030-{1000000 + i}" for i in range(8_000))
     start = time.perf_counter()
