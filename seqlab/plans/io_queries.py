@@ -70,14 +70,18 @@ def vessel_csv_named(spark, sf_dir) -> str:
 
 
 def conversation_files(spark, sf_dir) -> str:
-    """One CSV per conversation under ``sample_id=<id>/`` (header + turns in order)."""
+    """One CSV per conversation under ``sample_id=<id>/`` (header + turns in order).
+
+    The cost is a file's creation, not its bytes: the number of tasks is fixed,
+    as by their few bytes the partitions would be coalesced into one."""
     conv = S.table(spark, sf_dir, "conversations")
     steps = conv.select(F.col("conv_id").alias("sample_id"), F.col("turn"),
                         F.length("text").cast("double").alias("value"),
                         (F.col("role") == "assistant").cast("double").alias("assistant"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(path):
-        (steps.repartition("sample_id").sortWithinPartitions("sample_id", "turn")
+        (steps.repartition(n, "sample_id").sortWithinPartitions("sample_id", "turn")
          .drop("turn").write.mode("overwrite").partitionBy("sample_id").option("header", True).csv(path))
     return A.staged(spark, "conversation-files", _src(sf_dir, "conversations"), write)
 

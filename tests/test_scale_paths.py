@@ -436,3 +436,21 @@ def test_joined_offsets_equal_broadcast_ones(spark, monkeypatch):
     joined = ordered_prefix(df, ["k"], ["t"], {"n": "__one", "s": "v"}, num_ranges=9)
     assert "ResolvedHint (strategy=broadcast)" not in joined._jdf.queryExecution().analyzed().toString()
     assert read() == small and len(small) == 700
+
+
+def test_conversation_files_are_written_by_many_tasks(spark):
+    import glob
+    import re
+    from seqlab.plans import io_queries
+    d = tempfile.mkdtemp(prefix="seqlab-conv-")
+    rows = [(i, t, "assistant" if t % 2 else "user", "x" * (i + t)) for i in range(60) for t in range(1 + i % 3)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3) \
+        .write.parquet(f"{d}/conversations.parquet")
+    path = io_queries.conversation_files(spark, d).removeprefix("file:")
+    files = [os.path.relpath(f, path) for f in glob.glob(f"{path}/sample_id=*/*.csv")]
+    assert sorted(os.path.dirname(f) for f in files) == sorted(f"sample_id={i}" for i in range(60))   # one file each
+    # a few bytes, yet as many writers as shuffle partitions
+    tasks = {re.search(r"part-(\d+)", f)[1] for f in files}
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = sorted(map(tuple, io_queries.q_scan_numbered_sequences(spark, d).collect()))
+    assert got == [(i, t, float(len(x)), float(r == "assistant")) for i, t, r, x in rows]
